@@ -82,10 +82,6 @@ def x_session():
     from pyspark.sql import SparkSession
     return SparkSession.getActiveSession()
 
-    @staticmethod
-    def load(path: str, features: list) -> "TrainedModel":
-        return TrainedModel(PipelineModel.load(path), features)
-
 
 def _prob1(df: DataFrame):
     from pyspark.ml.functions import vector_to_array
@@ -120,12 +116,15 @@ def train_sparse_additive(df: DataFrame, max_support: int = 40, num_lambda: int
     The support grows as the penalty falls, so the grid is searched by bisection
     (about log2(num_lambda) distributed fits instead of one per grid point)."""
     feats = feature_columns(df)
-    x = positional(df, feats, target, missing=0.0)
+    # every fit is an iterative job over the same rows: materialise them once
+    x = positional(df, feats, target, missing=0.0).cache()
     ybar = x.agg(F.avg(LABEL)).first()[0] or 0.0
     grads = x.agg(*[F.avg(F.col(f"f{i}") * (F.col(LABEL) - F.lit(ybar))).alias(f"g{i}")
                     for i in range(len(feats))]).first()
     lam_max = max([abs(g) for g in grads if g is not None] + [1e-6])
     assembled = _assembler(len(feats)).transform(x).select("features", LABEL).cache()
+    assembled.count()
+    x.unpersist()
     fits = {}
 
     def fit(i):

@@ -72,23 +72,29 @@ def stratified_sample(df: DataFrame, strata: list, n: int | None, seed=C.Setting
            .where((F.col("_cum") >= n) & (F.col("_cum") - F.col("_c") < n))
            .select(*[F.col(s).alias("_s_" + s) for s in strata], F.col("_b").alias("_bstar"),
                    (F.lit(n) - (F.col("_cum") - F.col("_c"))).alias("_take")))
-    # one row per stratum that holds more than n rows: bounded by the number of strata
+    # one row per stratum holding more than n rows: bounded by the number of strata
     cond = [d[s].eqNullSafe(cut["_s_" + s]) for s in strata]
     j = d.join(F.broadcast(cut), cond, "left")
-    whole = j.where(F.col("_bstar").isNull() | (F.col("_b") < F.col("_bstar")))
-    edge = j.where(F.col("_b") == F.col("_bstar"))
+    # rank inside (stratum, bucket) only: each window partition is one hash bucket
     rw = Window.partitionBy(*strata, "_b").orderBy("_h", key)
-    edge = edge.withColumn("_rn", F.row_number().over(rw)).where(F.col("_rn") <= F.col("_take")).drop("_rn")
-    drop = ["_h", "_b", "_bstar", "_take"] + ["_s_" + s for s in strata]
-    return whole.drop(*drop).unionByName(edge.drop(*drop))
+    keep = (F.col("_bstar").isNull() | (F.col("_b") < F.col("_bstar"))
+            | ((F.col("_b") == F.col("_bstar")) & (F.row_number().over(rw) <= F.col("_take"))))
+    j = j.withColumn("_keep", keep).where("_keep")
+    return j.drop("_h", "_b", "_bstar", "_take", "_keep", *["_s_" + s for s in strata])
 
 
 def sample_panel(df: DataFrame, train_dates: list, test_dates: list, train_size: int | None,
                  test_size: int | None, seed=C.Settings().seed, n_quarters: int = 1,
-                 vintage=("Year", "Quarter")):
+                 vintage=("Year", "Quarter"), materialize: bool = True):
     """Train and test sets: observation-date filter, performing loans, then an equal
     sample per (vintage, observation month). ``size // quarters // dates`` rows each."""
     base = performing(at_obs_dates(df, list(train_dates) + list(test_dates)))
+    if materialize:
+        # both sets and both passes of each sample read these few observation months:
+        # write them once to the shared checkpoint folder instead of recomputing the input
+        from ..session import checkpoint_dir
+        checkpoint_dir(base.sparkSession)
+        base = base.checkpoint(eager=True)
     strata = list(vintage) + [MONTH]
     n_tr = train_size // n_quarters // len(train_dates) if train_size else None
     n_te = test_size // n_quarters // len(test_dates) if test_size else None

@@ -31,8 +31,15 @@ def processed_panel(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return build_panel(orig, perf, **kw)
 
 
-def economic_series(spark: SparkSession, sf_dir: str) -> dict:
-    return E.clean_series(fx.economic_raw(spark, sf_dir))
+def economic_series(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict:
+    """Cleaned series; with ``materialize`` each is checkpointed once (they are small and
+    every enrichment join, size check and lag reads them again)."""
+    ser = E.clean_series(fx.economic_raw(spark, sf_dir))
+    if materialize:
+        from ..session import checkpoint_dir
+        checkpoint_dir(spark)
+        ser = {k: v.checkpoint(eager=True) for k, v in ser.items()}
+    return ser
 
 
 # Fixture observation dates and sizes (the benchmark tables span 1995-2001).
