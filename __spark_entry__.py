@@ -369,6 +369,43 @@ def q_scan_processed(spark, d):
     return df.select("Loan_Num", "Month", "Year", "Quarter", "Default", "ZIP_Default_Rate")
 
 
+def _write_fixture_archives(spark, d) -> str:
+    """Origination and performance text of every vintage as zip archives in the shared
+    folder (as the loan data is published: one archive family per origination quarter)."""
+    from panelforge.sources.archives import write_archives
+    out = scratch_path(spark, "archives")
+    orig = fx.raw_origination(spark, d, with_vintage=False)
+    perf = fx.raw_performance(spark, d)
+    vq = lambda: F.concat(F.lit("2015Q"), (F.col("Loan_Num").cast("long") % 4 + 1).cast("string"))
+    write_archives(orig.withColumns({"_a": F.concat(F.lit("historical_data_"), vq()),
+                                     "_m": F.concat(F.lit("historical_data_"), vq())}), out, "_a", "_m")
+    write_archives(perf.withColumns({"_a": F.concat(F.lit("historical_data_"), vq()),
+                                     "_m": F.concat(F.lit("historical_data_time_"), vq())}), out, "_a", "_m")
+    return out
+
+
+def q_ingest_archives(spark, d):
+    from panelforge.sources.archives import ingest_loan_archives
+    out = _write_fixture_archives(spark, d)
+    _, perf = ingest_loan_archives(spark, out + "/*.zip")
+    return perf
+
+
+def q_audit_archives(spark, d):
+    from panelforge.sources.archives import audit_archives
+    out = _write_fixture_archives(spark, d)
+    return audit_archives(spark, out + "/*.zip").select("length", "is_zip", "n_members", "error")
+
+
+def q_incremental_process(spark, d):
+    from panelforge.streaming.incremental import process_new_archives
+    out = _write_fixture_archives(spark, d)
+    processed = scratch_path(spark, "processed-stream")
+    process_new_archives(spark, out, processed, scratch_path(spark, "stream-ckpt"))
+    return spark.read.parquet(processed).select("Loan_Num", "Month", "Year", "Quarter", "Default",
+                                                "ZIP_Default_Rate")
+
+
 PANEL_COLUMNS = [
     "Loan_Num", "Month", "Year", "Quarter", "Default", "Current_Default", "Current_Actual_UPB",
     "Current_Delinquency_Status", "Loan_Age", "Months_to_Maturity", "Modification_Flag", "Zero_Balance_Code",
@@ -433,6 +470,9 @@ _QUERIES = {
     "quarter_spine": q_quarter_spine,
     "missing_quarters": q_missing_quarters,
     "scan_processed": q_scan_processed,
+    "ingest_archives": q_ingest_archives,
+    "audit_archives": q_audit_archives,
+    "incremental_process": q_incremental_process,
 }
 
 

@@ -293,3 +293,8 @@ WHERE NOT EXISTS (SELECT 1 FROM panel p WHERE year(p.Month) = s.Year AND quarter
 ORACLE["scan_processed"] = sql("""
 SELECT Loan_Num, Month, Year, Quarter, "Default", ZIP_Default_Rate FROM panel WHERE Year = 2015 AND Quarter = 2""",
                                 "panel")
+
+ORACLE["ingest_archives"] = ORACLE["scan_performance"]
+
+ORACLE["incremental_process"] = sql("""
+SELECT Loan_Num, Month, Year, Quarter, "Default", ZIP_Default_Rate FROM panel""", "panel")
