@@ -108,7 +108,7 @@ def train_random_forest(df: DataFrame, num_trees: int = 200, max_depth: int = 7,
 
 
 def train_sparse_additive(df: DataFrame, max_support: int = 40, num_lambda: int = 150,
-                          scale_down: float = 0.8, target: str = "Default", max_iter: int = 50) -> TrainedModel:
+                          scale_down: float = 0.8, target: str = "Default", max_iter: int = 30) -> TrainedModel:
     """L1-penalised logistic regression on the penalty grid ``lambda_max * scale_down**i``
     (i < num_lambda); returns the model with the smallest penalty whose number of
     non-zero coefficients is within ``max_support``. ``lambda_max`` (the smallest

@@ -32,13 +32,12 @@ def processed_panel(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
 
 
 def economic_series(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict:
-    """Cleaned series; with ``materialize`` each is checkpointed once (they are small and
-    every enrichment join, size check and lag reads them again)."""
+    """Cleaned series; with ``materialize`` each is cached (they are small, keyed by month
+    and state/ZIP3, and every enrichment join, size check and lag reads them again; a lost
+    block is recomputed from the source files)."""
     ser = E.clean_series(fx.economic_raw(spark, sf_dir))
     if materialize:
-        from ..session import checkpoint_dir
-        checkpoint_dir(spark)
-        ser = {k: v.checkpoint(eager=True) for k, v in ser.items()}
+        ser = {k: v.cache() for k, v in ser.items()}
     return ser
 
 
@@ -65,8 +64,11 @@ def encode_sets(train: DataFrame, test: DataFrame, s: C.Settings = FIXTURE_SETTI
                 fit_each: bool = False):
     """Binary train/test sets. The encoder is fitted on the training set and applied to
     both (same columns); ``fit_each=True`` fits each set on itself as the reference does."""
+    # exact percentiles buffer every distinct value of a column in one task per column;
+    # that is bounded when the training set is a sample of a given size. An unsampled
+    # (whole-population) set uses the bounded-memory approximate sketch instead.
     enc = BinaryEncoder(yn_columns=s.yn_columns, categorical_mappings=s.categorical_mappings,
-                        num_thresholds=s.num_thresholds)
+                        num_thresholds=s.num_thresholds, approx=s.train_size is None)
     model = enc.fit(train)
     test_model = enc.fit(test) if fit_each else model
     return model.transform(train), test_model.transform(test), model

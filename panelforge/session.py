@@ -51,9 +51,14 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: ``spark.checkpoint.dir`` if set, else a new local one."""
+    """The shared checkpoint folder: ``spark.checkpoint.dir`` if set. Only a local-mode
+    session (tests, the local bench) may fall back to a new local folder; on a cluster a
+    machine-local folder would not survive a lost executor, so the setting is required."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         d = tempfile.mkdtemp(prefix="panelforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     sc = spark.sparkContext

@@ -22,14 +22,16 @@ from .schemas import ORIGINATION_SCHEMA, PERFORMANCE_SCHEMA
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A benchmark table. A scan with fewer splits than task slots (one parquet row group
-    gives one task) is spread round-robin first, so the aggregations that follow run on
-    every core; a scan of many files (the cluster case) is left as it is."""
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A benchmark table. With ``spread``, a scan with fewer splits than task slots (one
+    parquet row group gives one task) is spread round-robin first, so the aggregation
+    that follows runs on every core; a scan of many files (the cluster case) is left as
+    it is. Used for the large fact table only."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        df = df.repartition(slots)
+    if spread:
+        slots = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < slots:
+            df = df.repartition(slots)
     return df
 
 
@@ -58,7 +60,7 @@ def _conform(df: DataFrame, schema) -> DataFrame:
 
 
 def raw_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread=True)
     g = (li.groupBy(F.col("l_partkey"), _yyyymm("l_shipdate").alias("Month"))
          .agg(_dec_sum("l_extendedprice").alias("Current_Actual_UPB"),
               F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("_r"),
