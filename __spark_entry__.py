@@ -14,15 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge import config as C
-from panelforge.functions import month_end, month_index
+from panelforge.functions import month_end
 from panelforge.operators import economic as E
 from panelforge.operators import panel as P
 from panelforge.operators import sampling as S
-from panelforge.operators.encoding import BinaryEncoder, null_profile, threshold_table, continuous_columns
-from panelforge.operators.models import class_weights, positional, feature_columns
+from panelforge.operators.encoding import BinaryEncoder, continuous_columns, null_profile, threshold_table
+from panelforge.operators.models import class_weights, positional
 from panelforge.plans import pipeline as PL
 from panelforge.sources import fixtures as fx
-from panelforge.sources import fixtures_sql as Q
 from panelforge.sources import quarters as QS
 from panelforge.sources import text as TX
 from panelforge.session import checkpoint_dir, scratch_path

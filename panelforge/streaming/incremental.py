@@ -11,7 +11,6 @@ batch rewrites the same partitions and the sink stays exactly-once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.cleaning import clean_origination, clean_performance
 from ..operators.panel import build_panel
