@@ -279,7 +279,7 @@ def q_null_profile(spark, d):
 def q_percentile_thresholds(spark, d):
     tr = _dev_train(spark, d)
     cols = [c for c in continuous_columns(tr) if c not in set(FS.yn_columns) | set(FS.categorical_mappings)]
-    t = threshold_table(tr, cols, FS.num_thresholds)
+    t = threshold_table(tr, cols, FS.num_thresholds, max_rows=FS.train_size)
     return t.select("col_name", F.explode("thresholds").alias("threshold"))
 
 
@@ -294,21 +294,21 @@ def _encoded_long(df: DataFrame, model, only=None) -> DataFrame:
 
 def q_missing_indicators(spark, d):
     tr = _dev_train(spark, d)
-    model = BinaryEncoder(num_thresholds=FS.num_thresholds).fit(tr)
+    model = BinaryEncoder(num_thresholds=FS.num_thresholds, max_rows=FS.train_size).fit(tr)
     model.thresholds, model.yn_columns, model.categorical_mappings = {}, [], {}
     return _encoded_long(tr, model)
 
 
 def q_category_encoding(spark, d):
     tr = _dev_train(spark, d)
-    model = BinaryEncoder(num_thresholds=FS.num_thresholds).fit(tr)
+    model = BinaryEncoder(num_thresholds=FS.num_thresholds, max_rows=FS.train_size).fit(tr)
     model.thresholds, model.missing_cols = {}, []
     return _encoded_long(tr, model)
 
 
 def q_threshold_encoding(spark, d):
     tr = _dev_train(spark, d)
-    model = BinaryEncoder(num_thresholds=FS.num_thresholds).fit(tr)
+    model = BinaryEncoder(num_thresholds=FS.num_thresholds, max_rows=FS.train_size).fit(tr)
     model.missing_cols, model.yn_columns, model.categorical_mappings = [], [], {}
     return _encoded_long(tr, model)
 
@@ -317,7 +317,7 @@ def q_binary_encoding(spark, d):
     """Encoder fitted on the training set, applied to the test set (long form)."""
     train, test = _sets(spark, d)
     tr, te = PL.project_features(train, FS), PL.project_features(test, FS)
-    model = BinaryEncoder(num_thresholds=FS.num_thresholds).fit(tr)
+    model = BinaryEncoder(num_thresholds=FS.num_thresholds, max_rows=FS.train_size).fit(tr)
     return _encoded_long(te, model)
 
 

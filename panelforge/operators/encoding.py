@@ -13,7 +13,7 @@ import json
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,20 +48,82 @@ def continuous_columns(df: DataFrame, exclude=C.ENCODER_KEY_COLUMNS, also=()) ->
     return out
 
 
+def exact_percentiles(long: DataFrame, qs: list, key: str = "col_name", value: str = "v",
+                      slice_rows: int = 1_000_000) -> DataFrame:
+    """Exact linear-interpolation percentiles per ``key`` without gathering a column in
+    one task: (key, thresholds array in the order of ``qs``).
+
+    1. distinct values with their counts (partially aggregated before the shuffle);
+    2. those rows are range-partitioned on (key, value) into ordered slices of about
+       ``slice_rows`` distinct values (Spark samples the bounds); a hot value is one row;
+    3. counts per (key, slice) give each slice's first rank (a window over at most
+       #slices rows per key);
+    4. only the slices holding a wanted rank are ranked internally, each in its own
+       window partition; interpolation as numpy's 'linear' method.
+    """
+    spark = long.sparkSession
+    # the input is read once: its distinct values are written to the shared checkpoint folder
+    vf = long.groupBy(key, value).agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True)
+    n_distinct = vf.count()
+    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_distinct // slice_rows), 1)
+    vf = vf.repartitionByRange(slices, key, value).withColumn("_sl", F.spark_partition_id())
+    vf = vf.checkpoint(eager=True)          # slice ids must be stable across the reads below
+    per = vf.groupBy(key, "_sl").agg(F.sum("_c").alias("_sc"))
+    w = Window.partitionBy(key).orderBy("_sl").rowsBetween(Window.unboundedPreceding, 0)
+    per = per.withColumn("_end", F.sum("_sc").over(w)).withColumn("_start", F.col("_end") - F.col("_sc"))
+    n = per.groupBy(key).agg(F.max("_end").alias("_n"))
+    # wanted 0-based ranks: floor and ceil of (n - 1) * q for every q
+    qarr = F.array(*[F.lit(float(q)) for q in qs])
+    tg = n.select(key, "_n", F.posexplode(qarr).alias("_qi", "_q"))
+    tg = tg.withColumn("_pos", (F.col("_n") - 1).cast("double") * F.col("_q"))
+    ranks = tg.select(key, F.explode(F.array(F.floor("_pos"), F.ceil("_pos"))).alias("_r")).distinct()
+    loc = (ranks.join(per, [key]).where((F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_end")))
+           .select(key, "_sl", "_r", "_start"))
+    rw = Window.partitionBy(key, "_sl").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (vf.join(loc.select(key, "_sl").distinct(), [key, "_sl"], "left_semi")
+              .withColumn("_hi", F.sum("_c").over(rw)).withColumn("_lo", F.col("_hi") - F.col("_c")))
+    at = (loc.join(ranked, [key, "_sl"])
+          .where((F.col("_r") - F.col("_start") >= F.col("_lo")) & (F.col("_r") - F.col("_start") < F.col("_hi")))
+          .select(key, "_r", F.col(value).alias("_v")))
+    lo = at.select(key, F.col("_r").alias("_rl"), F.col("_v").alias("_a"))
+    hi = at.select(key, F.col("_r").alias("_rh"), F.col("_v").alias("_b"))
+    res = (tg.withColumn("_rl", F.floor("_pos")).withColumn("_rh", F.ceil("_pos"))
+           .join(lo, [key, "_rl"]).join(hi, [key, "_rh"])
+           .withColumn("_t", F.col("_pos") - F.col("_rl")))
+    d = F.col("_b") - F.col("_a")
+    lerp = F.when(F.col("_t") >= 0.5, F.col("_b") - d * (F.lit(1.0) - F.col("_t"))).otherwise(F.col("_a") + d * F.col("_t"))
+    res = res.withColumn("_p", F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(lerp))
+    return (res.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_qi", "_p"))).alias("_s"))
+            .select(key, F.transform("_s", lambda x: x["_p"]).alias("_p")))
+
+
+AGGREGATE_MAX_ROWS = 5_000_000
+
+
 def threshold_table(df: DataFrame, cols: list, num_thresholds: int, approx: bool = False,
-                    accuracy: int = 100_000, floor50=("Credit_Score",)) -> DataFrame:
+                    accuracy: int = 100_000, floor50=("Credit_Score",), max_rows: int | None = None) -> DataFrame:
     """(col_name, thresholds array) computed by Spark: exact linear-interpolation
     percentiles of the non-null values, rounded to 2 decimals (credit score: floored to
     a multiple of 50), de-duplicated and sorted. The columns are unpivoted into
-    (col_name, value) so every column's percentile is a separate group."""
+    (col_name, value).
+
+    Exact method: when the frame is known to hold at most ``max_rows`` <=
+    AGGREGATE_MAX_ROWS rows (a sample of a given size), Spark's ``percentile`` aggregate
+    is used (it buffers a column's distinct values in one task, bounded by ``max_rows``);
+    otherwise ``exact_percentiles``, which never holds a column in one task.
+    ``approx=True`` uses the bounded-memory sketch instead."""
     qs = [q / 100.0 for q in percent_points(num_thresholds)]
     if not cols:
         return df.sparkSession.createDataFrame([], "col_name string, thresholds array<double>")
     long = (df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
             .unpivot([], cols, "col_name", "v").where(F.col("v").isNotNull()))
     arr = F.lit(qs)
-    pct = (F.percentile_approx("v", arr, accuracy) if approx else F.percentile(F.col("v"), arr))
-    t = long.groupBy("col_name").agg(pct.alias("_p"))
+    if approx:
+        t = long.groupBy("col_name").agg(F.percentile_approx("v", arr, accuracy).alias("_p"))
+    elif max_rows is not None and max_rows <= AGGREGATE_MAX_ROWS:
+        t = long.groupBy("col_name").agg(F.percentile(F.col("v"), arr).alias("_p"))
+    else:
+        t = exact_percentiles(long, qs)
     rounded = F.when(F.col("col_name").isin(*floor50),
                      F.transform("_p", lambda x: floor_to(x, 50.0))).otherwise(
         F.transform("_p", lambda x: rint2(x)))
@@ -132,6 +194,7 @@ class BinaryEncoder:
     num_thresholds: int = 20
     approx: bool = False
     also_continuous: tuple = ()
+    max_rows: int | None = None      # known bound on the rows of the fitted frame (sample size)
 
     def fit(self, df: DataFrame) -> BinaryEncoderModel:
         missing = [r["col_name"] for r in null_profile(df).collect()]
@@ -141,7 +204,8 @@ class BinaryEncoder:
         # indicator columns are never continuous: only the surviving source columns count
         dropped = set(self.yn_columns) | set(self.categorical_mappings)
         cont = [c for c in continuous_columns(df, also=self.also_continuous) if c not in dropped]
-        rows = threshold_table(df, cont, self.num_thresholds, approx=self.approx).collect()
+        rows = threshold_table(df, cont, self.num_thresholds, approx=self.approx,
+                               max_rows=self.max_rows).collect()
         found = {r["col_name"]: [float(x) for x in r["thresholds"]] for r in rows}
         thresholds = {c: found.get(c, []) for c in cont}
         return BinaryEncoderModel(missing, list(self.yn_columns), dict(self.categorical_mappings),

@@ -64,12 +64,13 @@ def encode_sets(train: DataFrame, test: DataFrame, s: C.Settings = FIXTURE_SETTI
                 fit_each: bool = False):
     """Binary train/test sets. The encoder is fitted on the training set and applied to
     both (same columns); ``fit_each=True`` fits each set on itself as the reference does."""
-    # exact percentiles buffer every distinct value of a column in one task per column;
-    # that is bounded when the training set is a sample of a given size. An unsampled
-    # (whole-population) set uses the bounded-memory approximate sketch instead.
+    # a sampled training set holds at most train_size rows: that bound lets the encoder
+    # use the one-task percentile aggregate; an unsampled set uses the distributed method
     enc = BinaryEncoder(yn_columns=s.yn_columns, categorical_mappings=s.categorical_mappings,
-                        num_thresholds=s.num_thresholds, approx=s.train_size is None)
+                        num_thresholds=s.num_thresholds, max_rows=s.train_size)
     model = enc.fit(train)
+    if fit_each:
+        enc.max_rows = s.test_size
     test_model = enc.fit(test) if fit_each else model
     return model.transform(train), test_model.transform(test), model
 
