@@ -67,18 +67,18 @@ class TrainedModel:
     def save(self, path: str) -> None:
         """MLlib persistence; the feature names go next to it as plain text."""
         self.pipeline.write().overwrite().save(path)
-        spark = x_session()
+        spark = _active_session()
         spark.createDataFrame([(i, n) for i, n in enumerate(self.features)], "pos int, name string") \
             .coalesce(1).write.mode("overwrite").parquet(path.rstrip("/") + "/_features")
 
     @staticmethod
     def load(path: str) -> "TrainedModel":
-        spark = x_session()
+        spark = _active_session()
         names = [r["name"] for r in spark.read.parquet(path.rstrip("/") + "/_features").orderBy("pos").collect()]
         return TrainedModel(PipelineModel.load(path), names)
 
 
-def x_session():
+def _active_session():
     from pyspark.sql import SparkSession
     return SparkSession.getActiveSession()
 
@@ -118,11 +118,14 @@ def train_sparse_additive(df: DataFrame, max_support: int = 40, num_lambda: int
     feats = feature_columns(df)
     # every fit is an iterative job over the same rows: materialise them once
     x = positional(df, feats, target, missing=0.0).cache()
+    n_rows = x.count()
+    # each optimiser iteration is a job over every partition: keep about 50k rows per partition
+    parts = max(1, min(x.rdd.getNumPartitions(), -(-n_rows // 50_000)))
     ybar = x.agg(F.avg(LABEL)).first()[0] or 0.0
     grads = x.agg(*[F.avg(F.col(f"f{i}") * (F.col(LABEL) - F.lit(ybar))).alias(f"g{i}")
                     for i in range(len(feats))]).first()
     lam_max = max([abs(g) for g in grads if g is not None] + [1e-6])
-    assembled = _assembler(len(feats)).transform(x).select("features", LABEL).cache()
+    assembled = _assembler(len(feats)).transform(x).select("features", LABEL).coalesce(parts).cache()
     assembled.count()
     x.unpersist()
     fits = {}

@@ -8,8 +8,10 @@ retries), so a lost executor recomputes the same rows.
 No stratum is ever gathered into one task. The leading hex digits of the hash
 split each stratum into ``16**digits`` buckets; a small histogram (partially
 aggregated before its shuffle) locates the bucket in which the n-th row falls.
-Rows in earlier buckets are kept outright; only the rows of that one boundary
-bucket (about stratum_size / 16**digits rows) are ranked exactly.
+Rows in earlier buckets are kept outright, without a shuffle; only the rows of
+that one boundary bucket (about stratum_size / 16**digits rows) are shuffled and
+ranked exactly. The input is read three times (histogram, kept rows, boundary
+rows): ``sample_panel`` checkpoints its input first.
 """
 
 from __future__ import annotations
@@ -75,12 +77,14 @@ def stratified_sample(df: DataFrame, strata: list, n: int | None, seed=C.Setting
     # one row per stratum holding more than n rows: bounded by the number of strata
     cond = [d[s].eqNullSafe(cut["_s_" + s]) for s in strata]
     j = d.join(F.broadcast(cut), cond, "left")
-    # rank inside (stratum, bucket) only: each window partition is one hash bucket
-    rw = Window.partitionBy(*strata, "_b").orderBy("_h", key)
-    keep = (F.col("_bstar").isNull() | (F.col("_b") < F.col("_bstar"))
-            | ((F.col("_b") == F.col("_bstar")) & (F.row_number().over(rw) <= F.col("_take"))))
-    j = j.withColumn("_keep", keep).where("_keep")
-    return j.drop("_h", "_b", "_bstar", "_take", "_keep", *["_s_" + s for s in strata])
+    drop = ["_h", "_b", "_bstar", "_take"] + ["_s_" + s for s in strata]
+    # rows before the boundary bucket are kept where they are (no shuffle) ...
+    whole = j.where(F.col("_bstar").isNull() | (F.col("_b") < F.col("_bstar")))
+    # ... only the boundary bucket's rows (about stratum / 16**digits) are ranked
+    edge = j.where(F.col("_b") == F.col("_bstar"))
+    rw = Window.partitionBy(*strata).orderBy("_h", key)
+    edge = edge.withColumn("_rn", F.row_number().over(rw)).where(F.col("_rn") <= F.col("_take"))
+    return whole.drop(*drop).unionByName(edge.drop("_rn", *drop))
 
 
 def sample_panel(df: DataFrame, train_dates: list, test_dates: list, train_size: int | None,
@@ -110,10 +114,11 @@ def train_test_split(df: DataFrame, train_dates: list, test_dates: list, train_s
     n = train_size // len(train_dates)
     tr = at_obs_dates(df, train_dates)
     if check:
-        short = (tr.groupBy(MONTH).count().where(F.col("count") < n).limit(1).collect())
-        found = {r[MONTH] for r in tr.groupBy(MONTH).count().collect()} if not short else set()
-        if short or len(found) < len(train_dates):
-            raise ValueError(f"an observation month holds fewer than {n} rows")
+        # one row per observation month reaches the driver
+        counts = {r[MONTH]: r["count"] for r in tr.groupBy(MONTH).count().collect()}
+        short = [d for d in obs_month_ends(train_dates) if counts.get(d, 0) < n]
+        if short:
+            raise ValueError(f"observation months {short} hold fewer than {n} rows")
     return stratified_sample(tr, [MONTH], n, seed), at_obs_dates(df, test_dates)
 
 
