@@ -100,22 +100,24 @@ def audit_archives(spark: SparkSession, pattern: str) -> DataFrame:
 
 def _write_zips(batches, out_dir: str):
     """Each Arrow batch of a task becomes one archive per archive key (bounded memory:
-    lines are streamed into the zip member)."""
-    import uuid
+    lines are streamed into the zip member). File names depend only on the partition and
+    batch number, so a retried or speculative task attempt overwrites its own files
+    instead of adding duplicates."""
     from pyarrow import fs
-    for pdf in batches:
+    from pyspark import TaskContext
+    pid = TaskContext.get().partitionId()
+    for i, pdf in enumerate(batches):
         if pdf.empty:
             continue
-        for key, part in pdf.groupby("archive"):
-            target = f"{out_dir.rstrip('/')}/{key}-{uuid.uuid4().hex[:12]}.zip"
+        for (key, member), part in pdf.groupby(["archive", "member"]):
+            target = f"{out_dir.rstrip('/')}/{key}-{member}-p{pid:05d}-b{i:05d}.zip"
             filesystem, inner = (fs.FileSystem.from_uri(target) if "://" in target
                                  else (fs.LocalFileSystem(), target))
             with filesystem.open_output_stream(inner) as f, \
-                    zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as zf:
-                for member, lines in part.groupby("member"):
-                    with zf.open(f"{member}.txt", "w") as m:
-                        for ln in lines["line"]:
-                            m.write(ln.encode("utf-8") + b"\n")
+                    zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as zf, \
+                    zf.open(f"{member}.txt", "w") as m:
+                for ln in part["line"]:
+                    m.write(ln.encode("utf-8") + b"\n")
         yield pd.DataFrame({"n": [len(pdf)]})
 
 
