@@ -8,9 +8,9 @@ bounded by its term (a few hundred months), so no loan key can grow hot.
 
 The ZIP default rate aggregates ``(scope, ZIP, month)`` partials first (map-side
 combine), runs the twelve-month window over that small table and joins the rate
-back on its key. That join is left to the adaptive planner: it becomes a broadcast
-when the measured rate table is small, otherwise a sort-merge join whose skewed
-partitions (a ZIP-month holding a large share of all rows) are split by AQE.
+back on its key. The rate table is checkpointed and counted: it is broadcast when
+within the limit, otherwise joined by a sort-merge join whose skewed partitions
+(a ZIP-month holding a large share of all rows) AQE splits.
 """
 
 from __future__ import annotations
@@ -112,7 +112,8 @@ def forward_default_label(perf: DataFrame, key: str = LOAN, month: str = MONTH,
 
 def zip_default_rate(panel: DataFrame, scope=("Year", "Quarter"), zip_col: str = "ZIP_Code",
                      month: str = MONTH, target: str = "Default", strict_calendar: bool = True,
-                     out: str = "ZIP_Default_Rate", broadcast_limit: int | None = 2_000_000) -> DataFrame:
+                     out: str = "ZIP_Default_Rate", broadcast_limit: int | None = 2_000_000,
+                     lag_months: int = 0) -> DataFrame:
     """Mean of the 0/1 label over all rows of the same ZIP (within ``scope``) whose month
     lies in (t - 12 months, t]; rows of other loans in the same month are included.
     A null ZIP is its own group.
@@ -120,15 +121,20 @@ def zip_default_rate(panel: DataFrame, scope=("Year", "Quarter"), zip_col: str =
     With ``broadcast_limit`` the rate table (one row per scope, ZIP and month) is
     checkpointed to the shared checkpoint folder and counted; within the limit it is
     broadcast, so the panel is not shuffled again. Beyond it (or with ``None``) the
-    join is a sort-merge join on the rate key, with AQE splitting hot ZIP-months."""
+    join is a sort-merge join on the rate key, with AQE splitting hot ZIP-months.
+
+    The label looks 12 months ahead, so the default rate of month t uses outcomes after
+    t (as the reference computes it). ``lag_months=12`` attaches to month t the rate of
+    month t - 12 instead, which only uses labels known by t."""
     keys = list(scope) + [zip_col]
     m = "_m"
     parts = (panel.groupBy(*keys, month)
              .agg(F.sum(F.col(target).cast("long")).alias("_s"), F.count(F.col(target)).alias("_n"))
              .withColumn(m, month_index(month)))
     w12, w13 = _frames(keys, m, strict_calendar)
+    rate_month = F.col(month) if not lag_months else F.last_day(F.add_months(F.col(month), lag_months))
     rates = parts.select(
-        *[F.col(k).alias("_r_" + k) for k in keys + [month]],
+        *[F.col(k).alias("_r_" + k) for k in keys], rate_month.alias("_r_" + month),
         (_trailing(F.sum, F.col("_s"), w12, w13, month).cast("double")
          / _trailing(F.sum, F.col("_n"), w12, w13, month).cast("double")).alias(out))
     if broadcast_limit is not None:

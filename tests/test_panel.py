@@ -128,3 +128,15 @@ def test_cleaning_sentinels_and_recode(spark):
     assert out["1"].First_Payment_Month == dt.date(2015, 2, 28) and out["1"].Sup_Conforming_Flag == "N"
     assert out["2"].ZIP_Code == "123" and out["2"].Property_Val_Meth == "R" and out["2"].MI_Canc_Indicator == "9"
     assert out["3"].Property_Val_Meth == "A"
+
+
+def test_zip_rate_lag_option(spark):
+    rows = [("1", dt.date(2015, m, 1), "001", 1 if m == 1 else 0) for m in range(1, 13)]
+    rows += [("1", dt.date(2016, m, 1), "001", 0) for m in range(1, 13)]
+    df = (spark.createDataFrame(rows, "Loan_Num string, d date, ZIP_Code string, Default int")
+          .select("Loan_Num", F.last_day("d").alias("Month"), "ZIP_Code", "Default",
+                  F.lit(2015).alias("Year"), F.lit(1).alias("Quarter")))
+    now = {r.Month: r.ZIP_Default_Rate for r in zip_default_rate(df).collect()}
+    lagged = {r.Month: r.ZIP_Default_Rate for r in zip_default_rate(df, lag_months=12).collect()}
+    assert lagged[dt.date(2016, 1, 31)] == now[dt.date(2015, 1, 31)] == 1.0
+    assert lagged[dt.date(2015, 6, 30)] is None
