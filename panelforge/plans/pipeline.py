@@ -107,9 +107,20 @@ def read_processed(spark: SparkSession, path: str, quarters: list | None = None)
     return df
 
 
+def require_vintages(spark: SparkSession, table: DataFrame, quarters: list) -> None:
+    """Refuse to run when a wanted vintage has no rows (one distinct-vintage aggregate;
+    at most len(quarters) rows reach the driver)."""
+    from ..sources.quarters import missing_quarters
+    wanted = spark.createDataFrame([tuple(q) for q in quarters], "Year int, Quarter int")
+    missing = sorted(tuple(r) for r in missing_quarters(wanted, table).collect())
+    if missing:
+        raise RuntimeError(f"missing processed vintages {missing}: run the process stage first")
+
+
 def run_sample(spark: SparkSession, processed_path: str, out_path: str, s: C.Settings,
                binary: bool = False, econ: dict | None = None, fit_each: bool = False) -> None:
     panel = read_processed(spark, processed_path, s.quarters)
+    require_vintages(spark, panel, s.quarters)
     train, test = sample_panel(panel, s.train_obs_dates, s.test_obs_dates, s.train_size,
                                s.test_size, seed=s.seed, n_quarters=len(s.quarters))
     if econ is not None:

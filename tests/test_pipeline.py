@@ -17,6 +17,9 @@ def test_process_sample_train(spark, tmpdir_path):
     econ = PL.economic_series(spark, SF)
     with pytest.raises(FileNotFoundError):
         PL.read_training_set(spark, tmpdir_path + "/sets")
+    with pytest.raises(RuntimeError):
+        bad = C.Settings(**{**s.__dict__, "quarters": [(2015, 1), (2016, 1)]})
+        PL.run_sample(spark, processed, tmpdir_path + "/bad", bad)
     PL.run_sample(spark, processed, tmpdir_path + "/sets", s, binary=True, econ=econ)
     tr = PL.read_training_set(spark, tmpdir_path + "/sets")
     te = spark.read.parquet(tmpdir_path + "/sets/test_binary.parquet")
