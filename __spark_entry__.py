@@ -284,12 +284,16 @@ def q_percentile_thresholds(spark, d):
 
 
 def _encoded_long(df: DataFrame, model, only=None) -> DataFrame:
+    """Encoded frame in long form (Loan_Num, Month, feature, value): one array of
+    (feature, value) structs per row, exploded (a Generate, evaluated once per row)."""
     enc = model.transform(df)
     names = [c for c in enc.columns if c not in df.columns]
     if only is not None:
         names = [n for n in names if only(n)]
-    stacked = enc.select("Loan_Num", "Month", *[F.col(f"`{n}`").cast("int").alias(n) for n in names])
-    return stacked.unpivot(["Loan_Num", "Month"], [F.col(f"`{n}`") for n in names], "feature", "value")
+    pairs = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"`{n}`").cast("int").alias("value"))
+                      for n in names])
+    return enc.select("Loan_Num", "Month", F.explode(pairs).alias("_fv")).select(
+        "Loan_Num", "Month", "_fv.feature", "_fv.value")
 
 
 def q_missing_indicators(spark, d):
