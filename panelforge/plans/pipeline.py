@@ -19,11 +19,29 @@ from ..operators.sampling import sample_panel
 from ..sources import fixtures as fx
 
 
-def loan_tables(spark: SparkSession, sf_dir: str):
+def ingested_raw(spark: SparkSession, sf_dir: str, materialize: bool = False):
+    """Raw origination and performance records derived from the benchmark tables.
+
+    With ``materialize`` they are written once as Parquet to the shared checkpoint folder
+    and read back, as the production pipeline ingests the raw files once: later stages
+    then get a columnar scan with pruning (the rate branch of the panel reads only the
+    few columns it needs) instead of re-deriving the records."""
+    orig, perf = fx.raw_origination(spark, sf_dir), fx.raw_performance(spark, sf_dir)
+    if not materialize:
+        return orig, perf
+    from ..session import scratch_path
+    out = []
+    for name, df in (("orig-raw", orig), ("perf-raw", perf)):
+        path = scratch_path(spark, name)
+        df.write.mode("overwrite").parquet(path)
+        out.append(spark.read.parquet(path))
+    return out[0], out[1]
+
+
+def loan_tables(spark: SparkSession, sf_dir: str, materialize: bool = False):
     """Cleaned origination and performance records derived from the benchmark tables."""
-    orig = clean_origination(fx.raw_origination(spark, sf_dir))
-    perf = clean_performance(fx.raw_performance(spark, sf_dir))
-    return orig, perf
+    orig_raw, perf_raw = ingested_raw(spark, sf_dir, materialize)
+    return clean_origination(orig_raw), clean_performance(perf_raw)
 
 
 def processed_panel(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
