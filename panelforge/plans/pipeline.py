@@ -160,3 +160,25 @@ def read_training_set(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.parquet(p)
     except Exception as e:  # AnalysisException: path does not exist
         raise FileNotFoundError(f"{p} not found; create it with run_sample(..., binary=True)") from e
+
+
+def model_file_name(model: str, params: dict) -> str:
+    """Parameter-derived model name, e.g. ``random_forest_balanced``."""
+    if model == "random_forest":
+        return "random_forest" + ("_balanced" if params.get("balanced", True) else "")
+    if model == "sparse_additive":
+        return f"sparse_additive_{params.get('max_support', 40)}"
+    return model
+
+
+def run_train(spark: SparkSession, sets_path: str, models_dir: str, model: str = "random_forest",
+              **params) -> str:
+    """Train stage: read the binary training set (error if absent), fit the named trainer
+    with ``params`` and save it under a parameter-derived name. Returns the model path."""
+    from ..operators.models import get_trainer
+    trainer = get_trainer(model)
+    df = read_training_set(spark, sets_path)
+    fitted = trainer(df, **params)
+    path = f"{models_dir.rstrip('/')}/{model_file_name(model, params)}"
+    fitted.save(path)
+    return path

@@ -30,6 +30,11 @@ def test_process_sample_train(spark, tmpdir_path):
     assert 0 < n <= s.train_size
     m = get_trainer("random_forest")(tr, num_trees=10, max_depth=4)
     assert m.predict(te).count() == te.count()
+    path = PL.run_train(spark, tmpdir_path + "/sets", tmpdir_path + "/models", "random_forest",
+                        num_trees=5, max_depth=3)
+    assert path.endswith("random_forest_balanced")
+    from panelforge.operators.models import TrainedModel
+    assert TrainedModel.load(path).predict(te).count() == te.count()
     # plain (non-binary) sets keep the raw feature columns
     PL.run_sample(spark, processed, tmpdir_path + "/plain", s, binary=False)
     plain = spark.read.parquet(tmpdir_path + "/plain/train.parquet")
