@@ -1,8 +1,8 @@
 """Binary feature encoding as a fit/transform model.
 
-``fit`` computes, in two small aggregate jobs, which columns hold nulls and the
-percentile cut points of every continuous column; only those per-column summaries
-(a few numbers each) reach the driver. ``transform`` is one ``select`` of
+``fit`` computes which columns hold nulls (one aggregate) and the exact percentile
+cut points of every continuous column (``threshold_table``); only those per-column
+summaries (a few numbers each) reach the driver. ``transform`` is one ``select`` of
 indicator expressions, so it stays in whole-stage codegen and can be applied to
 any frame (train, test, a fresh month of data) with identical output columns.
 """
