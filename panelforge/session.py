@@ -8,9 +8,11 @@ that setting is absent (tests and the local bench).
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -50,6 +52,27 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package (Python functions are pickled by module name): one
+    small zip per Spark application, spread by Spark like any added file."""
+    sc = spark.sparkContext
+    if getattr(sc, "_panelforge_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    path = os.path.join(folder, n)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    path = os.path.join(tempfile.mkdtemp(prefix="panelforge-zip-"), "panelforge.zip")
+    with open(path, "wb") as f:
+        f.write(buf.getvalue())
+    sc.addPyFile(path)
+    sc._panelforge_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: ``spark.checkpoint.dir`` if set. Only a local-mode
     session (tests, the local bench) may fall back to a new local folder; on a cluster a
@@ -64,6 +87,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
+    ship_package(spark)
     return d
 
 
