@@ -485,6 +485,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_default_rate_by_month(spark, SF_SMOKE)
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators, where that subpackage is present."""
+    try:
+        import corpus_pipeline
+        from panelforge.llm import queries as llm
+    except ImportError as e:
+        if e.name in ("corpus_pipeline", "panelforge.llm", "panelforge.llm.queries"):
+            return {}, {}
+        raise
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, {**llm.ORACLE, **sql}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -493,9 +506,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         return run
-    return {k: wrap(v) for k, v in _QUERIES.items()}
+    return {k: wrap(v) for k, v in {**_QUERIES, **_training_data()[0]}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     from panelforge.sources.oracle_queries import ORACLE
-    return dict(ORACLE)
+    return {**ORACLE, **_training_data()[1]}
