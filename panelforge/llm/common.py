@@ -59,17 +59,24 @@ def number_within(df: DataFrame, group: str, order: list[str], out: str, buckets
             .drop(b, f"{out}__row", f"{out}__first"))
 
 
-def slices(raw: list, limit: int = 4 << 20):
-    """(first, stop) of runs of texts of about ``limit`` bytes, so that what is held per step
-    doesn't depend on how many rows an Arrow batch has."""
-    first, size = 0, 0
-    for i, t in enumerate(raw):
-        size += len(t)
-        if size >= limit:
-            yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(raw):
-        yield first, len(raw)
+def bitmap_of(df: DataFrame, column: str, bits: int = 27):
+    """A numpy bitmap of ``1 << bits`` cells with those of the low bits of the long ``column``
+    set: what a task may look up to skip rows early. Its size is bounded whatever ``df``
+    holds; a false hit only lets a row through to the exact step behind it."""
+    import numpy as np
+    cell = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
+    words = df.select(F.shiftright(cell, 6).alias("word"), cell.bitwiseAND(F.lit(63)).cast("int").alias("bit")).groupBy(
+        "word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("set")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[words.column("word").to_numpy()] = words.column("set").to_numpy().view(np.uint64)
+    return out
+
+
+def in_bitmap(bitmap, values):
+    """Which of the uint64 ``values`` hit a set cell."""
+    import numpy as np
+    cell = values & np.uint64((len(bitmap) << 6) - 1)
+    return (bitmap[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))) & np.uint64(1) == 1
 
 
 def raw_texts(column) -> list[bytes]:
@@ -77,3 +84,20 @@ def raw_texts(column) -> list[bytes]:
     import pyarrow as pa
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
     return [t or b"" for t in column.cast(kind).to_pylist()]
+
+
+def slices(batches, column: int, limit: int = 1 << 20, rows: int = 256):
+    """(part of a batch, bytes of its texts in ``column``) over Arrow batches, in parts of at
+    most ``rows`` rows and about ``limit`` bytes: what a task holds as Python objects doesn't
+    depend on how many or how long the texts of a batch are."""
+    import pyarrow as pa
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            part = batch.slice(a, rows)
+            raws, first, size = raw_texts(part.column(column)), 0, 0
+            for i, t in enumerate(raws):
+                size += len(t)
+                if size >= limit or i + 1 == len(raws):
+                    yield part.slice(first, i + 1 - first), raws[first:i + 1]
+                    first, size = i + 1, 0
+        pa.default_memory_pool().release_unused()

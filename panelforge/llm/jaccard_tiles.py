@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, pick, raw_texts
+from .common import bitmap_of, in_bitmap, materialize, pick, raw_texts, slices
 from .components import connected_components
 
 NUMERATOR, DENOMINATOR = 9, 10
@@ -50,7 +50,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Sorted distinct 64-bit shingle hashes of a text; word hashes in a bounded cache."""
 
-    def __init__(self, n: int = 3, limit: int = 400_000):
+    def __init__(self, n: int = 3, limit: int = 150_000):
         self.n, self.limit, self.known = n, limit, {}
 
     def __call__(self, raw: bytes) -> np.ndarray:
@@ -117,28 +117,25 @@ def describe(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
     def run(batches):
         shingler = Shingler(shingle)
-        for batch in batches:
-            raws, ids = raw_texts(batch.column(1)), batch.column(0).to_pylist()
-            for a in range(0, len(raws), 500):
-                n, k1, k2, maps, offsets, tiles = [], [], [], [], [0], []
-                for raw in raws[a:a + 500]:
-                    s = shingler(raw)
-                    n.append(len(s))
-                    key = xxhash.xxh3_128_intdigest(s.tobytes())
-                    k1.append((key >> 64) - (1 << 63) if len(s) else None)
-                    k2.append((key & (1 << 64) - 1) - (1 << 63) if len(s) else None)
-                    maps.append(bitmap(s))
-                    t = signatures(s)
-                    tiles.append(t.view(np.int64))
-                    offsets.append(offsets[-1] + len(t))
-                m = np.stack(maps)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[a:a + 500], pa.int64()), pa.array(n), pa.array(k1, pa.int64()), pa.array(k2, pa.int64())] +
-                    [pa.array(m[:, i].copy()) for i in range(WORDS)] +
-                    [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(tiles)))],
-                    schema=arrow)
-
-    return docs.mapInArrow(run, ddl)
+        for part, raws in slices(batches, 1):
+            n, k1, k2, maps, offsets, tiles = [], [], [], [], [0], []
+            for raw in raws:
+                s = shingler(raw)
+                n.append(len(s))
+                key = xxhash.xxh3_128_intdigest(s.tobytes())
+                k1.append((key >> 64) - (1 << 63) if len(s) else None)
+                k2.append((key & (1 << 64) - 1) - (1 << 63) if len(s) else None)
+                maps.append(bitmap(s))
+                t = signatures(s)
+                tiles.append(t.view(np.int64))
+                offsets.append(offsets[-1] + len(t))
+            m = np.stack(maps)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64())] +
+                [pa.array(m[:, i].copy()) for i in range(WORDS)] +
+                [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(tiles)))], schema=arrow)
+
+    return docs.select("doc_id", "text").mapInArrow(run, ddl)
 
 
 def _possible(left: str, right: str) -> Column:
@@ -155,18 +152,30 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.toDF(*[prefix + c for c in df.columns])
 
 
-def _verify(spark: SparkSession, pairs: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+def _texts(spark: SparkSession, docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents of ``ids(doc_id)``. A bitmap of bounded size drops most others in the
+    scan, so that only few texts are shuffled to the exact semi join."""
+    ids = ids.withColumn("cell", F.xxhash64("doc_id"))
+    held = spark.sparkContext.broadcast(bitmap_of(ids, "cell"))
+
+    def keep(batches):
+        for batch in batches:
+            hit = in_bitmap(held.value, batch.column(2).to_numpy().view(np.uint64))
+            yield batch.filter(pa.array(hit)).select([0, 1])
+
+    some = docs.withColumn("cell", F.xxhash64("doc_id")).mapInArrow(keep, "doc_id long, text string")
+    return materialize(spark, some.join(ids.select("doc_id"), "doc_id", "left_semi"), "jaccard-texts")
+
+
+def _verify(spark: SparkSession, pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     """The linked pairs (a, b) of ``pairs``, by the exact intersection of the sorted arrays."""
     pairs = materialize(spark, pairs, "jaccard-pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = materialize(spark, docs.join(ids, "doc_id", "left_semi"), "jaccard-texts")
 
     def run(batches):
         shingler = Shingler(shingle)
-        for batch in batches:
-            left, right, out_a, out_b = raw_texts(batch.column(2)), raw_texts(batch.column(3)), [], []
-            last = (None, None)
-            for i, (a, b) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+        for part, left in slices(batches, 2):
+            right, out_a, out_b, last = raw_texts(part.column(3)), [], [], (None, None)
+            for i, (a, b) in enumerate(zip(part.column(0).to_pylist(), part.column(1).to_pylist())):
                 if last[0] != left[i]:
                     last = (left[i], shingler(left[i]))
                 x, y = last[1], shingler(right[i])
@@ -197,6 +206,7 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = 3, id_c
     maps = sets.select(F.col("doc_id").alias("id"), "n", *[f"m{i}" for i in range(WORDS)]).join(
         reps.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
     maps = materialize(spark, maps, "jaccard-maps")
+    texts = _texts(spark, docs, cells.select(F.col("rep").alias("doc_id")).distinct())
 
     def fits(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that the bitmaps don't rule out."""
@@ -210,7 +220,7 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = 3, id_c
         F.count(F.lit(1)).alias("c"))
     best = pairs.groupBy("b").agg(F.max(F.struct("c", (-F.col("a")).alias("a"))).alias("x")).select(
         (-F.col("x.a")).alias("a"), "b")
-    links = _verify(spark, fits(best), docs, shingle)
+    links = _verify(spark, fits(best), texts, shingle)
     first = materialize(spark, connected_components(spark, links), "jaccard-first")
 
     # round 2: what lies in tiles with several components, against all but its own component
@@ -226,7 +236,7 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = 3, id_c
     other = _prefixed(with_maps, "b_").withColumnRenamed("b_tile", "tile")
     more = minor.join(other, "tile").where("a_component <> b_component").where(_possible("a_", "b_")).select(
         F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).distinct()
-    links = links.union(_verify(spark, more, docs, shingle))
+    links = links.union(_verify(spark, more, texts, shingle))
 
     final = connected_components(spark, links)
     out = known.select("doc_id", "n", "rep").join(final.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
