@@ -13,9 +13,9 @@ suffix cut where it stops to matter. Then:
    tree that keeps what prefix each string shares with the last winner and never compares
    known prefixes again. Equal units meet, byte for byte, and are repeated in full;
 3. units with one anchor gram but other text around it are compared outwards from the
-   gram: the stretch they share, if 200 bytes or longer, is repeated in both. Anchors with
-   very many different units use the hashes (128 bits) of their windows instead, in rows
-   that Spark spreads over all tasks; the result is the same.
+   gram: the stretch they share, if 200 bytes or longer, is repeated in both. Very many
+   different units are dealt to blocks; what is not found repeated inside a block is
+   looked for in the others by the hashes (128 bits) of its windows.
 
 The text is read twice, and only documents with candidate units are kept for the last
 step, in which their repeated bytes are removed.
@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, pick, raw_texts
+from .common import bitmap_of, in_bitmap, materialize, pick, slices
 
 WINDOW, GRAM = 200, 100
 BLOCK = 1 << 20          # window starts looked at together
@@ -247,8 +247,8 @@ def _name(s: bytes) -> tuple[int, int]:
 def _repeated_grams(spark: SparkSession, docs: DataFrame, bits: int) -> np.ndarray:
     """Bitmap of ``1 << bits`` hash values: which gram hashes occur more than once."""
     def hashes(batches):
-        for batch in batches:
-            for raw in raw_texts(batch.column(1)):
+        for _, raws in slices(batches, 1):
+            for raw in raws:
                 h = units(raw)[0]
                 if len(h):
                     yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
@@ -264,13 +264,8 @@ def _repeated_grams(spark: SparkSession, docs: DataFrame, bits: int) -> np.ndarr
         if held:
             yield pa.RecordBatch.from_arrays([pa.concat_arrays(held)], names=["h"])
 
-    cell = F.col("h").bitwiseAND(F.lit((1 << bits) - 1))
     twice = docs.mapInArrow(joined, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    words = twice.groupBy(F.shiftright(cell, 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("set")).toArrow()
-    out = np.zeros(1 << (bits - 6), np.uint64)
-    out[words.column("word").to_numpy()] = words.column("set").to_numpy().view(np.uint64)
-    return out
+    return bitmap_of(twice, "h", bits)
 
 
 def _candidates(spark: SparkSession, docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
@@ -282,22 +277,16 @@ def _candidates(spark: SparkSession, docs: DataFrame, bitmap: np.ndarray) -> Dat
 
     def run(batches):
         seen = held.value
-        mask = np.uint64((len(seen) << 6) - 1)
-        for batch in batches:
-            rows, size = [], 0
-            for row, doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), raw_texts(batch.column(2))):
+        for part, raws in slices(batches, 2):
+            rows = []
+            for row, doc, raw in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), raws):
                 h, first, length, off = units(raw)
-                cell = h & mask
-                hit = (seen[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))) & np.uint64(1) == 1
+                hit = in_bitmap(seen, h)
                 if hit.any():
                     packed = np.stack([first[hit], length[hit], off[hit], h[hit].view(np.int64)]).astype("<i8").tobytes()
                     rows.append((row, doc, len(raw), None, raw, packed))
-                    size += len(raw)
                 else:
                     rows.append((row, doc, len(raw), hashlib.sha256(raw).hexdigest(), None, None))
-                if size > 8 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
-                    rows, size = [], 0
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
@@ -356,42 +345,55 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, buckets: int | None = N
         merge, "u1 long, u2 long, h long, off int, twice boolean, unit binary"), "suffix-units")
     groups = different.groupBy("h").agg(F.count(F.lit(1)).alias("g"), F.min(F.col("twice").cast("int")).alias("whole"))
     groups = groups.where("g > 1 and whole = 0").drop("whole")
-    mixed = materialize(spark, different.join(groups, "h"), "suffix-mixed")
-
-    span = "array<struct<a: int, b: int>>"
-    arrow_span = pa.schema([("u1", pa.int64()), ("u2", pa.int64()),
-                            ("spans", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))])
-
-    def compare(table: pa.Table) -> pa.Table:
-        texts, u1, u2 = (table.column(c).to_pylist() for c in ("unit", "u1", "u2"))
-        twice = table.column("twice").to_pylist()
-        rows = [(x, y, [{"a": a, "b": b} for a, b in s]) for x, y, s, t in
-                zip(u1, u2, stretches(texts, table.column("off").to_pylist()), twice) if s and not t]
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 3, arrow_span)], schema=arrow_span)
-
-    near = mixed.where(F.col("g") <= pairwise).groupBy("h").applyInArrow(compare, f"u1 long, u2 long, spans {span}")
-
-    def windows(batches):
-        for batch in batches:
-            for u1, u2, t, unit in zip(*(batch.column(c).to_pylist() for c in ("u1", "u2", "twice", "unit"))):
-                n = len(unit) - WINDOW + 1
-                names = [_name(unit[i:i + WINDOW]) for i in range(n)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x for x, _ in names], pa.int64()), pa.array([y for _, y in names], pa.int64()),
-                     pa.array([u1] * n, pa.int64()), pa.array([u2] * n, pa.int64()), pa.array([t] * n),
-                     pa.array(range(n), pa.int32())], names=["w1", "w2", "u1", "u2", "twice", "at"])
-
-    many = mixed.where(F.col("g") > pairwise).mapInArrow(
-        windows, "w1 long, w2 long, u1 long, u2 long, twice boolean, at int")
-    many = materialize(spark, many, "suffix-windows")
-    again = many.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    # the windows of a unit that are found in another one, as runs of consecutive places
-    hits = many.where("not twice").join(again, ["w1", "w2"]).groupBy("u1", "u2").agg(
-        F.transform(F.array_sort(F.collect_list("at")), lambda a: F.struct(
-            a.cast("int").alias("a"), (a + WINDOW).cast("int").alias("b"))).alias("spans"))
-    whole = different.where("twice").select("u1", "u2", F.array(F.struct(
-        F.lit(0).alias("a"), F.length("unit").alias("b"))).alias("spans"))
-    result = whole.union(near).union(hits)
+    mixed = different.join(groups, "h").withColumn(
+        "block", F.pmod(F.col("u1"), F.expr(f"(g + {pairwise - 1}) div {pairwise}")).cast("int"))
+    rows = pa.schema([("u1", pa.int64()), ("u2", pa.int64()), ("a", pa.int32()), ("b", pa.int32()),
+                      ("bucket", pa.int32()), ("windows", pa.binary())])
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        """Stretches (a, b) shared inside the block. For gram hashes of several blocks also the
+        windows, packed by bucket: those known to be repeated once each, the others all."""
+        texts, twice = table.column("unit").to_pylist(), table.column("twice").to_pylist()
+        names, known, out = list(zip(table.column("u1").to_pylist(), table.column("u2").to_pylist())), set(), []
+        shared = stretches(texts, table.column("off").to_pylist())
+        several, by = table.column("g")[0].as_py() > pairwise, {}
+        for (u1, u2), unit, all_, spans in zip(names, texts, twice, shared):
+            if not all_:
+                out += [(u1, u2, a, b, None, None) for a, b in spans]
+            if several:
+                inside, at = [(0, len(unit))] if all_ else spans, 0
+                for i in range(len(unit) - WINDOW + 1):
+                    while at < len(inside) and inside[at][1] < i + WINDOW:
+                        at += 1
+                    w, found = _name(unit[i:i + WINDOW]), at < len(inside) and inside[at][0] <= i
+                    if not found or w not in known:
+                        by.setdefault(w[0] % buckets, []).append((*w, u1, u2, i, int(found)))
+                    if found:
+                        known.add(w)
+        out += [(None, None, None, None, b, zlib.compress(np.array(v, "<i8").tobytes(), 1)) for b, v in by.items()]
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 6, rows)], schema=rows)
+
+    near = materialize(spark, mixed.groupBy("h", "block").applyInArrow(
+        compare, "u1 long, u2 long, a int, b int, bucket int, windows binary"), "suffix-near")
+    hits = pa.schema([(c, pa.int64()) for c in ("u1", "u2")] + [(c, pa.int32()) for c in ("a", "b")])
+
+    def across(key: tuple, table: pa.Table) -> pa.Table:
+        """Windows of the bucket that only another block repeats."""
+        m = np.concatenate([np.frombuffer(zlib.decompress(x), "<i8").reshape(-1, 6)
+                            for x in table.column("windows").to_pylist()])
+        m = m[np.lexsort((m[:, 1], m[:, 0]))]
+        first = np.flatnonzero(np.concatenate([[True], (m[1:, :2] != m[:-1, :2]).any(1)]))
+        n = np.diff(np.append(first, len(m)))
+        some = np.maximum.reduceat(m[:, 5], first)
+        m = m[np.repeat((n > 1) | (some > 0), n) & (m[:, 5] == 0)]
+        return pa.table([pa.array(m[:, 2]), pa.array(m[:, 3]), pa.array(m[:, 4], pa.int32()),
+                         pa.array(m[:, 4] + WINDOW, pa.int32())], schema=hits)
+
+    other = near.where("bucket is not null").groupBy("bucket").applyInArrow(across, "u1 long, u2 long, a int, b int")
+    result = near.where("bucket is null").select("u1", "u2", "a", "b").union(other)
+    result = result.groupBy("u1", "u2").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    result = result.union(different.where("twice").select("u1", "u2", F.array(F.struct(
+        F.lit(0).alias("a"), F.length("unit").alias("b"))).alias("spans")))
 
     def references(batches):
         for batch in batches:
