@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import pick, raw_texts
+from .common import materialize, pick, slices
 
 # Symbols of the base counts.
 SYMBOLS = b"#*$%&|<>"
@@ -91,8 +91,8 @@ def references(docs: DataFrame, common_words: int = 100, min_documents: int = 20
 
     def count(batches):
         held: dict = {}
-        for batch in batches:
-            for raw, g in zip(raw_texts(batch.column(0)), batch.column(1).to_pylist()):
+        for part, raws in slices(batches, 0):
+            for raw, g in zip(raws, part.column(1).to_pylist()):
                 mine = held.setdefault((g, 0), Counter())
                 mine.update(raw.lower().split())
                 total = held.setdefault((g, 1), Counter())
@@ -106,7 +106,7 @@ def references(docs: DataFrame, common_words: int = 100, min_documents: int = 20
         yield flush(held)
 
     counts = pick(docs, text=text_col, lang=lang_col).mapInArrow(count, schema)
-    by = counts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    by = materialize(docs.sparkSession, counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "quality-counts")
     both = by.where("lang is not null").union(by.groupBy(F.lit("").alias("lang"), "word").agg(F.sum("n").alias("n")))
     is_word = F.col("word") > F.lit(b" ~")
     top = F.row_number().over(Window.partitionBy("lang", is_word).orderBy(F.desc("n"), "word"))
@@ -145,9 +145,9 @@ def judge(spark: SparkSession, docs: DataFrame, max_word_distance: float = 0.45,
 
     def run(batches):
         ref = refs.value
-        for batch in batches:
+        for part, raws in slices(batches, 1):
             rows = []
-            for doc, raw, lang in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1)), batch.column(2).to_pylist()):
+            for doc, raw, lang in zip(part.column(0).to_pylist(), raws, part.column(2).to_pylist()):
                 base = base_counts(raw)
                 failed = base[0] < 50 or 100 * base[4] > 50 * base[0]
                 far = distances(raw, ref.get(lang) or ref[""])

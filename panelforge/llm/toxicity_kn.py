@@ -24,8 +24,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import materialize, pick, raw_texts, slices
+from .common import materialize, pick, slices
 
 WINDOW = 8
 STRONG = 2.3
@@ -43,7 +44,7 @@ def held_out(doc_id: Column) -> Column:
 class _Words:
     """Word hashes with a bounded cache."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         self.limit, self.known = limit, {}
 
     def ids(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -83,20 +84,18 @@ def bigram_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches):
         words = _Words()
-        for batch in batches:
-            raws, toxic = raw_texts(batch.column(0)), np.array(batch.column(1).to_pylist(), dtype=np.int64)
-            for a, b in slices(raws):
-                (v, w), counts = words.ids(raws[a:b])
-                label = np.repeat(toxic[a:b], counts)
-                order = np.lexsort((w, v))
-                v, w, label = v[order], w[order], label[order]
-                new = np.ones(len(v), bool)
-                new[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
-                at = np.flatnonzero(new)
-                t = np.add.reduceat(label, at) if len(at) else label
-                n = np.diff(np.append(at, len(v)))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
-                    v[at].view(np.int64), w[at].view(np.int64), t, n - t)], schema=arrow)
+        for part, raws in slices(batches, 0):
+            (v, w), counts = words.ids(raws)
+            label = np.repeat(part.column(1).to_numpy(), counts)
+            order = np.lexsort((w, v))
+            v, w, label = v[order], w[order], label[order]
+            new = np.ones(len(v), bool)
+            new[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
+            at = np.flatnonzero(new)
+            t = np.add.reduceat(label, at) if len(at) else label
+            n = np.diff(np.append(at, len(v)))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
+                v[at].view(np.int64), w[at].view(np.int64), t, n - t)], schema=arrow)
 
     return texts.mapInArrow(run, "v long, w long, t long, o long").groupBy("v", "w").agg(
         F.sum("t").alias("t"), F.sum("o").alias("o"))
@@ -241,12 +240,9 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int =
 
     def run(batches):
         words = _Words()
-        for batch in batches:
-            raws = raw_texts(batch.column(0))
-            for a, b in slices(raws):
-                x = evidence(raws[a:b], held.value, words)
-                yield pa.RecordBatch.from_arrays([*map(pa.array, x.T.copy()), batch.column(1).slice(a, b - a)],
-                                                 names=[*"abcd", "y"])
+        for part, raws in slices(batches, 0):
+            x = evidence(raws, held.value, words)
+            yield pa.RecordBatch.from_arrays([*map(pa.array, x.T.copy()), part.column(1)], names=[*"abcd", "y"])
 
     for part in ("part = 1", "part = 0"):  # the counts' own texts only if none were kept
         got = texts.where(part).select("text", "toxic").mapInArrow(run, "a double, b double, c double, d double, y long").toArrow()
@@ -254,13 +250,13 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int =
         if len(y) and 0 < y.sum() < len(y):
             break
     x = np.column_stack([got.column(c).to_numpy() for c in "abcd"])
+    held.unpersist()
     return {"base": base, "model": model, "fit": logistic(x, y)}
 
 
 def score(spark: SparkSession, docs: DataFrame, fitted: dict, out: str = "score", text_col: str = "text") -> DataFrame:
     """``docs`` with the column ``out``: 0 to 1, higher when toxic is likelier."""
     held = spark.sparkContext.broadcast(fitted)
-    from pyspark.sql.types import DoubleType, StructField, StructType
     names = [f"c{i}" for i in range(len(docs.columns))]
     text_at = docs.columns.index(text_col)
     schema = StructType([StructField(n, f.dataType, True) for n, f in zip(names, docs.schema)] +
@@ -268,13 +264,10 @@ def score(spark: SparkSession, docs: DataFrame, fitted: dict, out: str = "score"
 
     def run(batches):
         m, words = held.value, _Words()
-        for batch in batches:
-            raws, got = raw_texts(batch.column(text_at)), []
-            for a, b in slices(raws):
-                x = evidence(raws[a:b], m["model"], words)
-                got.append(apply_logistic(m["fit"], x) if m["fit"] else np.full(b - a, m["base"]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(got) if got else np.zeros(0))],
-                                             names=[*names, "score"])
+        for part, raws in slices(batches, text_at):
+            x = evidence(raws, m["model"], words)
+            got = apply_logistic(m["fit"], x) if m["fit"] else np.full(len(raws), m["base"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got)], names=[*names, "score"])
 
     return docs.toDF(*names).mapInArrow(run, schema).toDF(*docs.columns, out)
 
