@@ -279,7 +279,7 @@ def q_null_profile(spark, d):
 def q_percentile_thresholds(spark, d):
     tr = _dev_train(spark, d)
     cols = [c for c in continuous_columns(tr) if c not in set(FS.yn_columns) | set(FS.categorical_mappings)]
-    t = threshold_table(tr, cols, FS.num_thresholds, max_rows=FS.train_size)
+    t = threshold_table(tr, cols, FS.num_thresholds)
     return t.select("col_name", F.explode("thresholds").alias("threshold"))
 
 
@@ -298,21 +298,21 @@ def _encoded_long(df: DataFrame, model, only=None) -> DataFrame:
 
 def q_missing_indicators(spark, d):
     tr = _dev_train(spark, d)
-    model = BinaryEncoder(num_thresholds=FS.num_thresholds, max_rows=FS.train_size).fit(tr)
+    model = BinaryEncoder(num_thresholds=FS.num_thresholds).fit(tr)
     model.thresholds, model.yn_columns, model.categorical_mappings = {}, [], {}
     return _encoded_long(tr, model)
 
 
 def q_category_encoding(spark, d):
     tr = _dev_train(spark, d)
-    model = BinaryEncoder(num_thresholds=FS.num_thresholds, max_rows=FS.train_size).fit(tr)
+    model = BinaryEncoder(num_thresholds=FS.num_thresholds).fit(tr)
     model.thresholds, model.missing_cols = {}, []
     return _encoded_long(tr, model)
 
 
 def q_threshold_encoding(spark, d):
     tr = _dev_train(spark, d)
-    model = BinaryEncoder(num_thresholds=FS.num_thresholds, max_rows=FS.train_size).fit(tr)
+    model = BinaryEncoder(num_thresholds=FS.num_thresholds).fit(tr)
     model.missing_cols, model.yn_columns, model.categorical_mappings = [], [], {}
     return _encoded_long(tr, model)
 
@@ -321,7 +321,7 @@ def q_binary_encoding(spark, d):
     """Encoder fitted on the training set, applied to the test set (long form)."""
     train, test = _sets(spark, d)
     tr, te = PL.project_features(train, FS), PL.project_features(test, FS)
-    model = BinaryEncoder(num_thresholds=FS.num_thresholds, max_rows=FS.train_size).fit(tr)
+    model = BinaryEncoder(num_thresholds=FS.num_thresholds).fit(tr)
     return _encoded_long(te, model)
 
 
@@ -391,13 +391,17 @@ def q_ingest_archives(spark, d):
     from panelforge.sources.archives import ingest_loan_archives
     out = _write_fixture_archives(spark, d)
     _, perf = ingest_loan_archives(spark, out + "/*.zip")
-    return perf
+    return perf.drop("Year", "Quarter")
 
 
 def q_audit_archives(spark, d):
-    from panelforge.sources.archives import audit_archives
+    from panelforge.sources.archives import add_broken_archives, audit_archives
     out = _write_fixture_archives(spark, d)
-    return audit_archives(spark, out + "/*.zip").select("length", "is_zip", "n_members", "error")
+    add_broken_archives(out)
+    kind = F.regexp_extract("path", r"(historical_data(?:_time)?_\d{4}Q\d|truncated|empty|text)(?:-p\d+-b\d+)?\.zip$", 1)
+    return (audit_archives(spark, out + "/*.zip").groupBy(kind.alias("archive"))
+            .agg(F.max(F.col("is_zip").cast("int")).alias("is_zip"), F.max("n_members").alias("n_members"),
+                 F.max(F.col("error").isNotNull().cast("int")).alias("broken")))
 
 
 def q_incremental_process(spark, d):

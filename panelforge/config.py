@@ -75,6 +75,7 @@ CATEGORICAL_MAPPINGS = {
                                         ("T", "Trial Period")],
     "Modification_Flag": [("Y", "Yes"), ("P", "Prev. Period")],
 }
+# The Y/N columns.
 YN_COLUMNS = ["First_Time_Home_Buyer_Flag", "Prepay_Penalty", "Sup_Conforming_Flag",
               "Step_Modification_Flag", "Delinquency_Disaster_Flag"]
 # Names given to the missing indicators of two columns.

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..functions import (is_monthly_period, log10p1, month_end, period_to_month, quarter_end,
                          release_lag, safe_div, zero_pad)
 
-BROADCAST_LIMIT_ROWS = 5_000_000
 
 
 def gap_fill(df: DataFrame, keys: list, month: str = "Month") -> DataFrame:
@@ -72,18 +71,15 @@ def lagged(series: DataFrame, months: int, month: str = "Month") -> DataFrame:
     return series.withColumn(month, release_lag(month, months))
 
 
-def attach(left: DataFrame, right: DataFrame, left_on: list, right_on: list,
-           broadcast_limit: int | None = BROADCAST_LIMIT_ROWS) -> DataFrame:
-    """Left join of a keyed series. Right-side key columns are dropped. The series is
-    broadcast only when its row count is within ``broadcast_limit`` (checked here)."""
+def attach(left: DataFrame, right: DataFrame, left_on: list, right_on: list) -> DataFrame:
+    """Left join of a keyed series. Right-side key columns are dropped. No hint: the planner
+    and AQE broadcast the series by its measured bytes, or shuffle it."""
     r = right
     renamed = {}
     for lk, rk in zip(left_on, right_on):
         tmp = f"_k_{lk}"
         renamed[rk] = tmp
         r = r.withColumnRenamed(rk, tmp)
-    if broadcast_limit is not None and r.count() <= broadcast_limit:
-        r = F.broadcast(r)
     cond = [left[lk] == r[renamed[rk]] for lk, rk in zip(left_on, right_on)]
     return left.join(r, cond, "left").drop(*renamed.values())
 
@@ -92,8 +88,7 @@ def suffixed(df: DataFrame, keys: list, suffix: str) -> DataFrame:
     return df.select(*keys, *[F.col(c).alias(c + suffix) for c in df.columns if c not in keys])
 
 
-def enrich(loans: DataFrame, series: dict, broadcast_limit: int | None = BROADCAST_LIMIT_ROWS,
-           rate_col: str = "Int_Rate") -> DataFrame:
+def enrich(loans: DataFrame, series: dict, rate_col: str = "Int_Rate") -> DataFrame:
     """All economic joins with their release lags, then the derived features.
 
     ``series`` holds the cleaned series: income, unemployment, inflation, hpi, rate.
@@ -103,16 +98,16 @@ def enrich(loans: DataFrame, series: dict, broadcast_limit: int | None = BROADCA
     inc, une, inf = series["income"], series["unemployment"], series["inflation"]
     hpi, rate = series["hpi"], series["rate"]
     hpi2 = lagged(hpi, 2)
-    df = attach(loans, inc, ["Month", "Property_State"], ["Month", "State"], broadcast_limit)
-    df = attach(df, lagged(une, 1), ["Month", "ZIP_Code"], ["Month", "ZIP_Code"], broadcast_limit)
-    df = attach(df, lagged(inf, 1), ["Month"], ["Month"], broadcast_limit)
-    df = attach(df, hpi2, ["Month", "ZIP_Code"], ["Month", "ZIP_Code"], broadcast_limit)
+    df = attach(loans, inc, ["Month", "Property_State"], ["Month", "State"])
+    df = attach(df, lagged(une, 1), ["Month", "ZIP_Code"], ["Month", "ZIP_Code"])
+    df = attach(df, lagged(inf, 1), ["Month"], ["Month"])
+    df = attach(df, hpi2, ["Month", "ZIP_Code"], ["Month", "ZIP_Code"])
     df = attach(df, suffixed(hpi2, ["Month", "ZIP_Code"], "_Orig"),
-                ["First_Payment_Month", "ZIP_Code"], ["Month", "ZIP_Code"], broadcast_limit)
+                ["First_Payment_Month", "ZIP_Code"], ["Month", "ZIP_Code"])
     df = attach(df, suffixed(lagged(hpi, 14), ["Month", "ZIP_Code"], "_year"),
-                ["Month", "ZIP_Code"], ["Month", "ZIP_Code"], broadcast_limit)
-    df = attach(df, rate, ["Month"], ["Month"], broadcast_limit)
-    df = attach(df, suffixed(rate, ["Month"], "_Orig"), ["First_Payment_Month"], ["Month"], broadcast_limit)
+                ["Month", "ZIP_Code"], ["Month", "ZIP_Code"])
+    df = attach(df, rate, ["Month"], ["Month"])
+    df = attach(df, suffixed(rate, ["Month"], "_Orig"), ["First_Payment_Month"], ["Month"])
     return econ_features(df, rate_col=rate_col)
 
 

@@ -97,21 +97,15 @@ def exact_percentiles(long: DataFrame, qs: list, key: str = "col_name", value: s
             .select(key, F.transform("_s", lambda x: x["_p"]).alias("_p")))
 
 
-AGGREGATE_MAX_ROWS = 5_000_000
-
-
 def threshold_table(df: DataFrame, cols: list, num_thresholds: int, approx: bool = False,
-                    accuracy: int = 100_000, floor50=("Credit_Score",), max_rows: int | None = None) -> DataFrame:
+                    accuracy: int = 100_000, floor50=("Credit_Score",)) -> DataFrame:
     """(col_name, thresholds array) computed by Spark: exact linear-interpolation
     percentiles of the non-null values, rounded to 2 decimals (credit score: floored to
     a multiple of 50), de-duplicated and sorted. The columns are unpivoted into
     (col_name, value).
 
-    Exact method: when the frame is known to hold at most ``max_rows`` <=
-    AGGREGATE_MAX_ROWS rows (a sample of a given size), Spark's ``percentile`` aggregate
-    is used (it buffers a column's distinct values in one task, bounded by ``max_rows``);
-    otherwise ``exact_percentiles``, which never holds a column in one task.
-    ``approx=True`` uses the bounded-memory sketch instead."""
+    ``exact_percentiles`` never holds a column in one task, at any size. ``approx=True``
+    uses the bounded-memory sketch instead."""
     qs = [q / 100.0 for q in percent_points(num_thresholds)]
     if not cols:
         return df.sparkSession.createDataFrame([], "col_name string, thresholds array<double>")
@@ -120,8 +114,6 @@ def threshold_table(df: DataFrame, cols: list, num_thresholds: int, approx: bool
     arr = F.lit(qs)
     if approx:
         t = long.groupBy("col_name").agg(F.percentile_approx("v", arr, accuracy).alias("_p"))
-    elif max_rows is not None and max_rows <= AGGREGATE_MAX_ROWS:
-        t = long.groupBy("col_name").agg(F.percentile(F.col("v"), arr).alias("_p"))
     else:
         t = exact_percentiles(long, qs)
     rounded = F.when(F.col("col_name").isin(*floor50),
@@ -194,7 +186,6 @@ class BinaryEncoder:
     num_thresholds: int = 20
     approx: bool = False
     also_continuous: tuple = ()
-    max_rows: int | None = None      # known bound on the rows of the fitted frame (sample size)
 
     def fit(self, df: DataFrame) -> BinaryEncoderModel:
         missing = [r["col_name"] for r in null_profile(df).collect()]
@@ -204,8 +195,7 @@ class BinaryEncoder:
         # indicator columns are never continuous: only the surviving source columns count
         dropped = set(self.yn_columns) | set(self.categorical_mappings)
         cont = [c for c in continuous_columns(df, also=self.also_continuous) if c not in dropped]
-        rows = threshold_table(df, cont, self.num_thresholds, approx=self.approx,
-                               max_rows=self.max_rows).collect()
+        rows = threshold_table(df, cont, self.num_thresholds, approx=self.approx).collect()
         found = {r["col_name"]: [float(x) for x in r["thresholds"]] for r in rows}
         thresholds = {c: found.get(c, []) for c in cont}
         return BinaryEncoderModel(missing, list(self.yn_columns), dict(self.categorical_mappings),

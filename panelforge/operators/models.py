@@ -8,12 +8,13 @@ aliased to positional names and the real names are kept on the model.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,9 +46,9 @@ def positional(df: DataFrame, features: list, target: str = "Default",
 def class_weights(df: DataFrame, label: str = LABEL, out: str = "weight") -> DataFrame:
     """Balanced class weights ``n / (k * n_class)`` attached to each row. The weight
     table has one row per class, so its broadcast is bounded."""
+    every = Window.partitionBy()  # over one row per class
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    totals = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    w = counts.crossJoin(totals).select(
+    w = counts.withColumns({"_n": F.sum("_nc").over(every), "_k": F.count(F.lit(1)).over(every)}).select(
         label, (F.col("_n").cast("double") / (F.col("_k") * F.col("_nc")).cast("double")).alias(out))
     return df.join(F.broadcast(w), label, "left")
 
@@ -68,14 +69,14 @@ class TrainedModel:
         """MLlib persistence; the feature names go next to it as plain text."""
         self.pipeline.write().overwrite().save(path)
         spark = _active_session()
-        spark.createDataFrame([(i, n) for i, n in enumerate(self.features)], "pos int, name string") \
-            .coalesce(1).write.mode("overwrite").parquet(path.rstrip("/") + "/_features")
+        spark.createDataFrame([(i, n, self.missing) for i, n in enumerate(self.features)],
+                              "pos int, name string, missing double").coalesce(1).write.mode("overwrite").parquet(path.rstrip("/") + "/_features")
 
     @staticmethod
     def load(path: str) -> "TrainedModel":
         spark = _active_session()
-        names = [r["name"] for r in spark.read.parquet(path.rstrip("/") + "/_features").orderBy("pos").collect()]
-        return TrainedModel(PipelineModel.load(path), names)
+        rows = spark.read.parquet(path.rstrip("/") + "/_features").orderBy("pos").collect()
+        return TrainedModel(PipelineModel.load(path), [r["name"] for r in rows], rows[0]["missing"] if rows else -1.0)
 
 
 def _active_session():
@@ -108,24 +109,23 @@ def train_random_forest(df: DataFrame, num_trees: int = 200, max_depth: int = 7,
 
 
 def train_sparse_additive(df: DataFrame, max_support: int = 40, num_lambda: int = 150,
-                          scale_down: float = 0.8, target: str = "Default", max_iter: int = 30) -> TrainedModel:
+                          scale_down: float = 0.8, target: str = "Default", max_iter: int = 100) -> TrainedModel:
     """L1-penalised logistic regression on the penalty grid ``lambda_max * scale_down**i``
     (i < num_lambda); returns the model with the smallest penalty whose number of
     non-zero coefficients is within ``max_support``. ``lambda_max`` (the smallest
     penalty with an empty model) comes from one aggregate: max_j |mean(x_j (y - ybar))|.
-    The support grows as the penalty falls, so the grid is searched by bisection
-    (about log2(num_lambda) distributed fits instead of one per grid point)."""
+    The grid is searched by bisection (about log2(num_lambda) distributed fits), which takes
+    the support to grow as the penalty falls; that is usual, not guaranteed, so a smaller
+    penalty beyond the first crossing may be missed. A fit that stops at ``max_iter``
+    without converging is reported by a warning."""
     feats = feature_columns(df)
     # every fit is an iterative job over the same rows: materialise them once
     x = positional(df, feats, target, missing=0.0).cache()
-    n_rows = x.count()
-    # each optimiser iteration is a job over every partition: keep about 50k rows per partition
-    parts = max(1, min(x.rdd.getNumPartitions(), -(-n_rows // 50_000)))
     ybar = x.agg(F.avg(LABEL)).first()[0] or 0.0
     grads = x.agg(*[F.avg(F.col(f"f{i}") * (F.col(LABEL) - F.lit(ybar))).alias(f"g{i}")
                     for i in range(len(feats))]).first()
     lam_max = max([abs(g) for g in grads if g is not None] + [1e-6])
-    assembled = _assembler(len(feats)).transform(x).select("features", LABEL).coalesce(parts).cache()
+    assembled = _assembler(len(feats)).transform(x).select("features", LABEL).cache()
     assembled.count()
     x.unpersist()
     fits = {}
@@ -135,6 +135,8 @@ def train_sparse_additive(df: DataFrame, max_support: int = 40, num_lambda: int
             lr = LogisticRegression(featuresCol="features", labelCol=LABEL, regParam=lam_max * scale_down ** i,
                                     elasticNetParam=1.0, standardization=False, maxIter=max_iter)
             m = lr.fit(assembled)
+            if m.summary.totalIterations >= max_iter:
+                warnings.warn(f"penalty {i}: no convergence within {max_iter} iterations", stacklevel=2)
             fits[i] = (m, int((m.coefficients.toArray() != 0).sum()))
         return fits[i]
 

@@ -112,16 +112,14 @@ def forward_default_label(perf: DataFrame, key: str = LOAN, month: str = MONTH,
 
 def zip_default_rate(panel: DataFrame, scope=("Year", "Quarter"), zip_col: str = "ZIP_Code",
                      month: str = MONTH, target: str = "Default", strict_calendar: bool = True,
-                     out: str = "ZIP_Default_Rate", broadcast_limit: int | None = 2_000_000,
-                     lag_months: int = 0) -> DataFrame:
+                     out: str = "ZIP_Default_Rate", lag_months: int = 0) -> DataFrame:
     """Mean of the 0/1 label over all rows of the same ZIP (within ``scope``) whose month
     lies in (t - 12 months, t]; rows of other loans in the same month are included.
     A null ZIP is its own group.
 
-    With ``broadcast_limit`` the rate table (one row per scope, ZIP and month) is
-    checkpointed to the shared checkpoint folder and counted; within the limit it is
-    broadcast, so the panel is not shuffled again. Beyond it (or with ``None``) the
-    join is a sort-merge join on the rate key, with AQE splitting hot ZIP-months.
+    The rate table has one row per scope, ZIP and month; the planner and AQE broadcast it by
+    its measured bytes, or join by sort-merge with hot ZIP-months split. ``panel`` is read
+    twice, so callers pass a written table.
 
     The label looks 12 months ahead, so the default rate of month t uses outcomes after
     t (as the reference computes it). ``lag_months=12`` attaches to month t the rate of
@@ -137,12 +135,6 @@ def zip_default_rate(panel: DataFrame, scope=("Year", "Quarter"), zip_col: str =
         *[F.col(k).alias("_r_" + k) for k in keys], rate_month.alias("_r_" + month),
         (_trailing(F.sum, F.col("_s"), w12, w13, month).cast("double")
          / _trailing(F.sum, F.col("_n"), w12, w13, month).cast("double")).alias(out))
-    if broadcast_limit is not None:
-        from ..session import checkpoint_dir
-        checkpoint_dir(panel.sparkSession)
-        rates = rates.checkpoint(eager=True)
-        if rates.count() <= broadcast_limit:
-            rates = F.broadcast(rates)
     cond = [panel[k].eqNullSafe(rates["_r_" + k]) for k in keys + [month]]
     return panel.join(rates, cond, "left").drop(*["_r_" + k for k in keys + [month]])
 
@@ -179,5 +171,12 @@ def build_panel(orig: DataFrame, perf: DataFrame, key: str = LOAN,
     orig_cols = [c for c in orig.columns if c not in set(labelled.columns) or c == key]
     panel = labelled.join(orig.select(*orig_cols), key, "inner")
     panel = loan_ratios(log_money(panel))
+    # the rate reads five columns of the panel and joins back to it: written once, the
+    # performance rows are scanned, shuffled and windowed once
+    from ..session import scratch_path
+    spark = panel.sparkSession
+    path = scratch_path(spark, "labelled-panel")
+    panel.write.parquet(path)
+    panel = spark.read.parquet(path)
     panel = zip_default_rate(panel, scope=zip_scope, strict_calendar=strict_calendar)
     return signed_target(panel)

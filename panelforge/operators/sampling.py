@@ -63,6 +63,8 @@ def stratified_sample(df: DataFrame, strata: list, n: int | None, seed=C.Setting
     """
     if n is None:
         return df
+    if n < 1:
+        raise ValueError("a stratum's sample size must be at least 1 (size // quarters // dates is 0?)")
     if seed is None:
         seed = random.SystemRandom().randrange(1 << 31)
     h = sample_hash(seed, key, month)
@@ -100,8 +102,8 @@ def sample_panel(df: DataFrame, train_dates: list, test_dates: list, train_size:
         checkpoint_dir(base.sparkSession)
         base = base.checkpoint(eager=True)
     strata = list(vintage) + [MONTH]
-    n_tr = train_size // n_quarters // len(train_dates) if train_size else None
-    n_te = test_size // n_quarters // len(test_dates) if test_size else None
+    n_tr = train_size // n_quarters // len(train_dates) if train_size is not None else None
+    n_te = test_size // n_quarters // len(test_dates) if test_size is not None else None
     train = stratified_sample(at_obs_dates(base, train_dates), strata, n_tr, seed)
     test = stratified_sample(at_obs_dates(base, test_dates), strata, n_te, seed)
     return train, test
@@ -112,6 +114,10 @@ def train_test_split(df: DataFrame, train_dates: list, test_dates: list, train_s
     """Train: ``train_size // len(dates)`` rows per observation month (error when a month
     holds fewer). Test: every row of the test months."""
     n = train_size // len(train_dates)
+    # the check, both passes of the sample and the test set read these months: compute once
+    from ..session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    df = at_obs_dates(df, list(train_dates) + list(test_dates)).checkpoint(eager=True)
     tr = at_obs_dates(df, train_dates)
     if check:
         # one row per observation month reaches the driver

@@ -50,12 +50,15 @@ def processed_panel(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
 
 
 def economic_series(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict:
-    """Cleaned series; with ``materialize`` each is cached (they are small, keyed by month
-    and state/ZIP3, and every enrichment join, size check and lag reads them again; a lost
-    block is recomputed from the source files)."""
+    """Cleaned series; with ``materialize`` each is written once to the shared folder, so
+    the enrichment joins and lags read them again by their known size."""
     ser = E.clean_series(fx.economic_raw(spark, sf_dir))
     if materialize:
-        ser = {k: v.cache() for k, v in ser.items()}
+        from ..session import scratch_path
+        for k, v in ser.items():
+            path = scratch_path(spark, f"series-{k}")
+            v.write.parquet(path)
+            ser[k] = spark.read.parquet(path)
     return ser
 
 
@@ -82,13 +85,9 @@ def encode_sets(train: DataFrame, test: DataFrame, s: C.Settings = FIXTURE_SETTI
                 fit_each: bool = False):
     """Binary train/test sets. The encoder is fitted on the training set and applied to
     both (same columns); ``fit_each=True`` fits each set on itself as the reference does."""
-    # a sampled training set holds at most train_size rows: that bound lets the encoder
-    # use the one-task percentile aggregate; an unsampled set uses the distributed method
     enc = BinaryEncoder(yn_columns=s.yn_columns, categorical_mappings=s.categorical_mappings,
-                        num_thresholds=s.num_thresholds, max_rows=s.train_size)
+                        num_thresholds=s.num_thresholds)
     model = enc.fit(train)
-    if fit_each:
-        enc.max_rows = s.test_size
     test_model = enc.fit(test) if fit_each else model
     return model.transform(train), test_model.transform(test), model
 
@@ -104,13 +103,14 @@ def run_process(spark: SparkSession, orig: DataFrame, perf: DataFrame, out_path:
             c = (F.col("Year") == y) & (F.col("Quarter") == q)
             cond = c if cond is None else cond | c
         orig = orig.where(cond)
-    panel = build_panel(orig, perf)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    # local sort only (no shuffle): the partitioned writer sorts by vintage anyway, and
-    # month-ordered row groups let the sample stage's observation-date filter skip most
-    # of each file through Parquet min/max statistics
-    (panel.sortWithinPartitions("Year", "Quarter", "Month")
-     .write.mode("overwrite").partitionBy("Year", "Quarter").parquet(out_path))
+        if {"Year", "Quarter"} <= set(perf.columns):  # pruned before the loan shuffle
+            perf = perf.where(cond)
+    panel = build_panel(orig, perf.drop("Year", "Quarter"))
+    # rebalanced by vintage: few files per vintage, large ones split by AQE; month-ordered row
+    # groups let the sample stage's observation-date filter skip most of each file
+    (panel.hint("rebalance", "Year", "Quarter").sortWithinPartitions("Year", "Quarter", "Month")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("Year", "Quarter").parquet(out_path))
 
 
 def read_processed(spark: SparkSession, path: str, quarters: list | None = None) -> DataFrame:

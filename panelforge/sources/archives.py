@@ -52,14 +52,18 @@ def _lines(batches, member_pattern: str):
 
 
 def archive_paths(spark: SparkSession, pattern) -> DataFrame:
-    """One row per archive file (content not read: binaryFile prunes it). ``pattern`` is a
-    path, a glob or a list of them."""
-    paths = [pattern] if isinstance(pattern, str) else list(pattern)
-    return (spark.read.format("binaryFile").load(paths).select("path", "length")
-            .repartition("path"))
+    """One row per archive file (content not read: binaryFile prunes it), one partition per
+    file: the count comes from the listing, so AQE leaves it alone. ``pattern`` is a path, a
+    glob, a list of them or a frame with a ``path`` column."""
+    if isinstance(pattern, DataFrame):
+        files = pattern
+    else:
+        paths = [pattern] if isinstance(pattern, str) else list(pattern)
+        files = spark.read.format("binaryFile").load(paths).select("path", "length")
+    return files.repartitionByRange(max(1, files.count()), "path")
 
 
-def ingest_archives(spark: SparkSession, pattern: str, schema, member_pattern: str = r"\.txt$") -> DataFrame:
+def ingest_archives(spark: SparkSession, pattern, schema, member_pattern: str = r"\.txt$") -> DataFrame:
     """Rows of every member matching ``member_pattern`` (regex) in the archives matching
     ``pattern``, parsed with ``schema`` (``|`` separated, no header, FAILFAST)."""
     paths = archive_paths(spark, pattern).select("path")
@@ -80,12 +84,12 @@ def _audit(batches):
                     rec["is_zip"] = fh.read(4) == ZIP_MAGIC
                     fh.seek(0)
                     if not rec["is_zip"]:
-                        rec["error"] = "file signature does not match zip format"
+                        rec["error"] = "not a zip file (wrong leading bytes)"
                     else:
                         with zipfile.ZipFile(fh) as zf:
                             rec["n_members"] = len(zf.namelist())
                             if rec["n_members"] == 0:
-                                rec["error"] = "empty zip file"
+                                rec["error"] = "archive without members"
             except Exception as e:  # noqa: BLE001 - reported per file
                 rec["error"] = f"{type(e).__name__}: {e}"
             out.append(rec)
@@ -136,13 +140,27 @@ def write_archives(df: DataFrame, out_dir: str, archive_col: str, member_col: st
     return int(res.agg(F.sum("n")).first()[0] or 0)
 
 
+def add_broken_archives(out_dir: str) -> None:
+    """A truncated archive, one without members and a text file named .zip (for the audit)."""
+    from pyarrow import fs
+    whole, none = io.BytesIO(), io.BytesIO()
+    with zipfile.ZipFile(whole, "w") as z:
+        z.writestr("historical_data_2015Q1.txt", "x|" * 500)
+    zipfile.ZipFile(none, "w").close()
+    for name, body in (("truncated", whole.getvalue()[:300]), ("empty", none.getvalue()), ("text", b"no archive")):
+        target = f"{out_dir.rstrip('/')}/{name}.zip"
+        filesystem, inner = fs.FileSystem.from_uri(target) if "://" in target else (fs.LocalFileSystem(), target)
+        with filesystem.open_output_stream(inner) as f:
+            f.write(body)
+
+
 def vintage_of(member: str = "member"):
     """(Year, Quarter) parsed from a member name such as ``..._2015Q3.txt``."""
     return {"Year": F.regexp_extract(F.col(member), r"(\d{4})Q(\d)", 1).cast("int"),
             "Quarter": F.regexp_extract(F.col(member), r"(\d{4})Q(\d)", 2).cast("int")}
 
 
-def ingest_loan_archives(spark: SparkSession, pattern: str):
+def ingest_loan_archives(spark: SparkSession, pattern):
     """Origination and performance rows of the archives, each tagged with the vintage
     taken from its member name (``historical_data_YYYYQn.txt`` /
     ``historical_data_time_YYYYQn.txt``)."""
@@ -150,5 +168,5 @@ def ingest_loan_archives(spark: SparkSession, pattern: str):
     orig = ingest_archives(spark, pattern, ORIGINATION_SCHEMA, r"historical_data_\d{4}Q\d\.txt$")
     orig = orig.withColumns(vintage_of()).drop("member")
     perf = ingest_archives(spark, pattern, PERFORMANCE_SCHEMA, r"historical_data_time_\d{4}Q\d\.txt$")
-    perf = perf.drop("member")
+    perf = perf.withColumns(vintage_of()).drop("member")
     return orig, perf

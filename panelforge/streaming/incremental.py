@@ -1,50 +1,85 @@
 """Incremental processing of newly arrived loan archives with Structured Streaming.
 
-The file source tracks which archives were already seen (in the stream's
-checkpoint), so each run processes only new vintages: the streaming form of
-"process the quarters that are missing, unless refreshing". Every micro-batch
-ingests its archives, builds their panels and overwrites only those vintages'
-partitions of the processed table (dynamic partition overwrite), so a retried
-batch rewrites the same partitions and the sink stays exactly-once.
+The vintage is the unit of work. The file source tracks which archives were already seen;
+every micro-batch names the vintages that its archives touch, and all archives of these
+vintages now present are ingested again, so the parts of a vintage may arrive in any
+order, in any number of batches and late: a vintage's partition is always rewritten from
+all of its archives (dynamic partition overwrite; a retried batch rewrites the same). A
+vintage of which only one member kind has arrived has no panel rows and stays pending
+until the other one comes.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.cleaning import clean_origination, clean_performance
-from ..operators.panel import build_panel
+from ..plans.pipeline import run_process
 from ..sources.archives import ingest_loan_archives
+from ..sources.quarters import missing_quarters
 
 
-def _process_batch(spark: SparkSession, paths: DataFrame, processed_path: str) -> None:
-    # the micro-batch holds file paths only (one row per archive)
-    names = [r["path"] for r in paths.select("path").distinct().collect()]
-    if not names:
-        return
-    orig_raw, perf_raw = ingest_loan_archives(spark, names)
-    panel = build_panel(clean_origination(orig_raw), clean_performance(perf_raw))
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    panel.write.mode("overwrite").partitionBy("Year", "Quarter").parquet(processed_path)
+def with_vintage(paths: DataFrame) -> DataFrame:
+    """Adds (Year, Quarter) from the archive's file name (``...2015Q3....zip``)."""
+    rx = r"(\d{4})Q(\d)[^/]*$"
+    return paths.withColumns({"Year": F.regexp_extract("path", rx, 1).cast("int"),
+                              "Quarter": F.regexp_extract("path", rx, 2).cast("int")})
+
+
+def archives_present(spark: SparkSession, archive_dir: str) -> DataFrame:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(archive_dir)
+    return with_vintage(files.select("path", "length"))
+
+
+def _process_vintages(spark: SparkSession, archive_dir: str, vintages: DataFrame, processed_path: str) -> None:
+    files = archives_present(spark, archive_dir).join(F.broadcast(vintages), ["Year", "Quarter"], "left_semi")
+    orig, perf = ingest_loan_archives(spark, files.select("path", "length"))
+    run_process(spark, clean_origination(orig), clean_performance(perf), processed_path)
 
 
 def process_new_archives(spark: SparkSession, archive_dir: str, processed_path: str,
                          checkpoint_path: str, max_files_per_trigger: int | None = None):
     """Run until every archive now present is processed (``availableNow`` trigger)."""
+    def batch(df: DataFrame, epoch: int) -> None:
+        touched = with_vintage(df.select("path")).select("Year", "Quarter").distinct()
+        if not touched.isEmpty():
+            _process_vintages(spark, archive_dir, touched, processed_path)
+
     reader = (spark.readStream.format("binaryFile")
               .schema("path string, modificationTime timestamp, length long, content binary")
               .option("pathGlobFilter", "*.zip"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(archive_dir).select("path")
-    q = (stream.writeStream
-         .foreachBatch(lambda df, epoch: _process_batch(spark, df, processed_path))
-         .option("checkpointLocation", checkpoint_path)
-         .trigger(availableNow=True)
-         .start())
+    q = (reader.load(archive_dir).select("path").writeStream.foreachBatch(batch)
+         .option("checkpointLocation", checkpoint_path).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
 
+def process_archives(spark: SparkSession, archive_dir: str, processed_path: str, quarters: list,
+                     refresh: bool = False) -> list:
+    """Process the wanted vintages that the processed table lacks, or all of them with
+    ``refresh``. Refuses to run when a vintage to process has no archive. Returns the
+    vintages it processed."""
+    wanted = spark.createDataFrame([tuple(q) for q in quarters], "Year int, Quarter int")
+    todo = wanted
+    if not refresh:
+        try:
+            todo = missing_quarters(wanted, spark.read.parquet(processed_path))
+        except AnalysisException:  # nothing processed so far
+            todo = wanted
+    work = sorted(tuple(r) for r in todo.collect())
+    if not work:
+        return work
+    todo = spark.createDataFrame(work, "Year int, Quarter int")
+    absent = sorted(tuple(r) for r in missing_quarters(todo, archives_present(spark, archive_dir)).collect())
+    if absent:
+        raise RuntimeError(f"no archives for vintages {absent}: fetch them first")
+    _process_vintages(spark, archive_dir, todo, processed_path)
+    return work
+
+
 def vintages_present(spark: SparkSession, processed_path: str) -> DataFrame:
     return spark.read.parquet(processed_path).select("Year", "Quarter").distinct().orderBy("Year", "Quarter")

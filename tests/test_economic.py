@@ -44,5 +44,5 @@ def test_attach_broadcasts_checked_series(spark):
     j = E.attach(loans, ser, ["Month"], ["Month"])
     assert "BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString()
     assert j.where(F.col("X") == 2.0).count() == 100 and j.columns == ["Loan_Num", "Month", "X"]
-    j2 = E.attach(loans, ser, ["Month"], ["Month"], broadcast_limit=0)
+    j2 = E.attach(loans, ser, ["Month"], ["Month"])
     assert j2.count() == 100

@@ -57,13 +57,12 @@ def test_credit_score_floor_when_enabled(spark):
     assert all(x % 50 == 0 for x in t["Credit_Score"])
 
 
-def test_distributed_percentiles_equal_aggregate(spark):
+def test_distributed_percentiles_equal_numpy(spark):
     import random
     rnd = random.Random(3)
     rows = [(float(rnd.choice([0.0, 0.0, 0.0, rnd.uniform(-5, 5)])), rnd.randint(0, 9) * 1.0) for _ in range(3000)]
     df = spark.createDataFrame(rows, "a double, b double")
     dist = {r.col_name: r.thresholds for r in threshold_table(df, ["a", "b"], 30).collect()}
-    agg = {r.col_name: r.thresholds for r in threshold_table(df, ["a", "b"], 30, max_rows=3000).collect()}
-    vals = np.array([r[0] for r in rows])
-    expect = np.unique(np.round(np.percentile(vals, percent_points(30)), 2))
-    assert dist == agg and dist["a"] == [float(x) for x in expect]
+    for i, c in enumerate("ab"):
+        expect = np.unique(np.round(np.percentile(np.array([r[i] for r in rows]), percent_points(30)), 2))
+        assert dist[c] == [float(x) for x in expect]

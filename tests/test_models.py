@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from panelforge.operators.models import TrainedModel, class_weights, get_trainer, train_random_forest
@@ -28,6 +29,16 @@ def test_random_forest_trains_and_reloads(spark, tmpdir_path):
     assert m2.features == m.features and m2.predict(df).count() == 300
 
 
+@pytest.mark.parametrize("name, params", [("random_forest", {"num_trees": 5, "max_depth": 3}),
+                                          ("sparse_additive", {"max_support": 3, "num_lambda": 20})])
+def test_reloaded_models_predict_the_same(spark, tmpdir_path, name, params):
+    df = _binary(spark)
+    m = get_trainer(name)(df, **params)
+    m.save(tmpdir_path + "/m")
+    before, after = (sorted(map(tuple, x.predict(df).collect())) for x in (m, TrainedModel.load(tmpdir_path + "/m")))
+    assert before == after
+
+
 def test_sparse_additive_support_limit(spark):
     m = get_trainer("sparse_additive")(_binary(spark), max_support=1, num_lambda=20)
     coef = m.pipeline.stages[-1].coefficients.toArray()
@@ -35,6 +46,5 @@ def test_sparse_additive_support_limit(spark):
 
 
 def test_unknown_trainer():
-    import pytest
     with pytest.raises(ValueError):
         get_trainer("nope")

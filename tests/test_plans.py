@@ -23,13 +23,12 @@ def test_panel_plan_shape(spark):
     try:
         orig, perf = PL.loan_tables(spark, "/root/testdata/sf0.001")
         p = _plan(build_panel(orig, perf))
-        # the origination join reuses the loan partitioning of the window: one loan shuffle per
-        # side (performance rows, origination rows), no second shuffle of the performance rows
-        main = p.split("BroadcastExchange")[0]
-        assert len(re.findall(r"Exchange hashpartitioning\(Loan_Num#\d+", main)) == 2, p
-        assert "SortMergeJoin" in main
-        # the small rate table is broadcast after its size check
-        assert "BroadcastHashJoin" in p
+        # the labelled panel is written once: nothing behind it shuffles by loan again
+        assert not re.findall(r"Exchange hashpartitioning\(Loan_Num#\d+", p), p
+        assert "SortMergeJoin" in p and "/labelled-panel-" in p
+        # the origination join reuses the loan partitioning of the window: one loan shuffle per side
+        joined = _plan(label_and_lookback(perf).join(orig.select("Loan_Num", "UPB"), "Loan_Num"))
+        assert len(re.findall(r"Exchange hashpartitioning\(Loan_Num#\d+", joined)) == 2, joined
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -45,3 +44,27 @@ def test_processed_table_partition_pruning(spark, tmpdir_path):
     PL.run_process(spark, orig, perf, tmpdir_path + "/processed", quarters=[(2015, 1)])
     all_q = {r.Quarter for r in spark.read.parquet(tmpdir_path + "/processed").select("Quarter").distinct().collect()}
     assert all_q == {1, 2, 3, 4}
+
+
+def test_one_vintage_prunes_the_performance_rows(spark, tmpdir_path):
+    """Vintage on the performance side and not a function of the loan id: both sides are
+    filtered before the loan shuffle, and a vintage is written to few files."""
+    from pyspark.sql import functions as F
+    orig, perf = PL.loan_tables(spark, "/root/testdata/sf0.001")
+    orig = orig.withColumn("Quarter", (F.abs(F.hash("Loan_Num")) % 4 + 1).cast("int"))
+    perf = perf.join(orig.select("Loan_Num", "Year", "Quarter"), "Loan_Num")
+    perf.write.parquet(tmpdir_path + "/perf")
+    out = tmpdir_path + "/processed"
+    PL.run_process(spark, orig, spark.read.parquet(tmpdir_path + "/perf"), out, quarters=[(2015, 3)])
+    got = spark.read.parquet(out)
+    assert {tuple(r) for r in got.select("Year", "Quarter").distinct().collect()} == {(2015, 3)}
+    assert len(got.inputFiles()) <= 4
+    exp = build_panel(orig.where("Quarter = 3"), perf.drop("Year", "Quarter")).select("Loan_Num", "Month", "ZIP_Default_Rate")
+    assert got.select(exp.columns).exceptAll(exp).count() == 0 and got.count() == exp.count()
+
+
+def test_no_sample_of_zero_rows(spark):
+    import pytest
+    from panelforge.operators.sampling import stratified_sample
+    with pytest.raises(ValueError):
+        stratified_sample(spark.range(10), ["id"], 0)
