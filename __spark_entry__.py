@@ -337,11 +337,20 @@ def _binary_sets(spark, d):
     return tr, te
 
 
+def _checked(pred: DataFrame, *extra) -> DataFrame:
+    """Keys and label with what must hold of any right model (the probabilities themselves
+    depend on the optimiser)."""
+    return pred.select("Loan_Num", "Month", F.col("label").cast("int").alias("label"),
+                       F.col("p_default").between(0.0, 1.0).cast("int").alias("p_in_range"),
+                       (F.col("prediction") == (F.col("p_default") > 0.5).cast("double")).cast("int").alias("consistent"),
+                       *extra)
+
+
 def q_train_random_forest(spark, d):
     from panelforge.operators.models import train_random_forest
     tr, te = _binary_sets(spark, d)
     m = train_random_forest(tr, num_trees=FS.rf_num_trees, max_depth=FS.rf_max_depth, balanced=True)
-    return m.predict(te)
+    return _checked(m.predict(te))
 
 
 def q_train_sparse_additive(spark, d):
@@ -349,7 +358,8 @@ def q_train_sparse_additive(spark, d):
     tr, te = _binary_sets(spark, d)
     m = train_sparse_additive(tr, max_support=FS.sparse_max_support, num_lambda=FS.sparse_num_lambda,
                               scale_down=FS.sparse_scale_down)
-    return m.predict(te)
+    support = int((m.pipeline.stages[-1].coefficients.toArray() != 0).sum())
+    return _checked(m.predict(te), F.lit(int(0 < support <= FS.sparse_max_support)).alias("support_ok"))
 
 
 def q_quarter_spine(spark, d):

@@ -298,3 +298,20 @@ ORACLE["ingest_archives"] = ORACLE["scan_performance"]
 
 ORACLE["incremental_process"] = sql("""
 SELECT Loan_Num, Month, Year, Quarter, "Default", ZIP_Default_Rate FROM panel""", "panel")
+
+ORACLE["train_random_forest"] = sql("""
+SELECT Loan_Num, Month, CASE WHEN "Default" = 1 THEN 1 ELSE 0 END AS label, 1 AS p_in_range, 1 AS consistent
+FROM test_s""", "test_s")
+
+ORACLE["train_sparse_additive"] = sql("""
+SELECT Loan_Num, Month, CASE WHEN "Default" = 1 THEN 1 ELSE 0 END AS label, 1 AS p_in_range, 1 AS consistent,
+  1 AS support_ok
+FROM test_s""", "test_s")
+
+ORACLE["audit_archives"] = sql("""
+SELECT DISTINCT 'historical_data_time_2015Q' || (CAST(Loan_Num AS BIGINT) % 4 + 1) AS archive, 1 AS is_zip,
+  1 AS n_members, 0 AS broken FROM perf
+UNION ALL
+SELECT DISTINCT 'historical_data_2015Q' || (CAST(Loan_Num AS BIGINT) % 4 + 1), 1, 1, 0 FROM orig
+UNION ALL
+SELECT * FROM (VALUES ('truncated', 1, 0, 1), ('empty', 0, 0, 1), ('text', 0, 0, 1)) v""", "perf", "orig")

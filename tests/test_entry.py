@@ -16,7 +16,7 @@ def test_registry_and_oracle_keys():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     own = set(E._QUERIES)
-    assert own - set(o) == {"train_random_forest", "train_sparse_additive"} and own <= set(q)
+    assert own <= set(o) and own <= set(q)
 
 
 def _duck():
