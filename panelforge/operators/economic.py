@@ -2,8 +2,7 @@
 
 Each series is keyed by month (and a state or 3-digit ZIP code), so its size is
 bounded by (#keys x #months), independent of the loan data. Joins against the
-loan panel use a broadcast only after the series' row count has been checked
-against ``broadcast_limit``; larger series fall back to a shuffle join.
+loan panel carry no hint: the planner and AQE broadcast by measured bytes.
 """
 
 from __future__ import annotations
