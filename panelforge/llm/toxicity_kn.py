@@ -1,15 +1,17 @@
 """Toxicity by class-conditional Kneser-Ney bigram models.
 
 Two interpolated Kneser-Ney models, of toxic and of ordinary labelled documents, back off
-from bigrams to class-conditional continuation counts and from these to continuation
-counts shared by both classes, so a rare expression costs both classes alike. A document's
+from bigrams to class-conditional continuation counts and from these to shared counts:
+continuation counts of both classes, with a prior from how many documents of the whole
+corpus, labelled or not, hold the word; so a rare expression costs both classes alike. A document's
 evidence is the length-normalised log-likelihood ratio: per word, per square root of
 length, in its strongest window, and the excess of its strong single words; a logistic regression on labelled documents that the
 counts have not seen turns it into a score.
 
 Counts are summed by Spark, and the probabilities are joins and sums over the count
-tables. The models are fitted on at most ``max_rows`` labelled documents per class (the
-ones with the smallest hash of their id), which bounds the tables that are broadcast; all
+tables. The class counts come from at most ``max_rows`` labelled documents per class (the
+ones with the smallest hash of their id), which bounds the tables that are broadcast; the
+corpus counts cover every document and grow with it, and stay a distributed table. All
 documents are scored, in one pass without a shuffle.
 
 Defined results: null or empty texts have ratio 0 and get the score of no evidence;
@@ -101,6 +103,25 @@ def bigram_counts(texts: DataFrame) -> DataFrame:
         F.sum("t").alias("t"), F.sum("o").alias("o"))
 
 
+def document_counts(texts: DataFrame) -> DataFrame:
+    """(text) -> w, n: how many texts hold word hash w."""
+    arrow = pa.schema([("w", pa.int64()), ("n", pa.int64())])
+
+    def run(batches):
+        words = _Words()
+        for _, raws in slices(batches, 0):
+            (_, w), counts = words.ids(raws)
+            at = np.repeat(np.arange(len(raws)), counts)
+            order = np.lexsort((at, w))
+            w, at = w[order], at[order]
+            new = np.ones(len(w), bool)
+            new[1:] = (w[1:] != w[:-1]) | (at[1:] != at[:-1])
+            w, n = np.unique(w[new], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n.astype(np.int64))], schema=arrow)
+
+    return texts.mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+
+
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts of counts 1, 2 and 3 or more from the counts of counts;
     0.5, 1 and 1.5 where these are too few."""
@@ -115,9 +136,9 @@ def discount(c: Column, d: tuple[float, float, float]) -> Column:
     return F.when(c == 0, F.lit(0.0)).when(c == 1, F.lit(d[0])).when(c == 2, F.lit(d[1])).otherwise(F.lit(d[2]))
 
 
-def kneser_ney(spark: SparkSession, counts: DataFrame) -> dict[str, np.ndarray]:
+def kneser_ney(spark: SparkSession, counts: DataFrame, corpus: DataFrame) -> dict[str, np.ndarray]:
     """Log ratios toxic / ordinary: of seen bigrams, of the back-off weight of contexts, of
-    single words, and of a word never seen."""
+    single words, and of a word never seen. ``corpus`` holds the ``document_counts`` of all texts."""
     b = materialize(spark, counts, "kn-bigrams")
     tally = lambda col, n: F.sum(F.when(F.col(col) == n, 1).otherwise(0)).alias(f"{col}{n}")
     types = b.agg(*[tally(c, n) for c in "to" for n in (1, 2, 3, 4)],
@@ -129,13 +150,19 @@ def kneser_ney(spark: SparkSession, counts: DataFrame) -> dict[str, np.ndarray]:
         *[F.sum((F.col(c) > 0).cast("long")).alias(f"k_{c}") for c in "to"], F.count(F.lit(1)).alias("k")), "kn-words")
     singles = words.agg(F.count(F.lit(1)).alias("v"), *[tally(f"k_{c}", n) for c in "to" for n in (1, 2, 3, 4)],
                         *[F.sum((F.col(f"k_{c}") > 2).cast("long")).alias(f"more_{c}") for c in "to"]).first()
-    shared = (F.col("k") + 1.0) / F.lit(float(types["types"] + singles["v"] + 1))
+    # the shared level: continuation counts of both classes, one per word, and another one per
+    # word on average, dealt out by the share of the whole corpus's documents
+    corpus = materialize(spark, corpus, "kn-corpus")
+    whole = float(corpus.agg(F.sum("n")).first()[0])
+    prior = F.coalesce("n", F.lit(0)) * F.lit(singles["v"] / whole)
+    shared = (F.col("k") + 1.0 + prior) / F.lit(float(types["types"] + 2 * singles["v"] + 1))
     p, back = {}, {}
     for c in "to":
         e, n = discounts(*[singles[f"k_{c}{i}"] for i in (1, 2, 3, 4)]), float(types[f"types_{c}"])
         back[c] = (e[0] * singles[f"k_{c}1"] + e[1] * singles[f"k_{c}2"] + e[2] * singles[f"more_{c}"]) / n
         p[c] = (F.col(f"k_{c}") - discount(F.col(f"k_{c}"), e)) / F.lit(n) + F.lit(back[c]) * shared
-    words = words.select("w", p["t"].alias("p_t"), p["o"].alias("p_o"))
+    words = materialize(spark, words.join(corpus, "w", "left").select("w", p["t"].alias("p_t"), p["o"].alias("p_o")),
+                        "kn-words-p")
     contexts = b.groupBy("v").agg(*[F.sum(c).alias(f"c_{c}") for c in "to"],
                                   *[F.sum(discount(F.col(c), d[c])).alias(f"d_{c}") for c in "to"])
     lam = {c: F.when(F.col(f"c_{c}") > 0, F.col(f"d_{c}") / F.col(f"c_{c}")).otherwise(F.lit(1.0)) for c in "to"}
@@ -212,7 +239,8 @@ def apply_logistic(fit: dict, x: np.ndarray) -> np.ndarray:
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int = 5000, id_col: str = "doc_id",
         text_col: str = "text", learn_from: Column | None = None) -> dict:
     """The model of ``score``. ``labels`` (doc_id, toxic); ``learn_from`` is a condition on
-    doc_id. A fifth of the labelled documents is kept for the regression."""
+    doc_id. A fifth of the labelled documents is kept for the regression. The texts of all
+    ``docs`` feed the corpus counts, which know no labels."""
     lab = pick(labels, doc_id="doc_id", toxic="toxic").where("doc_id is not null and toxic is not null")
     if learn_from is not None:
         lab = lab.where(learn_from)
@@ -235,7 +263,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int =
     seen = counts.agg(F.sum("t"), F.sum("o")).first() if len(sizes) == 2 else (0, 0)
     if not seen[0] or not seen[1]:
         return {"base": base, "model": None, "fit": None}
-    model = kneser_ney(spark, counts)
+    model = kneser_ney(spark, counts, document_counts(pick(docs, text=text_col)))
     held = spark.sparkContext.broadcast(model)
 
     def run(batches):

@@ -385,3 +385,25 @@ def test_linked_sets_share_a_tile(seed):
                 b = np.concatenate([a[drop:], rng.integers(0, 1 << 63, add, dtype=np.uint64)])
                 if 10 * (n - drop) >= 9 * (n + add):
                     assert set(jaccard_tiles.signatures(np.unique(a))) & set(jaccard_tiles.signatures(np.unique(b)))
+
+
+def test_corpus_back_off(spark):
+    texts = ["a b a", "b c", "A", "", None, "c c c", "a d"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = {r.w: r.n for r in toxicity_kn.document_counts(df).collect()}
+    (_, w), _ = toxicity_kn._Words().ids([b"a b c d"])
+    assert [got[i] for i in w.view(np.int64).tolist()] == [3, 2, 2, 1] and len(got) == 4
+    assert toxicity_kn.document_counts(df.limit(0)).count() == 0
+    # a word seen alike in both classes: the more documents of the corpus hold it, the nearer
+    # its ratio is to that of a word never seen
+    labelled = spark.createDataFrame([("x y x z q", 1), ("y x w", 1), ("m n m o q", 0), ("n m n p", 0), ("o m", 0)],
+                                     "text string, toxic long")
+    counts = toxicity_kn.bigram_counts(labelled)
+    (_, q), _ = toxicity_kn._Words().ids([b"z"])
+    ratio = []
+    for extra in (0, 400):
+        corpus = labelled.select("text").union(spark.createDataFrame([("z",)] * extra, "text string"))
+        model = toxicity_kn.kneser_ney(spark, counts, toxicity_kn.document_counts(corpus))
+        ratio.append(abs(model["word_r"][np.searchsorted(model["word"], q[0])] - model["new"][0]))
+        assert np.isfinite(model["word_r"]).all() and np.isfinite(model["pair_r"]).all()
+    assert ratio[1] < ratio[0]
