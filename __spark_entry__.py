@@ -404,6 +404,12 @@ def q_ingest_archives(spark, d):
     return perf.drop("Year", "Quarter")
 
 
+def q_ingest_origination(spark, d):
+    from panelforge.sources.archives import ingest_loan_archives
+    orig, _ = ingest_loan_archives(spark, _write_fixture_archives(spark, d) + "/*.zip")
+    return orig
+
+
 def q_audit_archives(spark, d):
     from panelforge.sources.archives import add_broken_archives, audit_archives
     out = _write_fixture_archives(spark, d)
@@ -414,15 +420,34 @@ def q_audit_archives(spark, d):
                  F.max(F.col("error").isNotNull().cast("int")).alias("broken")))
 
 
-def q_incremental_process(spark, d):
+def _incremental(spark, d, **kw):
     from panelforge.streaming.incremental import process_new_archives
     out = _write_fixture_archives(spark, d)
     processed = scratch_path(spark, "processed-stream")
-    process_new_archives(spark, out, processed, scratch_path(spark, "stream-ckpt"))
+    process_new_archives(spark, out, processed, scratch_path(spark, "stream-ckpt"), **kw)
     return spark.read.parquet(processed).select("Loan_Num", "Month", "Year", "Quarter", "Default",
                                                 "ZIP_Default_Rate")
 
 
+def q_incremental_process(spark, d):
+    return _incremental(spark, d)
+
+
+def q_incremental_by_file(spark, d):
+    """One archive per micro-batch, so every vintage is completed by a late archive."""
+    return _incremental(spark, d, max_files_per_trigger=1)
+
+
+def q_written_sets(spark, d):
+    """Process and sample stages through their sinks, then the sets read back."""
+    orig, perf = PL.loan_tables(spark, d)
+    processed, sets = scratch_path(spark, "processed-sets"), scratch_path(spark, "sets")
+    PL.run_process(spark, orig, perf, processed)
+    PL.run_sample(spark, processed, sets, FS)
+    train, test = (spark.read.parquet(f"{sets}/{n}.parquet") for n in ("train", "test"))
+    return S.union_samples(train, test).select("Loan_Num", "Month", "Set")
+
+
 PANEL_COLUMNS = [
     "Loan_Num", "Month", "Year", "Quarter", "Default", "Current_Default", "Current_Actual_UPB",
     "Current_Delinquency_Status", "Loan_Age", "Months_to_Maturity", "Modification_Flag", "Zero_Balance_Code",
@@ -488,8 +513,11 @@ _QUERIES = {
     "missing_quarters": q_missing_quarters,
     "scan_processed": q_scan_processed,
     "ingest_archives": q_ingest_archives,
+    "ingest_origination": q_ingest_origination,
     "audit_archives": q_audit_archives,
     "incremental_process": q_incremental_process,
+    "incremental_by_file": q_incremental_by_file,
+    "written_sets": q_written_sets,
 }
 
 

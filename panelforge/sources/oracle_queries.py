@@ -315,3 +315,9 @@ UNION ALL
 SELECT DISTINCT 'historical_data_2015Q' || (CAST(Loan_Num AS BIGINT) % 4 + 1), 1, 1, 0 FROM orig
 UNION ALL
 SELECT * FROM (VALUES ('truncated', 1, 0, 1), ('empty', 0, 0, 1), ('text', 0, 0, 1)) v""", "perf", "orig")
+
+ORACLE["ingest_origination"] = sql("SELECT * FROM orig_raw", "orig_raw")
+
+ORACLE["incremental_by_file"] = ORACLE["incremental_process"]
+
+ORACLE["written_sets"] = f'SELECT "Loan_Num", "Month", "Set" FROM ({ORACLE["union_samples"]}) s'
