@@ -8,9 +8,8 @@ bounded by its term (a few hundred months), so no loan key can grow hot.
 
 The ZIP default rate aggregates ``(scope, ZIP, month)`` partials first (map-side
 combine), runs the twelve-month window over that small table and joins the rate
-back on its key. The rate table is checkpointed and counted: it is broadcast when
-within the limit, otherwise joined by a sort-merge join whose skewed partitions
-(a ZIP-month holding a large share of all rows) AQE splits.
+back on its key, without a hint: the planner and AQE choose the join by measured bytes
+and split a ZIP-month that holds a large share of all rows.
 """
 
 from __future__ import annotations
@@ -50,17 +49,21 @@ def semi_join_loans(perf: DataFrame, loans: DataFrame, key: str = LOAN) -> DataF
 
 
 def _frames(part, order: str, strict_calendar: bool):
+    """The twelve months up to t, and (strict calendar) month t - 12 alone."""
     w = Window.partitionBy(*part).orderBy(order)
-    return w.rangeBetween(-11, 0), (w.rangeBetween(-12, 0) if strict_calendar else None)
+    return w.rangeBetween(-11, 0), (w.rangeBetween(-12, -12) if strict_calendar else None)
 
 
-def _trailing(agg_fn, col: Column, w12, w13, month_col: str) -> Column:
-    """Aggregate over the right-closed window (t - 12 months, t] on month-end dates.
-    With ``w13`` (strict calendar) the frame on 28 Feb after a leap year holds 13 months."""
+def _trailing(agg_fn, col: Column, w12, first, month_col: str) -> Column:
+    """Maximum or sum over the right-closed window (t - 12 months, t] on month-end dates.
+    With ``first`` (strict calendar) 28 Feb after a leap year also counts month t - 12: one
+    more month's frame that joins the twelve months' result, not a second window of 13."""
     base = agg_fn(col).over(w12)
-    if w13 is None:
+    if first is None:
         return base
-    return F.when(feb28_after_leap(month_col), agg_fn(col).over(w13)).otherwise(base)
+    more = agg_fn(col).over(first)
+    both = F.greatest(base, more) if agg_fn is F.max else F.coalesce(base + more, base, more)
+    return F.when(feb28_after_leap(month_col), both).otherwise(base)
 
 
 def label_and_lookback(perf: DataFrame, key: str = LOAN, month: str = MONTH,
@@ -76,18 +79,18 @@ def label_and_lookback(perf: DataFrame, key: str = LOAN, month: str = MONTH,
     p = perf.withColumn(m, month_index(month)).withColumn("Current_Default", current_default())
     w_rows = Window.partitionBy(key).orderBy(m)
     fwd = w_rows.rowsBetween(1, horizon)
-    w12, w13 = _frames([key], m, strict_calendar)
+    w12, first = _frames([key], m, strict_calendar)
     sev = status_severity(STATUS)
     is_status = lambda v: (F.col(STATUS) == F.lit(v)).cast("int")
     cols = {
         "Default": F.max("Current_Default").over(fwd),
         "_n_next": F.count(F.lit(1)).over(fwd),
-        "Max_Delinq_Severity_yoy": severity_status(_trailing(F.max, sev, w12, w13, month)),
+        "Max_Delinq_Severity_yoy": severity_status(_trailing(F.max, sev, w12, first, month)),
         "Num_Modifications_yoy": _trailing(
-            F.sum, (F.col("Modification_Flag") == F.lit("Y")).cast("int"), w12, w13, month).cast("int"),
-        "Delinq_Status_0_Count": _trailing(F.sum, is_status("0"), w12, w13, month).cast("int"),
-        "Delinq_Status_1_Count": _trailing(F.sum, is_status("1"), w12, w13, month).cast("int"),
-        "Delinq_Status_2_Count": _trailing(F.sum, is_status("2"), w12, w13, month).cast("int"),
+            F.sum, (F.col("Modification_Flag") == F.lit("Y")).cast("int"), w12, first, month).cast("int"),
+        "Delinq_Status_0_Count": _trailing(F.sum, is_status("0"), w12, first, month).cast("int"),
+        "Delinq_Status_1_Count": _trailing(F.sum, is_status("1"), w12, first, month).cast("int"),
+        "Delinq_Status_2_Count": _trailing(F.sum, is_status("2"), w12, first, month).cast("int"),
     }
     if drop_defects:
         cols["_defect"] = F.max((F.col(ZBC) == F.lit(C.DEFECT_ZERO_BALANCE_CODE)).cast("int")).over(
@@ -129,12 +132,12 @@ def zip_default_rate(panel: DataFrame, scope=("Year", "Quarter"), zip_col: str =
     parts = (panel.groupBy(*keys, month)
              .agg(F.sum(F.col(target).cast("long")).alias("_s"), F.count(F.col(target)).alias("_n"))
              .withColumn(m, month_index(month)))
-    w12, w13 = _frames(keys, m, strict_calendar)
+    w12, first = _frames(keys, m, strict_calendar)
     rate_month = F.col(month) if not lag_months else F.last_day(F.add_months(F.col(month), lag_months))
     rates = parts.select(
         *[F.col(k).alias("_r_" + k) for k in keys], rate_month.alias("_r_" + month),
-        (_trailing(F.sum, F.col("_s"), w12, w13, month).cast("double")
-         / _trailing(F.sum, F.col("_n"), w12, w13, month).cast("double")).alias(out))
+        (_trailing(F.sum, F.col("_s"), w12, first, month).cast("double")
+         / _trailing(F.sum, F.col("_n"), w12, first, month).cast("double")).alias(out))
     cond = [panel[k].eqNullSafe(rates["_r_" + k]) for k in keys + [month]]
     return panel.join(rates, cond, "left").drop(*["_r_" + k for k in keys + [month]])
 

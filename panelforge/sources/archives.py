@@ -1,8 +1,8 @@
 """Zip archives of loan-level text files: ingest and audit.
 
 An archive is not splittable, so each one is read by one task that streams its
-member line by line in bounded batches (constant memory, any archive size); the
-lines are parsed by Spark's CSV parser (``from_csv``) with the explicit schema.
+member in chunks of a few MB (constant memory, any archive size). Arrow splits the chunks
+into lines and Spark's CSV parser (``from_csv``) parses these with the explicit schema.
 Files are opened through ``pyarrow.fs`` so the same code reads local, HDFS or
 object-store paths. Python here is per-file I/O only; everything after the lines
 are produced is DataFrame code.
@@ -10,45 +10,62 @@ are produced is DataFrame code.
 
 from __future__ import annotations
 
+import contextlib
 import io
+import re
 import zipfile
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LINE_BATCH = 50_000
+CHUNK_BYTES = 4 << 20
 ZIP_MAGIC = b"PK\x03\x04"
 
 
-def _open(path: str):
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme: that of the cluster's default filesystem where it names
+    none, so driver and executors mean the same folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
+def _filesystem(path: str):
+    """(filesystem, path inside it) of a qualified path."""
     from pyarrow import fs
-    p = path[len("file:"):] if path.startswith("file:") else path
-    if "://" in p:
-        filesystem, inner = fs.FileSystem.from_uri(p)
-    else:
-        filesystem, inner = fs.LocalFileSystem(), p
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
+    return fs.FileSystem.from_uri(path)
+
+
+def _open(path: str):
+    filesystem, inner = _filesystem(path)
     return filesystem.open_input_file(inner)
 
 
-def _lines(batches, member_pattern: str):
-    import re
+def _line_batch(path: str, member: str, text: bytes) -> pa.RecordBatch:
+    """The lines of ``text``, ended by LF or CRLF."""
+    value = pc.utf8_rtrim(pc.split_pattern(pa.array([text.decode("utf-8")]), "\n").flatten(), characters="\r")
+    return pa.RecordBatch.from_arrays([pa.repeat(path, len(value)), pa.repeat(member, len(value)), value],
+                                      names=["path", "member", "value"])
+
+
+def _lines(batches, member_pattern: str, chunk_bytes: int = CHUNK_BYTES):
     rx = re.compile(member_pattern)
-    for pdf in batches:
-        for path in pdf["path"]:
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
             with _open(path) as fh, zipfile.ZipFile(fh) as zf:
-                for name in zf.namelist():
-                    if not rx.search(name):
-                        continue
-                    buf = []
+                for name in filter(rx.search, zf.namelist()):
                     with zf.open(name) as member:
-                        for raw in io.TextIOWrapper(member, encoding="utf-8", newline=""):
-                            buf.append(raw.rstrip("\r\n"))
-                            if len(buf) >= LINE_BATCH:
-                                yield pd.DataFrame({"path": path, "member": name, "value": buf})
-                                buf = []
-                    if buf:
-                        yield pd.DataFrame({"path": path, "member": name, "value": buf})
+                        rest = b""
+                        while chunk := member.read(chunk_bytes):
+                            whole, end, rest = (rest + chunk).rpartition(b"\n")
+                            if end:
+                                yield _line_batch(path, name, whole)
+                        if rest:
+                            yield _line_batch(path, name, rest)
 
 
 def archive_paths(spark: SparkSession, pattern) -> DataFrame:
@@ -67,8 +84,7 @@ def ingest_archives(spark: SparkSession, pattern, schema, member_pattern: str =
     """Rows of every member matching ``member_pattern`` (regex) in the archives matching
     ``pattern``, parsed with ``schema`` (``|`` separated, no header, FAILFAST)."""
     paths = archive_paths(spark, pattern).select("path")
-    lines = paths.mapInPandas(lambda it: _lines(it, member_pattern),
-                              "path string, member string, value string")
+    lines = paths.mapInArrow(lambda it: _lines(it, member_pattern), "path string, member string, value string")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parsed = lines.select(F.from_csv("value", ddl, {"sep": "|", "mode": "FAILFAST"}).alias("r"), "member")
     return parsed.select("r.*", "member")
@@ -103,53 +119,50 @@ def audit_archives(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def _write_zips(batches, out_dir: str):
-    """Each Arrow batch of a task becomes one archive per archive key (bounded memory:
-    lines are streamed into the zip member). File names depend only on the partition and
-    batch number, so a retried or speculative task attempt overwrites its own files
-    instead of adding duplicates."""
-    from pyarrow import fs
+    """One archive per key and task: rows come sorted by key, so one file is open at a
+    time and lines are streamed into it. File names depend only on the partition number,
+    so a retried or speculative task attempt overwrites its own files instead of adding
+    duplicates."""
     from pyspark import TaskContext
     pid = TaskContext.get().partitionId()
-    for i, pdf in enumerate(batches):
-        if pdf.empty:
-            continue
-        for (key, member), part in pdf.groupby(["archive", "member"]):
-            target = f"{out_dir.rstrip('/')}/{key}-{member}-p{pid:05d}-b{i:05d}.zip"
-            filesystem, inner = (fs.FileSystem.from_uri(target) if "://" in target
-                                 else (fs.LocalFileSystem(), target))
-            with filesystem.open_output_stream(inner) as f, \
-                    zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as zf, \
-                    zf.open(f"{member}.txt", "w") as m:
-                for ln in part["line"]:
-                    m.write(ln.encode("utf-8") + b"\n")
-        yield pd.DataFrame({"n": [len(pdf)]})
+    now, out = None, None
+    with contextlib.ExitStack() as files:
+        for pdf in batches:
+            for key, part in pdf.groupby(["archive", "member"], sort=False):
+                if key != now:
+                    files.close()
+                    now = key
+                    filesystem, inner = _filesystem(f"{out_dir}/{key[0]}-{key[1]}-p{pid:05d}.zip")
+                    zf = files.enter_context(zipfile.ZipFile(
+                        files.enter_context(filesystem.open_output_stream(inner)), "w", zipfile.ZIP_DEFLATED))
+                    out = files.enter_context(zf.open(f"{key[1]}.txt", "w", force_zip64=True))
+                out.write(("\n".join(part["line"]) + "\n").encode("utf-8"))
+            yield pd.DataFrame({"n": [len(pdf)]})
 
 
 def write_archives(df: DataFrame, out_dir: str, archive_col: str, member_col: str) -> int:
     """Write ``df`` as ``|``-separated lines into zip archives named by ``archive_col``,
-    holding members named by ``member_col`` (written in parallel by every task)."""
-    from pyarrow import fs
-    filesystem, inner = (fs.FileSystem.from_uri(out_dir) if "://" in out_dir
-                         else (fs.LocalFileSystem(), out_dir))
+    holding members named by ``member_col`` (one archive per key and partition). Keys must
+    not be null."""
+    out_dir = qualified(df.sparkSession, out_dir).rstrip("/")
+    filesystem, inner = _filesystem(out_dir)
     filesystem.create_dir(inner, recursive=True)
     cols = [c for c in df.columns if c not in (archive_col, member_col)]
     line = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
-    lines = df.select(F.col(archive_col).cast("string").alias("archive"),
-                      F.col(member_col).cast("string").alias("member"), line.alias("line"))
-    res = lines.mapInPandas(lambda it: _write_zips(it, out_dir), "n long")
+    key = lambda c: F.coalesce(F.col(c).cast("string"), F.raise_error(F.lit(f"null archive key in {c}")))
+    lines = df.select(key(archive_col).alias("archive"), key(member_col).alias("member"), line.alias("line"))
+    res = lines.sortWithinPartitions("archive", "member").mapInPandas(lambda it: _write_zips(it, out_dir), "n long")
     return int(res.agg(F.sum("n")).first()[0] or 0)
 
 
-def add_broken_archives(out_dir: str) -> None:
+def add_broken_archives(spark: SparkSession, out_dir: str) -> None:
     """A truncated archive, one without members and a text file named .zip (for the audit)."""
-    from pyarrow import fs
     whole, none = io.BytesIO(), io.BytesIO()
     with zipfile.ZipFile(whole, "w") as z:
         z.writestr("historical_data_2015Q1.txt", "x|" * 500)
     zipfile.ZipFile(none, "w").close()
     for name, body in (("truncated", whole.getvalue()[:300]), ("empty", none.getvalue()), ("text", b"no archive")):
-        target = f"{out_dir.rstrip('/')}/{name}.zip"
-        filesystem, inner = fs.FileSystem.from_uri(target) if "://" in target else (fs.LocalFileSystem(), target)
+        filesystem, inner = _filesystem(f"{qualified(spark, out_dir).rstrip('/')}/{name}.zip")
         with filesystem.open_output_stream(inner) as f:
             f.write(body)
 

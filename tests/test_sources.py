@@ -52,3 +52,34 @@ def test_archives_roundtrip_and_audit(spark, tmpdir_path):
     audit = {r.path.rsplit("/", 1)[-1]: r for r in audit_archives(spark, out + "/*.zip").collect()}
     assert audit["broken.zip"].is_zip is False and audit["broken.zip"].error
     assert all(r.is_zip and r.n_members == 1 for k, r in audit.items() if k != "broken.zip")
+
+
+def test_lines_across_chunks(tmpdir_path):
+    """Lines cut by chunk borders, CRLF, blank lines, wide characters, no final line end."""
+    import zipfile
+
+    import pyarrow as pa
+
+    from panelforge.sources.archives import _lines
+    lines = ["a|1", "", "größe|" + "x" * 40, "δ|2", "end"]
+    with zipfile.ZipFile(tmpdir_path + "/a.zip", "w") as z:
+        z.writestr("one.txt", "\r\n".join(lines))
+        z.writestr("two.txt", "\n".join(lines) + "\n")
+        z.writestr("none.txt", "")
+        z.writestr("skip.csv", "no")
+    paths = pa.RecordBatch.from_arrays([pa.array(["file:" + tmpdir_path + "/a.zip"])], names=["path"])
+    for chunk in (1, 7, 1 << 20):
+        got = pa.Table.from_batches(_lines([paths], r"\.txt$", chunk)).to_pydict()
+        assert got["value"] == lines * 2 and got["member"] == ["one.txt"] * 5 + ["two.txt"] * 5
+
+
+def test_one_archive_per_key_and_partition(spark, tmpdir_path):
+    import os
+    n = 30_000  # several Arrow batches per task
+    df = spark.range(0, n, 1, 2).select("id", (F.col("id") % 3).cast("string").alias("_a"), F.lit("m").alias("_m"))
+    assert write_archives(df, tmpdir_path + "/z", "_a", "_m") == n
+    assert len([f for f in os.listdir(tmpdir_path + "/z") if f.endswith(".zip")]) == 6
+    from panelforge.sources.archives import ingest_archives
+    from pyspark.sql.types import LongType, StructField, StructType
+    back = ingest_archives(spark, tmpdir_path + "/z/*.zip", StructType([StructField("id", LongType())]))
+    assert back.agg(F.count("id"), F.countDistinct("id"), F.sum("id")).first()[:] == (n, n, n * (n - 1) // 2)
