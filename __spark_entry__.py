@@ -414,7 +414,7 @@ def q_audit_archives(spark, d):
     from panelforge.sources.archives import add_broken_archives, audit_archives
     out = _write_fixture_archives(spark, d)
     add_broken_archives(spark, out)
-    kind = F.regexp_extract("path", r"(historical_data(?:_time)?_\d{4}Q\d|truncated|empty|text)(?:-p\d+-b\d+)?\.zip$", 1)
+    kind = F.regexp_extract("path", r"(historical_data(?:_time)?_\d{4}Q\d|truncated|empty|text)(?:-p\d+)?\.zip$", 1)
     return (audit_archives(spark, out + "/*.zip").groupBy(kind.alias("archive"))
             .agg(F.max(F.col("is_zip").cast("int")).alias("is_zip"), F.max("n_members").alias("n_members"),
                  F.max(F.col("error").isNotNull().cast("int")).alias("broken")))
