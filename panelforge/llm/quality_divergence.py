@@ -11,7 +11,7 @@ Words are counted in tasks and summed by Spark; only the references (a few hundr
 per language) reach the driver.
 
 Defined results: null texts count as empty; empty and short texts fail the base rule of 50
-words; a null or rare language uses the reference of all documents; repeated rows are
+words; a null, empty or rare language uses the reference of all documents; repeated rows are
 judged each; an empty table gives no rows; extra columns are ignored."""
 
 from __future__ import annotations
@@ -107,7 +107,7 @@ def references(docs: DataFrame, common_words: int = 100, min_documents: int = 20
 
     counts = pick(docs, text=text_col, lang=lang_col).mapInArrow(count, schema)
     by = materialize(docs.sparkSession, counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "quality-counts")
-    both = by.where("lang is not null").union(by.groupBy(F.lit("").alias("lang"), "word").agg(F.sum("n").alias("n")))
+    both = by.where("lang <> ''").union(by.groupBy(F.lit("").alias("lang"), "word").agg(F.sum("n").alias("n")))
     is_word = F.col("word") > F.lit(b" ~")
     top = F.row_number().over(Window.partitionBy("lang", is_word).orderBy(F.desc("n"), "word"))
     kept = both.withColumn("r", top).where(f"r <= {common_words}").select("lang", "word", "n").collect()

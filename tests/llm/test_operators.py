@@ -255,6 +255,18 @@ def test_quality(spark, docs, empty):
     assert quality_divergence.judge(spark, empty).count() == 0
 
 
+def test_an_empty_language_is_none(spark):
+    """All documents make the reference of '' whether the language is null or empty."""
+    rows = [(i, f"word{i % 7} common text, number {i}.") for i in range(40)]
+    got = []
+    for lang in (None, ""):
+        d = spark.createDataFrame([(*r, "en" if r[0] % 2 else lang) for r in rows], "doc_id long, text string, lang string")
+        refs = quality_divergence.references(d)
+        assert set(refs) == {"", "en"}
+        got.append([(r[0], r[1].tolist(), r[2].tolist()) for _, r in sorted(refs.items())])
+    assert got[0] == got[1]
+
+
 def test_js_distance():
     p, q = np.array([1.0, 0, 3]), np.array([0, 2.0, 2])
     m = (p / 4 + q / 4) / 2
