@@ -23,10 +23,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each class of 3-word-shingle Jaccard >= 0.9.
+    """Keeps the document with the smallest id of each class of 5-word-shingle Jaccard >= 0.8.
     Rows with one doc_id are one document and stay or go together."""
     checkpoint_dir(spark)
-    classes = jaccard_tiles.jaccard_classes(spark, docs)
+    classes = jaccard_tiles.jaccard_classes(spark, docs, shingle=5, threshold=(8, 10))
     gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("gone__id")).distinct()
     return docs.join(gone, F.col("doc_id") == F.col("gone__id"), "left_anti")
 

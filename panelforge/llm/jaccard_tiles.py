@@ -1,11 +1,13 @@
 """N-gram Jaccard join in size-banded tiles with hashed bitmap signatures.
 
-A document's set holds the hashes of its distinct 3-word shingles. Sets of one content
-are joined once. Two sets of sizes a <= b with Jaccard >= 9/10 differ in at most a/9
-elements; sizes are therefore cut into bands, a band fixes a number of parts greater than
-that, elements fall into parts by hash, and by the pigeonhole principle linked sets agree
-on one whole part. A tile is (band, part, hash of the part's elements): every link lies in
-a tile, and unrelated documents hardly ever share one.
+A document's set holds the hashes of its distinct shingles (3 words by default). Sets of
+one content are joined once. Two sets of sizes a <= b with Jaccard >= p/q (9/10 by default)
+differ in at most a * (q - p) / p elements; sizes are therefore cut into bands, a band fixes
+a number of parts greater than that, elements fall into parts by hash, and by the pigeonhole
+principle linked sets agree on one whole part. A tile is (band, part, hash of the part's
+elements): every link lies in a tile, and unrelated documents hardly ever share one. A set
+with more occupied parts than elements can differ shares an occupied one, so its empty parts
+make no tile; the lower the threshold, the more parts a band has beyond the least number.
 
 Inside the tiles the links that components need are found in two rounds:
 
@@ -26,6 +28,9 @@ columns are ignored."""
 
 from __future__ import annotations
 
+import math
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -35,7 +40,7 @@ from pyspark.sql import functions as F
 from .common import bitmap_of, in_bitmap, materialize, pick, raw_texts, slices
 from .components import connected_components
 
-NUMERATOR, DENOMINATOR = 9, 10
+THRESHOLD = (9, 10)  # op10's contract, as a fraction
 WORDS = 8  # 64-bit words of a bitmap
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S = np.uint64(33)
@@ -73,32 +78,40 @@ class Shingler:
         return np.unique(acc)
 
 
-def bands(limit: int) -> list[int]:
-    """Lower bounds of the size bands up to ``limit``; below 9 only equal sets are linked."""
-    out = [9]
+@lru_cache
+def bands(threshold: tuple[int, int], limit: int = 1 << 40) -> list[int]:
+    """Lower bounds of the size bands up to ``limit``; below the first only equal sets are
+    linked. A band is at least as wide as the sizes that link over two steps."""
+    p, q = threshold
+    if not 0 < p < q:
+        raise ValueError(f"no threshold between 0 and 1: {p}/{q}")
+    up, down = (3, 2) if 3 * p * p >= 2 * q * q else (q * q, p * p)
+    out = [-(-p // (q - p))]
     while out[-1] <= limit:
-        out.append(out[-1] * 3 // 2 + 1)
+        out.append(out[-1] * up // down + 1)
     return out
 
 
-_BANDS = bands(1 << 40)
-
-
-def signatures(s: np.ndarray) -> np.ndarray:
-    """The tiles of a set: its band's parts, and the next lower band's if a partner may be there."""
-    n = len(s)
-    j = int(np.searchsorted(_BANDS, n, side="right")) - 1
+def signatures(s: np.ndarray, threshold: tuple[int, int] = THRESHOLD) -> np.ndarray:
+    """The tiles of a set: its band's parts, and those of lower bands that may hold a partner."""
+    (p, q), lows, n = threshold, bands(threshold), len(s)
+    j = int(np.searchsorted(lows, n, side="right")) - 1
     if j < 0:
         return np.zeros(0, np.uint64)
-    levels = [j] + ([j - 1] if j and NUMERATOR * n <= DENOMINATOR * (_BANDS[j] - 1) else [])
+    levels = [j]
+    while levels[-1] and p * n <= q * (lows[levels[-1]] - 1):
+        levels.append(levels[-1] - 1)
     mixed, out = _mix(s + np.uint64(1)), []
     for b in levels:
-        parts = (_BANDS[b + 1] - 1) // NUMERATOR + 1
+        most = (lows[b + 1] - 1) * (q - p) // p  # elements in which linked sets of the band differ
+        parts = most + 1 + round(8 * (most + 10) * math.exp(-p / (q - p)))
         at = (s >> np.uint64(20)) % np.uint64(parts)
         total = np.zeros(parts, np.uint64)
         np.add.at(total, at, mixed)
         salt = np.uint64((b + 1) * int(_M2) & (1 << 64) - 1)
-        out.append(_mix(total + np.arange(parts, dtype=np.uint64) * _M1 + salt))
+        tiles = _mix(total + np.arange(parts, dtype=np.uint64) * _M1 + salt)
+        held = np.bincount(at.astype(np.int64), minlength=parts) > 0
+        out.append(tiles[held] if held.sum() > min(most, n * (q - p) // p) else tiles)
     return np.concatenate(out)
 
 
@@ -108,7 +121,7 @@ def bitmap(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little").view(np.int64)
 
 
-def describe(docs: DataFrame, shingle: int = 3) -> DataFrame:
+def describe(docs: DataFrame, shingle: int = 3, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """doc_id, n, k1, k2 (identity of the set; null if empty), m0.. (bitmap), tiles."""
     names = [f"m{i}" for i in range(WORDS)]
     arrow = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64())] +
@@ -126,7 +139,7 @@ def describe(docs: DataFrame, shingle: int = 3) -> DataFrame:
                 k1.append((key >> 64) - (1 << 63) if len(s) else None)
                 k2.append((key & (1 << 64) - 1) - (1 << 63) if len(s) else None)
                 maps.append(bitmap(s))
-                t = signatures(s)
+                t = signatures(s, threshold)
                 tiles.append(t.view(np.int64))
                 offsets.append(offsets[-1] + len(t))
             m = np.stack(maps)
@@ -138,14 +151,14 @@ def describe(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, ddl)
 
 
-def _possible(left: str, right: str) -> Column:
+def _possible(left: str, right: str, threshold: tuple[int, int]) -> Column:
     """The bound on the overlap from above is not below what a link needs."""
-    a, b = F.col(f"{left}n"), F.col(f"{right}n")
+    (p, q), a, b = threshold, F.col(f"{left}n"), F.col(f"{right}n")
     apart = sum((F.bit_count(F.col(f"{left}m{i}").bitwiseXOR(F.col(f"{right}m{i}"))) for i in range(1, WORDS)),
                 F.bit_count(F.col(f"{left}m0").bitwiseXOR(F.col(f"{right}m0"))))
-    size = F.least(a, b) * DENOMINATOR >= F.greatest(a, b) * NUMERATOR
-    # 10 * inter >= 9 * (a + b - inter) with inter <= (a + b - apart) / 2
-    return size & ((a + b - apart) * (DENOMINATOR + NUMERATOR) >= 2 * NUMERATOR * (a + b))
+    size = F.least(a, b) * q >= F.greatest(a, b) * p
+    # q * inter >= p * (a + b - inter) with inter <= (a + b - apart) / 2
+    return size & ((a + b - apart) * (q + p) >= (a + b) * (2 * p))
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
@@ -167,9 +180,11 @@ def _texts(spark: SparkSession, docs: DataFrame, ids: DataFrame) -> DataFrame:
     return materialize(spark, some.join(ids.select("doc_id"), "doc_id", "left_semi"), "jaccard-texts")
 
 
-def _verify(spark: SparkSession, pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+def _verify(spark: SparkSession, pairs: DataFrame, texts: DataFrame, shingle: int,
+            threshold: tuple[int, int]) -> DataFrame:
     """The linked pairs (a, b) of ``pairs``, by the exact intersection of the sorted arrays."""
     pairs = materialize(spark, pairs, "jaccard-pairs")
+    p, q = threshold
 
     def run(batches):
         shingler = Shingler(shingle)
@@ -180,7 +195,7 @@ def _verify(spark: SparkSession, pairs: DataFrame, texts: DataFrame, shingle: in
                     last = (left[i], shingler(left[i]))
                 x, y = last[1], shingler(right[i])
                 inter = len(np.intersect1d(x, y, assume_unique=True))
-                if DENOMINATOR * inter >= NUMERATOR * (len(x) + len(y) - inter) and inter:
+                if q * inter >= p * (len(x) + len(y) - inter) and inter:
                     out_a.append(a)
                     out_b.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
@@ -190,11 +205,11 @@ def _verify(spark: SparkSession, pairs: DataFrame, texts: DataFrame, shingle: in
 
 
 def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
+                    text_col: str = "text", threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by
-    links of Jaccard >= 9/10)."""
+    links of Jaccard >= ``threshold``, a fraction (p, q))."""
     docs = pick(docs, doc_id=id_col, text=text_col)
-    sets = materialize(spark, describe(docs, shingle), "jaccard-sets")
+    sets = materialize(spark, describe(docs, shingle, threshold), "jaccard-sets")
     key = ["k1", "k2", "n"]
     reps = materialize(spark, sets.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")), "jaccard-reps")
     known = sets.select("doc_id", *key).join(reps, key)
@@ -212,7 +227,7 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = 3, id_c
         """Pairs (a, b) that the bitmaps don't rule out."""
         p = pairs.join(_prefixed(maps, "a_").withColumnRenamed("a_id", "a"), "a").join(
             _prefixed(maps, "b_").withColumnRenamed("b_id", "b"), "b")
-        return p.where(_possible("a_", "b_")).select("a", "b")
+        return p.where(_possible("a_", "b_", threshold)).select("a", "b")
 
     # round 1: the leader that a member shares most tiles with
     lead = cells.groupBy("tile").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
@@ -220,7 +235,7 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = 3, id_c
         F.count(F.lit(1)).alias("c"))
     best = pairs.groupBy("b").agg(F.max(F.struct("c", (-F.col("a")).alias("a"))).alias("x")).select(
         (-F.col("x.a")).alias("a"), "b")
-    links = _verify(spark, fits(best), texts, shingle)
+    links = _verify(spark, fits(best), texts, shingle, threshold)
     first = materialize(spark, connected_components(spark, links), "jaccard-first")
 
     # round 2: what lies in tiles with several components, against all but its own component
@@ -234,9 +249,9 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = 3, id_c
     with_maps = open_.join(_prefixed(maps, "").withColumnRenamed("id", "rep"), "rep")
     minor = _prefixed(with_maps.where("component <> main"), "a_").withColumnRenamed("a_tile", "tile")
     other = _prefixed(with_maps, "b_").withColumnRenamed("b_tile", "tile")
-    more = minor.join(other, "tile").where("a_component <> b_component").where(_possible("a_", "b_")).select(
+    more = minor.join(other, "tile").where("a_component <> b_component").where(_possible("a_", "b_", threshold)).select(
         F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).distinct()
-    links = links.union(_verify(spark, more, texts, shingle))
+    links = links.union(_verify(spark, more, texts, shingle, threshold))
 
     final = connected_components(spark, links)
     out = known.select("doc_id", "n", "rep").join(final.select(F.col("id").alias("rep"), "component"), "rep", "left").select(

@@ -399,6 +399,20 @@ def test_linked_sets_share_a_tile(seed):
                     assert set(jaccard_tiles.signatures(np.unique(a))) & set(jaccard_tiles.signatures(np.unique(b)))
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_linked_sets_share_a_tile_at_other_thresholds(seed):
+    rng = np.random.default_rng(seed)
+    for p, q in ((8, 10), (1, 2), (19, 20)):
+        for n in (4, 5, 6, 9, 19, 40, 100, 333):
+            a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            mine = set(jaccard_tiles.signatures(np.unique(a), (p, q)))
+            for drop in range(n * (q - p) // p + 1):
+                for add in range(0, n * (q - p) // p + 1 - drop, 1 + n // 40):
+                    b = np.concatenate([a[drop:], rng.integers(0, 1 << 63, add, dtype=np.uint64)])
+                    if len(b) and q * (n - drop) >= p * (n + add) and drop + add:
+                        assert mine & set(jaccard_tiles.signatures(np.unique(b), (p, q)))
+
+
 def test_corpus_back_off(spark):
     texts = ["a b a", "b c", "A", "", None, "c c c", "a d"]
     df = spark.createDataFrame([(t,) for t in texts], "text string")

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 
 import corpus_pipeline as P
@@ -32,3 +34,30 @@ def test_stages(spark):
 def test_every_operator_has_a_query():
     assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
     assert [n for n, _ in P.STAGES][0] == "toxicity" and toxicity_kn.WINDOW == 8
+
+
+def test_near_duplicates_against_brute_force(spark):
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+    texts = [None, "", "one two"]
+    for n in (8, 30, 90, 240):
+        one = [rng.choice(words) for _ in range(n)]
+        texts.append(" ".join(one))
+        for edits in sorted({1, n // 57 + 1, n // 45, n // 30}):  # scattered edits
+            x = list(one)
+            for k in range(edits):
+                x[(2 * k + 1) * n // (2 * edits)] = f"new{k}"
+            texts.append(" ".join(x))
+        texts.append(" ".join(one[:n // 2] + [f"b{k}" for k in range(n // 12)] + one[n // 2 + n // 12:]))  # a block replaced
+        texts.append(" ".join(one + [f"c{k}" for k in range(n // 6)]))                                   # a block added
+    sets = [{tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for w in ((t or "").split() for t in texts)]
+    comp = list(range(len(sets)))
+    for _ in range(6):
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if a and b and 10 * len(a & b) >= 8 * len(a | b):
+                    comp[i] = comp[j] = min(comp[i], comp[j])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = P.near_duplicates(spark, docs, SF)
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, c in enumerate(comp) if i == c]
+    assert sum(c != i for i, c in enumerate(comp)) > 8
