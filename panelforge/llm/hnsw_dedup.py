@@ -2,12 +2,14 @@
 
 Equal vectors are joined to one representative first. Representatives are hashed to
 shards; each shard's graph is built in one task (points enter in batches that search the
-graph so far, choose diverse neighbours and link back) and written once. Every shard is
-then asked about every representative, chunk by chunk. A query's beam is doubled while its
-worst member still reaches the threshold, and all beams of a chunk are doubled until an
-audit - part of its queries against all vectors of the shard - finds the wanted recall.
-What the beams find is verified by the cosine in double precision; per task only counts
-and a spanning forest of the links leave, and components are joined in Spark.
+graph so far, choose diverse neighbours and link back) and written once. For every pair of
+shards one task asks each graph about the other's points, chunk by chunk. A query's beam is
+doubled while its worst member still reaches the threshold, and all beams of a chunk are
+doubled until every query of an audit - an eighth of the chunk, spread over queries with few
+and many links, against all vectors of the shard - has found the wanted recall of its links.
+A pair that either point finds is a link of both. What the beams find is verified by the
+cosine in double precision; per task only counts and a spanning forest of the links leave,
+and components are joined in Spark.
 
 Defined results: null, empty, zero vectors and such with null or non-finite components
 link with nothing; vectors of different length never link; equal vectors link; repeated
@@ -178,12 +180,23 @@ def _link_back(x: np.ndarray, nbrs: np.ndarray, new: np.ndarray, mine: np.ndarra
             nbrs[own] = _diverse(x, x[own], np.take_along_axis(ids, o, 1), np.take_along_axis(sims, o, 1), keep)
 
 
-def linked(graph: Graph, q: np.ndarray, threshold: float, beam: int = 32, recall: float = 0.995, audit: int = 24):
+def audited(count: np.ndarray, size: int) -> np.ndarray:
+    """About ``size`` queries to audit: as many of each order of magnitude of links found, so
+    that a large group leaves places to queries with few links or none."""
+    level = np.log2(count + 1).astype(int)
+    groups = [np.flatnonzero(level == i) for i in np.unique(level)]
+    each = -(-size // len(groups))
+    return np.concatenate([g[np.linspace(0, len(g) - 1, min(each, len(g))).astype(int)] for g in groups])
+
+
+def linked(graph: Graph, q: np.ndarray, threshold: float, beam: int = 32, recall: float = 0.995, audit: int = 64,
+           own: np.ndarray | None = None):
     """(query, point) of all pairs with similarity over the threshold that the graph finds;
-    beams widen query by query while full, and together until the audit passes."""
+    beams widen query by query while full, and together until every audited query has found
+    ``recall`` of its links. At least ``audit`` queries and an eighth of all are audited;
+    ``own`` gives the queries' own points, which the audit leaves out."""
     n, slack = len(graph.x), threshold - 1e-4  # float32; the caller verifies in double precision
-    sample = np.linspace(0, len(q) - 1, min(audit, len(q))).astype(int)
-    truth = graph.x @ q[sample].T >= slack
+    sample = None
     while True:
         rows, cols, todo, width = [], [], np.arange(len(q)), min(beam, n)
         while len(todo):
@@ -205,16 +218,44 @@ def linked(graph: Graph, q: np.ndarray, threshold: float, beam: int = 32, recall
             todo = np.concatenate(again) if again else np.zeros(0, int)
             width = min(4 * width, n)
         rows, cols = np.concatenate(rows), np.concatenate(cols)
+        if beam >= n:
+            return rows, cols
+        if sample is None:
+            others = rows if own is None else rows[cols != own[rows]]
+            sample = audited(np.bincount(others, minlength=len(q)), max(audit, len(q) // 8))
+            truth = graph.x @ q[sample].T >= slack
+            if own is not None:
+                truth[own[sample], np.arange(len(sample))] = False
         got = np.zeros_like(truth)
         place = np.full(len(q), -1)
         place[sample] = np.arange(len(sample))
         at = place[rows] >= 0
         got[cols[at], place[rows[at]]] = True
-        if beam >= n or (got & truth).sum() >= recall * truth.sum():
+        if ((got & truth).sum(0) >= recall * truth.sum(0)).all():
             return rows, cols
         beam *= 2
 
 
+def between(g: Graph, x: np.ndarray, h: Graph, y: np.ndarray, threshold: float, chunk_rows: int) -> np.ndarray:
+    """Which points of ``g`` (vectors ``x`` in double precision) and ``h`` (``y``) are linked, as
+    a matrix: a pair that either point finds counts. With ``g`` as ``h``, each pair once."""
+    hit = np.zeros((len(x), len(y)), bool)
+    same = g is h
+    for graph, q, p, out in ((h, x, y, hit),) if same else ((h, x, y, hit), (g, y, x, hit.T)):
+        for a in range(0, len(q), chunk_rows):
+            part = q[a:a + chunk_rows]
+            r, c = linked(graph, part.astype(np.float32), threshold, own=np.arange(a, a + len(part)) if same else None)
+            for e in range(0, len(r), 65536):
+                i, j = r[e:e + 65536], c[e:e + 65536]
+                ok = np.einsum("ed,ed->e", part[i], p[j]) >= threshold
+                out[a + i[ok], j[ok]] = True
+    if same:
+        for a in range(len(x)):  # the pair (i, j), i < j, from either direction
+            hit[a, a + 1:] |= hit[a + 1:, a]
+            hit[a, :a + 1] = False
+    return hit
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     """A spanning forest of the links."""
     parent: dict[int, int] = {}
@@ -234,7 +275,7 @@ def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
 
 
 def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float = 0.9, shards: int = 8,
-                    shard_rows: int = 50_000, chunk_rows: int = 4096, id_col: str = "vec_id",
+                    shard_rows: int = 16_384, chunk_rows: int = 4096, id_col: str = "vec_id",
                     vector_col: str = "embedding") -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     v = pick(vectors, vec_id=id_col, v=vector_col).withColumn("v", F.col("v").cast("array<double>"))
@@ -246,9 +287,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
     reps = materialize(spark, reps.where("rep is not null").withColumn("dim", F.size("v")), "hnsw-distinct")
     total = reps.count()
     shards = max(shards, -(-total // shard_rows))
-    chunks = max(1, -(-total // chunk_rows))
-    reps = reps.withColumn("shard", F.pmod(F.xxhash64("rep"), F.lit(shards)).cast("int")).withColumn(
-        "chunk", F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(chunks)).cast("int"))
+    reps = reps.withColumn("shard", F.pmod(F.xxhash64("rep"), F.lit(shards)).cast("int"))
 
     def matrix(table: pa.Table) -> np.ndarray:
         col = table.column("v").combine_chunks()
@@ -273,31 +312,34 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
 
     answer = pa.schema([("rep", pa.int64()), ("other", pa.int64()), ("n", pa.int64())])
 
-    def ask(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
+    def ask(key: tuple, some: pa.Table) -> pa.Table:
+        some = some.sort_by("shard")
+        if some.num_rows == 1 and key[1] != key[2]:
             return answer.empty_table()
-        g = Graph.load(right.column("graph")[0].as_py())
-        z = np.load(io.BytesIO(right.column("points")[0].as_py()))
-        ids, m, x = z["rep"], z["m"], z["x"]
-        left = left.sort_by("rep")
-        rep, q = left.column("rep").to_numpy(), unit(matrix(left))
-        r, c = linked(g, q.astype(np.float32), threshold)
-        ok = np.concatenate([np.einsum("ed,ed->e", q[r[a:a + 65536]], x[c[a:a + 65536]]) >= threshold
-                             for a in range(0, len(r), 65536)] or [np.zeros(0, bool)])
-        r, c = r[ok], c[ok]
-        apart = rep[r] != ids[c]
-        r, c = r[apart], c[apart]
-        n = np.bincount(r, weights=m[c], minlength=len(rep)).astype("i8")
+        sides = []
+        for graph, points in zip(some.column("graph"), some.column("points")):
+            z = np.load(io.BytesIO(points.as_py()))
+            sides.append((Graph.load(graph.as_py()), z["rep"], z["m"], z["x"]))
+        (g, rep, m, x), (h, ids, w, y) = sides[0], sides[-1]
+        hit = between(g, x, h, y, threshold, chunk_rows)
+        left, right, edges = np.zeros(len(x)), np.zeros(len(y)), []
+        for a in range(0, len(x), chunk_rows):
+            r, c = np.nonzero(hit[a:a + chunk_rows])
+            r += a
+            left += np.bincount(r, weights=w[c], minlength=len(x))
+            right += np.bincount(c, weights=m[r], minlength=len(y))
+            edges += forest(rep[r], ids[c])
+        n, who = np.concatenate([left, right]).astype("i8"), np.concatenate([rep, ids])
         has = np.flatnonzero(n)
-        edges = forest(rep[r], ids[c])
-        return pa.table([pa.array(np.concatenate([rep[has], np.array([a for a, _ in edges], "i8")])),
+        return pa.table([pa.array(np.concatenate([who[has], np.array([a for a, _ in edges], "i8")])),
                          pa.array([None] * len(has) + [b for _, b in edges], pa.int64()),
                          pa.array(np.concatenate([n[has], np.zeros(len(edges), "i8")]))], schema=answer)
 
-    asked = reps.select("dim", "chunk", "rep", "v", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    copies = graphs.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    by = ["dim", "shard", "chunk"]
-    found = asked.groupBy(*by).cogroup(copies.groupBy(*by)).applyInArrow(ask, "rep long, other long, n long")
+    # both directions of a pair of shards are asked in one task, so that links are symmetric
+    other = graphs.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    pairs = other.select("dim", F.least("shard", "other").alias("a"), F.greatest("shard", "other").alias("b"),
+                         "shard", "graph", "points")
+    found = pairs.groupBy("dim", "a", "b").applyInArrow(ask, "rep long, other long, n long")
     found = materialize(spark, found, "hnsw-found")
     links = found.groupBy("rep").agg(F.sum("n").alias("n"))
     comp = connected_components(spark, found.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b")))

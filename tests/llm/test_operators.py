@@ -97,6 +97,48 @@ def test_beams_widen_until_the_audit_passes():
     assert len(r) >= 0.99 * (g.x @ g.x.T >= 0.8 - 1e-4).sum()
 
 
+class _Blind:
+    """Exact answers, but narrow beams don't see the second points of small groups."""
+
+    def __init__(self, x, hidden, least):
+        self.x, self.hidden, self.least = x, hidden, least
+
+    def query(self, q, width):
+        sims = q @ self.x.T
+        if width < self.least:
+            sims[:, self.hidden] = -1
+        ids = np.argsort(-sims, axis=1, kind="stable")[:, :width]
+        return ids, np.take_along_axis(sims, ids, 1)
+
+
+def _hot_and_pairs():
+    rng = np.random.default_rng(5)
+    hot = rng.normal(size=(1, 24)) + rng.normal(size=(400, 24)) * 0.02
+    first = rng.normal(size=(300, 24))
+    x = np.concatenate([hot, first, first + rng.normal(size=first.shape) * 0.02])
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_audit_sees_lost_links_of_small_groups_beside_a_hot_one():
+    x = _hot_and_pairs()
+    x32, all_ = x.astype(np.float32), (x @ x.T >= 0.9)
+    r, c = hnsw_dedup.linked(_Blind(x32, np.arange(700, 1000), 256), x32, 0.9, own=np.arange(len(x)))
+    assert set(zip(r.tolist(), c.tolist())) == set(zip(*map(np.ndarray.tolist, np.nonzero(all_))))
+
+
+def test_links_found_in_one_direction_count_for_both(monkeypatch):
+    x = _hot_and_pairs()
+    a, b = x[::2], x[1::2]
+    one_way = lambda graph, q, *args, own=None: (
+        np.nonzero(q @ graph.x.T >= 0.9) if graph.x.shape == a.shape and graph.x[0, 0] == np.float32(a[0, 0])
+        else (np.zeros(0, int), np.zeros(0, int)))
+    monkeypatch.setattr(hnsw_dedup, "linked", one_way)
+    g, h = _Blind(a.astype(np.float32), [], 0), _Blind(b.astype(np.float32), [], 0)
+    for f, y, k, z in ((g, a, h, b), (h, b, g, a)):
+        assert (hnsw_dedup.between(f, y, k, z, 0.9, 100) == (y @ z.T >= 0.9)).all()
+    assert (hnsw_dedup.between(g, a, g, a, 0.9, 100) == np.triu(a @ a.T >= 0.9, 1)).all()
+
+
 # ------------------------------------------------------------------ 2
 def test_token_ids_equal_tokenizers():
     from tokenizers import Tokenizer
