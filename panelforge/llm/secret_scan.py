@@ -3,10 +3,10 @@
 Every whole text is scanned once in Arrow batches for candidate strings. Their hashes are
 then aggregated over the corpus: in how many repositories (distinct contents, so that
 copies of one file count once) and with how many owners (sources) each occurs. A candidate
-that many owners hold in many repositories is a widely copied example; one that looks
-random and stays with few owners is a live-looking credential. Base spans are always
-reported; the method adds a ``live`` span for each live-looking candidate that no base
-span covers.
+that many owners hold in many repositories is a widely copied example; any other base
+span, and any other further candidate that looks random, is a live-looking credential. Base
+spans are always reported; the method adds a ``live`` span for each live-looking candidate
+that no base span covers.
 
 Aggregation is partial per (hash, owner, repository) and never gathers a candidate's rows;
 the text itself is not shuffled.
@@ -119,7 +119,7 @@ def scan(spark: SparkSession, docs: DataFrame, min_owners: int = 3, min_repos: i
     found = materialize(spark, candidates(docs, **columns), "secrets")
     judged = (found.where("size(found) > 0").select("row", F.explode("found").alias("s"))
               .select("row", "s.*").join(ownership(found, min_owners, min_repos), "h")
-              .withColumn("live", F.expr("random and not example"))
+              .withColumn("live", F.expr("not example and (random or kind <> 'live')"))
               .withColumn("ord", F.expr("array_position(array('assign', 'access', 'hex', 'live'), kind)")))
     item = F.struct("start", "ord", "kind", "stop", "live", "n_owners", "n_repos")
     base = F.collect_list(F.when(F.col("kind") != "live", item))
@@ -146,8 +146,8 @@ def digest(spans: list[tuple[str, int, int]]) -> str:
 
 def mask(spark: SparkSession, docs: DataFrame, placeholder: str = "<secret>", id_col: str = "doc_id",
          text_col: str = "text", **kw) -> DataFrame:
-    """``docs`` with every live-looking span (base or added) replaced in the text; widely
-    copied examples and clean documents stay as they are. ``n_chars`` follows if present."""
+    """``docs`` with every live-looking span (base or added) replaced in the text, whatever the
+    letters of a base span's value; widely copied examples and clean documents stay as they are. ``n_chars`` follows if present."""
     found = scan(spark, docs, id_col=id_col, text_col=text_col, **kw)
     # documents of one id and content have the same spans, so they share a row of hits
     hits = found.select("doc_id", "content", F.explode("spans").alias("s")).where("s.live").groupBy(

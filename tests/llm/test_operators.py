@@ -234,6 +234,19 @@ def test_secrets(spark, empty):
     assert secret_scan.scan(spark, empty).count() == 0
 
 
+def test_ownership_alone_decides_on_base_spans(spark):
+    letters = "AKIA" + "QWERTYUIOPASDFGH"
+    rows = [(1, f"id {letters} end", "a"), (2, "password = correcthorsebattery", "a"), (3, "x " + "7" * 30 + " y", "b"),
+            (4, "see " + "z" * 30 + "1Z", "b")]
+    rows += [(10 + i, f"token=placeholder {i}", f"s{i}") for i in range(8)]
+    rows += [(20 + i, f"token=onlytwoowners {i}", f"s{i % 2}") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {i: r.text for i, r in _unique(secret_scan.mask(spark, docs)).items()}
+    assert got[1] == "id <secret> end" and got[2] == "<secret>" and got[3] == "x <secret> y"
+    assert got[4] == rows[3][1]                                    # an added candidate must look random
+    assert all(got[10 + i] == f"token=placeholder {i}" and got[20 + i] == f"<secret> {i}" for i in range(8))
+
+
 # ------------------------------------------------------------------ 4
 def test_surrogates(spark, empty):
     t = "Mail A@b.com, a@B.COM; Mrs. Anna Smith and Mr Smith, +1 (499) 555-6503 and +14995556503, 10.0.0.1, 4041894974608795."
