@@ -4,9 +4,15 @@ Entities (e-mail, IBAN, IPv4, social security number, payment card, phone, title
 are found by one pattern over the whole text. Every distinct entity (type, canonical form)
 gets one keyed surrogate of its type, so all its mentions in the corpus change alike,
 whatever their punctuation: digits and letters are replaced position by position, octets
-stay octets of the same width, a name keeps gender (of its title), script and number of
-words. A surrogate that another entity already has, or that is itself somebody's entity,
-is rejected and drawn again with the next attempt, until all are distinct.
+stay octets of the same width. A surrogate that another entity already has, or that is
+itself somebody's entity, is rejected and drawn again with the next attempt, until all are
+distinct.
+
+Names are whole names: any number of words with inner capitals, apostrophes, hyphens,
+particles and initials. Their entities are the parts, so given and family names agree
+across titles and mentions; a part keeps its script, and a given name the gender of its
+titles. Parts of a document's titled names are replaced wherever that document has them as
+capitalised words. Initials are turned by a keyed permutation of the alphabet.
 
 Mentions join their surrogates by entity, one row per (document, mention); only documents
 with entities are joined back to their text.
@@ -16,6 +22,8 @@ empty table gives no rows; extra columns are ignored."""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +41,14 @@ PHONE = (r"(?<![\p{L}\d])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,
 MALE = r"Mr|Herr|Monsieur|Señor|Sir|г-н|Κύριος"
 FEMALE = r"Mrs|Ms|Miss|Frau|Madame|Señora|г-жа|Κυρία"
 NEUTRAL = r"Dr|Prof"
-NAME = rf"(?<!\p{{L}})(?:{MALE}|{FEMALE}|{NEUTRAL})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?"
+TITLES = rf"(?:(?:{MALE}|{FEMALE}|{NEUTRAL})(?![\p{{L}}\p{{M}}])\.? )+"
+#: A part of a name (no initial); a closing 's is not of the name.
+PART = (rf"(?<![\p{{L}}\p{{M}}\d])(?!(?:{MALE}|{FEMALE}|{NEUTRAL})(?![\p{{L}}\p{{M}}]))\p{{Lu}}\p{{M}}*+"
+        r"(?:(?:\p{L}\p{M}*+)+|['’](?!s(?!\p{L}))\p{L}\p{M}*+)+")
+INITIAL = r"(?<![\p{L}\p{M}\d])\p{Lu}(?:\.|(?= \p{Lu}))"
+PARTICLE = r"(?:(?:van|von|vom|de|del|della|der|den|di|da|dos|du|el|bin|ibn|al|ter|ten|zu|zur|la|le) )"
+_NAME_WORD = rf"{PARTICLE}*(?:{INITIAL}|{PART}(?:-{PART})*)"
+NAME = rf"(?<!\p{{L}}){TITLES}{_NAME_WORD}(?:(?: |(?<=\.)){_NAME_WORD})*"
 ENTITY = "|".join((EMAIL, IBAN, IPV4, SSN, CARD, PHONE, NAME))
 #: Texts without any of these hold no entity (a cheap first look).
 MARK = rf"[@\d]|{MALE}|{FEMALE}|{NEUTRAL}"
@@ -66,15 +81,29 @@ def kind_of(m: Column) -> Column:
 
 
 def canonical(m: Column, kind: Column) -> Column:
-    """What mentions of one entity share. Names keep the gender and script of the mention."""
-    name = F.regexp_replace(m, r"^[^ ]+ ", "")
-    gender = F.when(m.rlike(rf"^(?:{FEMALE})\b"), "f").when(m.rlike(rf"^(?:{MALE})\b"), "m").otherwise("n")
+    """What mentions of one entity share (names: see ``name_parts``)."""
     return (F.when(kind == "email", F.lower(m)).when(kind == "ip", m)
             .when(kind == "iban", F.regexp_replace(m, " ", ""))
-            .when(kind == "name", F.concat(gender, F.lit(" "), name))
             .otherwise(F.regexp_replace(m, r"\D", "")))
 
 
+def part_key(part: Column) -> Column:
+    return F.regexp_replace(F.lower(part), "’", "'")
+
+
+def name_parts(m: Column) -> Column:
+    """(canon, style) of each part of a titled name: style is the gender of the title for a
+    given name, and s for the last word's parts."""
+    name = F.regexp_replace(m, rf"^{TITLES}", "")
+    gender = F.when(m.rlike(rf"^(?:{FEMALE})(?!\p{{L}})"), "f").when(m.rlike(rf"^(?:{MALE})(?!\p{{L}})"), "m").otherwise("n")
+    last = F.regexp_extract(name, r"[^ ]+$", 0)
+
+    def parts(words: Column, style: Column) -> Column:
+        return F.transform(F.regexp_extract_all(words, F.lit(PART), F.lit(0)),
+                           lambda x: F.struct(part_key(x).alias("canon"), style.alias("style")))
+    return F.concat(parts(F.regexp_extract(name, r"^(.*) [^ ]+$", 1), gender), parts(last, F.lit("s")))
+
+
 def _number(digest: Column, i: Column, modulo: int) -> Column:
     """A number below ``modulo`` from place ``i`` of the digest."""
     return (F.conv(F.substring(digest, F.pmod(i * 4, F.lit(256)) + 1, F.lit(4)), 16, 10).cast("int") % modulo)
@@ -89,90 +118,132 @@ def _letters(s: Column, digest: Column) -> Column:
     return F.array_join(F.transform(F.split(s, ""), one), "")
 
 
-def _octets(s: Column, digest: Column) -> Column:
+def _octets(s: Column, digest: Column, attempt: int) -> Column:
     def one(o, i):
         return (F.when(F.length(o) == 1, _number(digest, i, 9) + 1).when(F.length(o) == 2, _number(digest, i, 90) + 10)
                 .otherwise(_number(digest, i, 155) + 100)).cast("string")
     return F.array_join(F.transform(F.split(s, r"\."), one), ".")
 
 
-def _name(s: Column, digest: Column) -> Column:
-    gender, words = F.substring(s, 1, 1), F.size(F.split(s, " ")) - 1
-    script = F.when(s.rlike(r"\p{IsCyrillic}"), "cyrillic").when(s.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
-    given, family = F.lit(None).cast("string"), F.lit(None).cast("string")
+def _name(part: Column, style: Column, digest: Column, attempt: int) -> Column:
+    """A part's surrogate in small letters: a given name of the pool (with syllables from the
+    second attempt on), or a family name of four syllables and more."""
+    script = F.when(part.rlike(r"\p{IsCyrillic}"), "cyrillic").when(part.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
+    out = F.lit(None).cast("string")
     for sc, by in GIVEN.items():
-        for g, names in by.items():
-            pool = F.array(*map(F.lit, names))
-            given = F.when((script == sc) & (gender == g), F.element_at(pool, _number(digest, F.lit(0), len(names)) + 1)
-                           ).otherwise(given)
         pool, n = F.array(*map(F.lit, SYLLABLES[sc])), len(SYLLABLES[sc])
-        family = F.when(script == sc, F.initcap(F.concat(*[F.element_at(pool, _number(digest, F.lit(k), n) + 1)
-                                                           for k in (1, 2, 3, 4)]))).otherwise(family)
-    return F.concat(gender, F.lit(" "), F.when(words > 1, F.concat(given, F.lit(" "), family)).otherwise(family))
-
-
-def surrogate(kind: Column, canon: Column, attempt: Column, secret: str) -> Column:
-    """The keyed surrogate of a canonical form: same type, length and layout."""
-    def digest(what: Column) -> Column:
-        return F.concat(*[F.sha2(F.concat_ws("|", F.lit(secret), kind, what, attempt.cast("string"), F.lit(str(k))), 256)
-                          for k in range(4)])
-    full = digest(canon)
-    host, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
-    tld = F.substring_index(domain, ".", -1)
-    labels = F.substring(domain, F.lit(1), F.length(domain) - F.length(tld))
-    # a domain's surrogate depends on the domain alone, so colleagues stay colleagues
-    email = F.concat(_letters(host, full), F.lit("@"),
-                     _letters(labels, F.concat(*[F.sha2(F.concat_ws("|", F.lit(secret), F.lit("domain"), domain, F.lit(str(k))),
-                                                        256) for k in range(4)])), tld)
+
+        def syllables(count):
+            return [F.element_at(pool, _number(digest, F.lit(k), n) + 1) for k in range(1, count + 1)]
+        family = F.concat(*syllables(4 + attempt // 2))
+        for g, names in by.items():
+            given = F.element_at(F.array(*[F.lit(x.lower()) for x in names]), _number(digest, F.lit(0), len(names)) + 1)
+            more = syllables(min(2 * attempt, 4 + attempt // 2))
+            out = F.when((script == sc) & (style == g), F.concat(given, *more)).otherwise(out)
+        out = F.when((script == sc) & (style == "s"), family).otherwise(out)
+    return out
+
+
+def surrogate(kind: Column, canon: Column, style: Column, attempt: int, secret: str) -> Column:
+    """The keyed surrogate of a canonical form: same type, length and layout. That of an e-mail keeps the domain, an entity of its own."""
+    full = F.concat(*[F.sha2(F.concat_ws("|", F.lit(secret), kind, canon, F.lit(str(attempt)), F.lit(str(k))), 256)
+                      for k in range(4)])
+    add = 0
+    more = F.substring(F.sha2(F.concat_ws("|", F.lit(secret), kind, canon, F.lit(str(attempt)), F.lit("more")), 256), 1, add)
+    digits, letters = F.translate(more, "abcdef", "012345"), F.translate(more, "0123456789", "ghijklmnop")
+    host, at = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
+    tld = F.substring_index(canon, ".", -1)
+    labels = F.substring(canon, F.lit(1), F.length(canon) - F.length(tld))
     # the country digit of a phone and the issuer digit of a card stay
-    return (F.when(kind == "email", email).when(kind == "ip", _octets(canon, full)).when(kind == "name", _name(canon, full))
-            .when(kind == "iban", F.concat(F.substring(canon, 1, 2), _letters(F.expr("substring(canon, 3)"), full)))
+    return (F.when(kind == "email", F.concat(letters, _letters(host, full), F.lit("@"), at))
+            .when(kind == "domain", F.concat(letters, _letters(labels, full), tld))
+            .when(kind == "ip", _octets(canon, full, attempt)).when(kind == "name", _name(canon, style, full, attempt))
+            .when(kind == "iban", F.concat(F.substring(canon, 1, 2), _letters(F.expr("substring(canon, 3)"), full), digits))
             .when(kind.isin("card", "phone"), F.concat(F.substring(canon, 1, 1),
-                                                       _letters(F.expr("substring(canon, 2)"), full)))
-            .otherwise(_letters(canon, full)))
+                                                       _letters(F.expr("substring(canon, 2)"), full), digits))
+            .otherwise(F.concat(_letters(canon, full), digits)))
 
 
 def render(mention: Column, kind: Column, new: Column) -> Column:
-    """The surrogate in the mention's own layout."""
+    """The surrogate in the mention's own layout (names: see ``renamed``)."""
     def fill(pattern: str) -> Column:  # letters and digits of the surrogate in turn, other characters kept
         return F.aggregate(
             F.split(mention, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("i")),
             lambda acc, c: F.when(c.rlike(pattern), F.struct(
                 F.concat(acc["out"], F.substring(new, acc["i"], F.lit(1))).alias("out"), (acc["i"] + 1).alias("i")))
             .otherwise(F.struct(F.concat(acc["out"], c).alias("out"), acc["i"].alias("i"))),
-            lambda acc: acc["out"])
+            lambda acc: F.concat(acc["out"], F.substring(new, acc["i"], F.length(new))))
     upper = mention == F.upper(mention)
-    return (F.when(kind == "email", F.when(upper, F.upper(new)).otherwise(new)).when(kind == "ip", new)
-            .when(kind == "iban", fill("[A-Z0-9]"))
-            .when(kind == "name", F.concat(F.regexp_extract(mention, r"^[^ ]+ ", 0), F.expr("substring(new, 3)")))
-            .otherwise(fill("[0-9]")))
+    return (F.when(kind == "email", F.when(upper, F.upper(new)).otherwise(new)).when(kind.isin("ip", "name"), new)
+            .when(kind == "iban", fill("[A-Z0-9]")).otherwise(fill("[0-9]")))
+
+
+def renamed(text: Column, puts: Column) -> Column:
+    """``text`` with every name part that ``puts`` knows replaced, in the part's own case."""
+    def one(part):
+        new = F.element_at(puts, part_key(part))
+        return F.coalesce(F.when(part == F.upper(part), F.upper(new)).otherwise(F.initcap(new)), part)
+    found, rest = F.regexp_extract_all(text, F.lit(PART), F.lit(0)), F.split(text, PART, -1)
+    return F.concat(F.array_join(F.transform(found, lambda x, i: F.concat(F.element_at(rest, i + 1), one(x))), ""),
+                    F.element_at(rest, -1))
+
+
+def _initials(secret: str) -> tuple[str, str]:
+    """Capitals and what each is replaced by: every alphabet turned by a keyed distance."""
+    before, after = "", ""
+    for letters in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝÞČĎĞİŁŃŇŘŚŞŠŤŮŹŻŽ",
+                    "АБВГДЕЁЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"):
+        by = int(hashlib.sha256(f"{secret}|initial|{letters}".encode()).hexdigest(), 16) % (len(letters) - 1) + 1
+        before, after = before + letters, after + letters[by:] + letters[:by]
+    return before, after
+
+
+def _full_name(mention: Column, puts: Column, secret: str) -> Column:
+    """A titled name with its parts and initials replaced."""
+    title = F.regexp_extract(mention, rf"^{TITLES}", 0)
+    name = F.substring(mention, F.length(title) + 1, F.length(mention))
+    initial = r"(?<!\p{L})\p{Lu}(?![\p{L}\p{M}'’])"
+    found, rest = F.regexp_extract_all(name, F.lit(initial), F.lit(0)), F.split(name, initial, -1)
+    turned = F.transform(found, lambda x, i: F.concat(renamed(F.element_at(rest, i + 1), puts), F.translate(x, *_initials(secret))))
+    return F.concat(title, F.array_join(turned, ""), renamed(F.element_at(rest, -1), puts))
 
 
 def dictionary(spark: SparkSession, entities: DataFrame, secret: str) -> DataFrame:
-    """(kind, canon) -> new, all distinct within a kind and none of them an entity itself."""
-    entities = materialize(spark, entities.select("kind", "canon").distinct(), "pii-entities")
+    """(kind, canon) -> new, all distinct within a kind and none of them an entity itself.
+    A part of names with one gender's titles only keeps it; one that is also a last word is
+    a family name."""
+    style = F.when(F.max("style") == "s", "s").when(F.min("style") == F.max("style"), F.max("style")).otherwise("n")
+    entities = entities.select("kind", "canon", "style")
+    domains = entities.where("kind = 'email'").select(
+        F.lit("domain").alias("kind"), F.substring_index("canon", "@", -1).alias("canon"), "style")
+    entities = materialize(spark, entities.union(domains).groupBy("kind", "canon").agg(style.alias("style")), "pii-entities")
     pending, taken, attempt = entities, None, 0
     while True:
-        drawn = pending.withColumn("new", surrogate(F.col("kind"), F.col("canon"), F.lit(attempt), secret))
+        drawn = pending.withColumn("new", surrogate(F.col("kind"), F.col("canon"), F.col("style"), attempt, secret))
         first = F.row_number().over(Window.partitionBy("kind", "new").orderBy("canon")) == 1
         drawn = drawn.withColumn("ok", first)
         used = entities.select("kind", F.col("canon").alias("new"))
         if taken is not None:
             used = used.union(taken.select("kind", "new"))
         drawn = drawn.join(used.distinct().withColumn("hit", F.lit(True)), ["kind", "new"], "left")
-        drawn = materialize(spark, drawn.select("kind", "canon", "new", (F.col("ok") & F.col("hit").isNull()).alias("ok")),
-                            "pii-drawn")
-        good = drawn.where("ok").drop("ok")
+        drawn = materialize(spark, drawn.select("kind", "canon", "style", "new",
+                                                (F.col("ok") & F.col("hit").isNull()).alias("ok")), "pii-drawn")
+        good = drawn.where("ok").select("kind", "canon", "new")
         taken = good if taken is None else taken.union(good)
-        pending, attempt = drawn.where("not ok").select("kind", "canon"), attempt + 1
+        pending, attempt = drawn.where("not ok").select("kind", "canon", "style"), attempt + 1
         if pending.isEmpty():
-            return taken
+            break
+    # a domain's surrogate depends on the domain alone, so colleagues stay colleagues
+    domains = taken.where("kind = 'domain'").select(F.col("canon").alias("domain"), F.col("new").alias("to"))
+    mails = taken.where("kind = 'email'").withColumn("domain", F.substring_index("canon", "@", -1)).join(domains, "domain")
+    return taken.where("kind not in ('email', 'domain')").union(
+        mails.select("kind", "canon", F.concat(F.substring_index("new", "@", 1), F.lit("@"), "to")))
 
 
 def replace_pii(spark: SparkSession, docs: DataFrame, secret: str = "corpus-key", id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, text with surrogates, n_entities, and one count per type
-    (n_email, n_iban, n_ip, n_ssn, n_card, n_phone, n_name)."""
+    (n_email, n_iban, n_ip, n_ssn, n_card, n_phone, n_name). Untitled mentions aren't counted."""
     d = pick(docs, doc_id=id_col, text=text_col)
     # the texts with entities, once, with what was found
     found = F.when(F.col("text").rlike(MARK), F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0)))
@@ -181,18 +252,27 @@ def replace_pii(spark: SparkSession, docs: DataFrame, secret: str = "corpus-key"
     keys = materialize(spark, d.where("size(found) > 0").select("doc_id", "content", F.array_distinct("found").alias("found"))
                        .distinct(), "pii-found")
     mentions = keys.select("doc_id", "content", F.explode("found").alias("mention"))
-    mentions = mentions.withColumn("kind", kind_of(F.col("mention"))).withColumn(
-        "canon", canonical(F.col("mention"), F.col("kind")))
+    mentions = mentions.withColumn("kind", kind_of(F.col("mention")))
+    plain = F.array(F.struct(canonical(F.col("mention"), F.col("kind")).alias("canon"), F.lit(None).cast("string").alias("style")))
+    mentions = mentions.withColumn("part", F.explode(F.when(F.col("kind") == "name", name_parts(F.col("mention")))
+                                                     .otherwise(plain))).select("doc_id", "content", "mention", "kind", "part.*")
+    mentions = mentions.withColumn("mention", F.when(F.col("kind") == "name", F.col("canon")).otherwise(F.col("mention")))
     new = mentions.join(dictionary(spark, mentions, secret), ["kind", "canon"]).withColumn(
         "put", render(F.col("mention"), F.col("kind"), F.col("new")))
-    maps = new.groupBy("doc_id", "content").agg(F.map_from_entries(F.collect_list(F.struct("mention", "put"))).alias("puts"))
+    maps = new.groupBy("doc_id", "content").agg(F.map_from_entries(F.collect_set(F.struct("mention", "put"))).alias("puts"))
     maps = maps.toDF("map_id", "map_content", "puts")
+    # a document whose names are initials only has no map
     hit = d.where("size(found) > 0").join(maps, F.col("doc_id").eqNullSafe(F.col("map_id")) &
-                                          (F.col("content") == F.col("map_content")))
-    pieces = F.split("text", ENTITY, -1)
-    text = F.concat(F.array_join(F.transform("found", lambda m, i: F.concat(F.element_at(pieces, i + 1),
-                                                                           F.element_at("puts", m))), ""),
-                    F.element_at(pieces, -1))
+                                          (F.col("content") == F.col("map_content")), "left").withColumn(
+        "puts", F.coalesce("puts", F.create_map().cast("map<string,string>")))
+    puts, pieces = F.col("puts"), F.split("text", ENTITY, -1)
+    # untitled mentions of the document's names lie between its entities
+    pieces = F.when(F.exists("found", lambda m: kind_of(m) == "name"), F.transform(pieces, lambda x: renamed(x, puts))
+                    ).otherwise(pieces)
+    text = F.concat(F.array_join(F.transform("found", lambda m, i: F.concat(
+        F.element_at("pieces", i + 1), F.when(kind_of(m) == "name", _full_name(m, puts, secret))
+        .otherwise(F.element_at(puts, m)))), ""), F.element_at("pieces", -1))
+    hit = hit.withColumn("pieces", pieces)
     kinds = F.transform("found", kind_of)
     counts = [(F.size("found") - F.size(F.array_remove(kinds, n))).cast("long").alias(f"n_{n}")
               for n in ("email", "iban", "ip", "ssn", "card", "phone", "name")]

@@ -271,6 +271,30 @@ def test_surrogates(spark, empty):
     assert pii_surrogates.replace_pii(spark, empty).count() == 0
 
 
+def test_whole_names_and_their_untitled_mentions(spark):
+    t = ("Mr McDonald met Mr McCarthy, Mrs Anna Maria Schmidt, Mrs Müller-Lange, Mr O'Neill's dog, Mr J. Smith and Dr Smith. "
+         "Later Anna Smith, SMITH, Smithers and Schmidt left; Müller, McDonald's and O’Neill stayed. Herr van der Berg I saw.")
+    rows = [(1, t), (2, "Smith, the smith"), (3, "Prof. Smith; Mr John Smith. John"), (4, "Mr J. 5")]
+    got = {i: r.text for i, r in _unique(pii_surrogates.replace_pii(spark, spark.createDataFrame(
+        rows, "doc_id long, text string"))).items()}
+    one = got[1]
+    for leaked in ("Donald", "Carthy", "Anna", "Maria", "Schmidt", "Lange", "Müller", "Neill", "J.", "Smith,", "SMITH", "Berg"):
+        assert leaked not in one, leaked
+    assert "Smithers" in one and "van der " in one and " I saw." in one and "dog" in one
+    import re
+    w = r"([A-Z][a-z]+)"
+    m = re.fullmatch(rf"Mr {w} met Mr {w}, Mrs {w} {w} {w}, Mrs {w}-{w}, Mr {w}'s dog, Mr ([A-Z])\. {w} and Dr {w}\. "
+                     rf"Later {w} {w}, ([A-Z]+), Smithers and {w} left; {w}, {w}'s and {w} stayed\. Herr van der {w} I saw\.", one)
+    assert m, one
+    g = m.groups()
+    assert g[9] == g[10] == g[12] == g[13].capitalize() and g[11] == g[2] and g[14] == g[4] and g[15] == g[5]
+    assert g[16] == g[0] != g[1] and g[17] == g[7]
+    assert got[2] == rows[1][1]                                   # no titled name in this document
+    x = re.fullmatch(rf"Prof\. {w}; Mr {w} {w}\. {w}", got[3]).groups()
+    assert x[0] == x[2] == g[9] and x[1] == x[3] != "John"
+    assert re.fullmatch(r"Mr [A-Z]\. 5", got[4]) and got[4] != "Mr J. 5"
+
+
 # ------------------------------------------------------------------ 5
 def test_kd_shards(spark, docs, empty):
     out = kd_shards.kd_shards(spark, docs, shards=5).collect()
