@@ -6,7 +6,8 @@ gets one keyed surrogate of its type, so all its mentions in the corpus change a
 whatever their punctuation: digits and letters are replaced position by position, octets
 stay octets of the same width. A surrogate that another entity already has, or that is
 itself somebody's entity, is rejected and drawn again with the next attempt, until all are
-distinct.
+distinct; after some attempts surrogates grow longer (addresses leave their octet widths),
+so a format with fewer surrogates than entities comes to an end as well.
 
 Names are whole names: any number of words with inner capitals, apostrophes, hyphens,
 particles and initials. Their entities are the parts, so given and family names agree
@@ -120,7 +121,9 @@ def _letters(s: Column, digest: Column) -> Column:
 
 def _octets(s: Column, digest: Column, attempt: int) -> Column:
     def one(o, i):
-        return (F.when(F.length(o) == 1, _number(digest, i, 9) + 1).when(F.length(o) == 2, _number(digest, i, 90) + 10)
+        any_ = F.conv(F.substring(digest, i * 4 + 1, F.lit(2)), 16, 10).cast("int")
+        return (any_ if attempt >= GROW else
+                F.when(F.length(o) == 1, _number(digest, i, 10)).when(F.length(o) == 2, _number(digest, i, 90) + 10)
                 .otherwise(_number(digest, i, 155) + 100)).cast("string")
     return F.array_join(F.transform(F.split(s, r"\."), one), ".")
 
@@ -144,11 +147,16 @@ def _name(part: Column, style: Column, digest: Column, attempt: int) -> Column:
     return out
 
 
+#: Attempts in the entity's own length; from here on every second one adds two characters.
+GROW = 6
+
+
 def surrogate(kind: Column, canon: Column, style: Column, attempt: int, secret: str) -> Column:
-    """The keyed surrogate of a canonical form: same type, length and layout. That of an e-mail keeps the domain, an entity of its own."""
+    """The keyed surrogate of a canonical form: same type, length and layout (longer from the
+    attempt ``GROW`` on). That of an e-mail keeps the domain, an entity of its own."""
     full = F.concat(*[F.sha2(F.concat_ws("|", F.lit(secret), kind, canon, F.lit(str(attempt)), F.lit(str(k))), 256)
                       for k in range(4)])
-    add = 0
+    add = max(0, attempt - GROW + 2) // 2 * 2
     more = F.substring(F.sha2(F.concat_ws("|", F.lit(secret), kind, canon, F.lit(str(attempt)), F.lit("more")), 256), 1, add)
     digits, letters = F.translate(more, "abcdef", "012345"), F.translate(more, "0123456789", "ghijklmnop")
     host, at = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)

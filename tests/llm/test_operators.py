@@ -295,6 +295,20 @@ def test_whole_names_and_their_untitled_mentions(spark):
     assert re.fullmatch(r"Mr [A-Z]\. 5", got[4]) and got[4] != "Mr J. 5"
 
 
+def test_full_format_classes_come_to_an_end(spark):
+    mails = [(c, f"{c}@b.co") for c in "abcdefghijklmnopqrstuvwxyz"] + [(c, f"{c}@d.co") for c in "abcdefghijklmnopqrstuvwxyz"]
+    phones = [f"+1{i:04d}" for i in range(0, 10000, 7)]
+    ips = [f"{a}.{b}.{c}.{d}" for a in range(10) for b in range(10) for c in range(10) for d in range(10)]
+    rows = [("email", m) for _, m in mails] + [("phone", p[1:]) for p in phones] + [("ip", x) for x in ips]
+    rows += [("phone", f"2{i:02d}") for i in range(100)]          # a full class
+    df = spark.createDataFrame([(k, c, None) for k, c in rows], "kind string, canon string, style string")
+    got = pii_surrogates.dictionary(spark, df, "k").collect()
+    assert len(got) == len(rows) and {(r.kind, r.canon) for r in got} == set(rows)
+    assert len({(r.kind, r.new) for r in got}) == len(rows) and not {(r.kind, r.new) for r in got} & set(rows)
+    to = {r.canon: r.new.split("@")[1] for r in got if r.kind == "email"}
+    assert len({v for k, v in to.items() if k.endswith("@b.co")}) == 1 and len(set(to.values())) == 2
+
+
 # ------------------------------------------------------------------ 5
 def test_kd_shards(spark, docs, empty):
     out = kd_shards.kd_shards(spark, docs, shards=5).collect()
