@@ -122,15 +122,16 @@ def bitmap(s: np.ndarray) -> np.ndarray:
 
 
 def describe(docs: DataFrame, shingle: int = 3, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """doc_id, n, k1, k2 (identity of the set; null if empty), m0.. (bitmap), tiles."""
+    """doc_id, row, content (hash of the text), n, k1, k2 (identity of the set; null if empty),
+    m0.. (bitmap), tiles."""
     names = [f"m{i}" for i in range(WORDS)]
-    arrow = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64())] +
+    arrow = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("content", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64())] +
                       [(m, pa.int64()) for m in names] + [("tiles", pa.list_(pa.int64()))])
-    ddl = "doc_id long, n long, k1 long, k2 long, " + ", ".join(f"{m} long" for m in names) + ", tiles array<long>"
+    ddl = "doc_id long, row long, content long, n long, k1 long, k2 long, " + ", ".join(f"{m} long" for m in names) + ", tiles array<long>"
 
     def run(batches):
         shingler = Shingler(shingle)
-        for part, raws in slices(batches, 1):
+        for part, raws in slices(batches, 3):
             n, k1, k2, maps, offsets, tiles = [], [], [], [], [0], []
             for raw in raws:
                 s = shingler(raw)
@@ -144,11 +145,12 @@ def describe(docs: DataFrame, shingle: int = 3, threshold: tuple[int, int] = THR
                 offsets.append(offsets[-1] + len(t))
             m = np.stack(maps)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64())] +
+                [part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64())] +
                 [pa.array(m[:, i].copy()) for i in range(WORDS)] +
                 [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(tiles)))], schema=arrow)
 
-    return docs.select("doc_id", "text").mapInArrow(run, ddl)
+    return docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("content"),
+                       "text").mapInArrow(run, ddl)
 
 
 def _possible(left: str, right: str, threshold: tuple[int, int]) -> Column:
@@ -166,18 +168,18 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents of ``ids(doc_id)``. A bitmap of bounded size drops most others in the
-    scan, so that only few texts are shuffled to the exact semi join."""
-    ids = ids.withColumn("cell", F.xxhash64("doc_id"))
-    held = spark.sparkContext.broadcast(bitmap_of(ids, "cell"))
+    """(rep, text) of ``ids(doc_id, content, rep)``. A bitmap of bounded size drops most others
+    in the scan, so that only few texts are shuffled to the exact join."""
+    held = spark.sparkContext.broadcast(bitmap_of(ids.withColumn("cell", F.xxhash64("doc_id", "content")), "cell"))
 
     def keep(batches):
         for batch in batches:
-            hit = in_bitmap(held.value, batch.column(2).to_numpy().view(np.uint64))
-            yield batch.filter(pa.array(hit)).select([0, 1])
+            hit = in_bitmap(held.value, batch.column(3).to_numpy().view(np.uint64))
+            yield batch.filter(pa.array(hit)).select([0, 1, 2])
 
-    some = docs.withColumn("cell", F.xxhash64("doc_id")).mapInArrow(keep, "doc_id long, text string")
-    return materialize(spark, some.join(ids.select("doc_id"), "doc_id", "left_semi"), "jaccard-texts")
+    some = docs.withColumn("content", F.xxhash64("text")).withColumn("cell", F.xxhash64("doc_id", "content")).select(
+        "doc_id", "content", "text", "cell").mapInArrow(keep, "doc_id long, content long, text string")
+    return materialize(spark, some.join(ids, ["doc_id", "content"]).select("rep", "text"), "jaccard-texts")
 
 
 def _verify(spark: SparkSession, pairs: DataFrame, texts: DataFrame, shingle: int,
@@ -211,17 +213,19 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = 3, id_c
     docs = pick(docs, doc_id=id_col, text=text_col)
     sets = materialize(spark, describe(docs, shingle, threshold), "jaccard-sets")
     key = ["k1", "k2", "n"]
-    reps = materialize(spark, sets.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")), "jaccard-reps")
-    known = sets.select("doc_id", *key).join(reps, key)
+    # a set's number is that of its smallest row: one doc_id may come with several sets
+    reps = materialize(spark, sets.where("n > 0").groupBy(*key).agg(F.min("row").alias("rep")), "jaccard-reps")
+    known = materialize(spark, sets.select("doc_id", *key).join(reps, key).select("doc_id", "n", "rep"), "jaccard-known")
 
-    cells = sets.select("doc_id", F.explode("tiles").alias("tile"))
+    cells = sets.select("row", F.explode("tiles").alias("tile"))
     shared = cells.groupBy("tile").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("tile")
-    cells = cells.join(shared, "tile").join(known.select("doc_id", "rep"), "doc_id").select("tile", "rep").distinct()
-    cells = materialize(spark, cells, "jaccard-cells")
-    maps = sets.select(F.col("doc_id").alias("id"), "n", *[f"m{i}" for i in range(WORDS)]).join(
-        reps.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
+    cells = cells.join(shared, "tile").join(reps.select(F.col("rep").alias("row")), "row", "left_semi")
+    cells = materialize(spark, cells.select("tile", F.col("row").alias("rep")).distinct(), "jaccard-cells")
+    maps = sets.select(F.col("row").alias("id"), "n", *[f"m{i}" for i in range(WORDS)]).join(
+        reps.select(F.col("rep").alias("id")), "id", "left_semi")
     maps = materialize(spark, maps, "jaccard-maps")
-    texts = _texts(spark, docs, cells.select(F.col("rep").alias("doc_id")).distinct())
+    of = sets.select("doc_id", "content", F.col("row").alias("rep")).join(cells.select("rep").distinct(), "rep", "left_semi")
+    texts = _texts(spark, docs, materialize(spark, of, "jaccard-wanted"))
 
     def fits(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that the bitmaps don't rule out."""
@@ -253,7 +257,15 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = 3, id_c
         F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).distinct()
     links = links.union(_verify(spark, more, texts, shingle, threshold))
 
+    # sets of one doc_id are linked; classes are named by their smallest doc_id
+    several = known.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z").select("doc_id", "a")
+    links = links.union(known.join(several, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct())
     final = connected_components(spark, links)
-    out = known.select("doc_id", "n", "rep").join(final.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
-    return out.union(sets.where("n = 0").select("doc_id", "n", "doc_id"))
+    placed = known.join(final.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
+        "doc_id", "n", F.coalesce("component", "rep").alias("class"))
+    placed = materialize(spark, placed, "jaccard-placed")
+    names = placed.groupBy("class").agg(F.min("doc_id").alias("component_id"))
+    out = placed.join(names, "class").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    none = sets.where("n = 0").select("doc_id", "n")
+    same = out.join(none.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "component_id").distinct()
+    return out.union(none.join(same, "doc_id", "left").select("doc_id", "n", F.coalesce("component_id", "doc_id")))

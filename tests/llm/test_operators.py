@@ -506,6 +506,18 @@ def test_linked_sets_share_a_tile_at_other_thresholds(seed):
                         assert mine & set(jaccard_tiles.signatures(np.unique(b), (p, q)))
 
 
+def test_one_doc_id_with_several_texts(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    one, other, third = ([word() for _ in range(60)] for _ in range(3))
+    near = lambda w: " ".join(w[:-1] + ["end"])
+    rows = [(1, " ".join(one)), (1, " ".join(other)), (5, near(one)), (6, near(other)), (7, " ".join(third)), (8, near(third)),
+            (8, near(other) + " x"), (9, near(third) + " y"), (9, ""), (10, ""), (11, " ".join(word() for _ in range(60)))]
+    got = jaccard_tiles.jaccard_classes(spark, spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == sorted(
+        (i, max(0, len(t.split()) - 2), 1 if i < 10 else i) for i, t in rows)
+
+
 def test_corpus_back_off(spark):
     texts = ["a b a", "b c", "A", "", None, "c c c", "a d"]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
