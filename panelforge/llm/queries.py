@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (best_fit, cube_mixing, hnsw_dedup, jaccard_tiles, kd_shards, pii_surrogates, quality_divergence,
-               secret_scan, suffix_dedup, toxicity_kn)
+from ..session import scratch_path
+from . import (best_fit, collocations, cube_mixing, hnsw_dedup, jaccard_tiles, kd_shards, laesa_codes, orc_tokens,
+               pii_surrogates, quality_divergence, secret_scan, suffix_dedup, toxicity_kn)
 from .common import table
 
 
@@ -72,9 +73,71 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_tiles.jaccard_classes(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    path = scratch_path(spark, "orc-tokens")
+    orc_tokens.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return orc_tokens.checksums(orc_tokens.read_tokens(spark, path))
+
+
+def op12_laesa_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = laesa_codes.compress(spark, table(spark, sf_dir, "embeddings"))
+    by_label = coded.groupBy(F.col("label").alias("of_label")).agg(F.sum("error").alias("label_error"))
+    code = F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
+    return coded.join(by_label, F.col("label").eqNullSafe(F.col("of_label"))).select(
+        "vec_id", code.alias("code"), "error", "label_error", F.lit(laesa_codes.digest(books)).alias("codebooks_sha256"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_best_fit_packing, op3_secret_scan, op4_pii_surrogates, op5_kd_tree_sharding,
-    op6_quality_divergence, op7_toxicity_kneser_ney, op8_cube_mixing, op9_suffix_dedup, op10_jaccard_join)}
+    op6_quality_divergence, op7_toxicity_kneser_ney, op8_cube_mixing, op9_suffix_dedup, op10_jaccard_join,
+    op11_orc_token_ids, op12_laesa_vector_codes, op13_phrase_collocations)}
+
+
+def _vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Plain rounds of nearest entries and floored means, one pair of tables a round."""
+    ctes = [f"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, label,
+    list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), part AS MATERIALIZED (
+  SELECT rid, vec_id, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS x
+  FROM kept, range({parts}) t(p)
+), c0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x FROM part
+  WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT {entries})
+)"""]
+    for i in range(rounds + 1):
+        ctes.append(f"""a{i} AS MATERIALIZED (
+  SELECT rid, p, min({{'d': d, 'e': e}}) AS best FROM (
+    SELECT rid, part.p, e, list_sum(list_transform(list_zip(part.x, c{i}.x),
+      lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM part JOIN c{i} USING (p)) s GROUP BY rid, p
+)""")
+        if i < rounds:
+            ctes.append(f"""m{i} AS MATERIALIZED (
+  SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS x FROM (
+    SELECT p, best.e AS e, pos, sum(x[pos])::BIGINT AS s, count(*) AS n
+    FROM part JOIN a{i} USING (rid, p), LATERAL (SELECT unnest(range(1, len(x) + 1)) AS pos) t GROUP BY ALL) g
+  GROUP BY p, e
+), c{i + 1} AS MATERIALIZED (
+  SELECT c.p, c.e, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN m{i} m ON m.p = c.p AND m.e = c.e
+)""")
+    return f"""WITH {", ".join(ctes)}, coded AS MATERIALIZED (
+  SELECT rid, string_agg(lower(printf('%02x', best.e)), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error
+  FROM a{rounds} GROUP BY rid
+), books AS (
+  SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS h FROM c{rounds}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT h FROM books) AS codebooks_sha256
+FROM kept JOIN coded USING (rid)"""
+
 
 ORACLE = {
     "op1_embedding_near_dedup": """
@@ -141,5 +204,34 @@ reach AS (
   SELECT r.a, l.b FROM reach r JOIN pairs l ON l.a = r.b
 ), comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.component_id FROM shingles s JOIN comp c USING (doc_id)
+""",
+    "op12_laesa_vector_codes": _vector_codes_sql(),
+    "op13_phrase_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, w[i:i + k - 1] AS g FROM lists, range(1, 6) t(k), LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i) s
+), f AS MATERIALIZED (SELECT lang, g, count(*) AS a FROM grams GROUP BY lang, g),
+total AS (SELECT lang, sum(a)::HUGEINT AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+cand AS (SELECT * FROM f WHERE len(g) > 1 AND a >= 100),
+cuts AS (
+  SELECT c.lang, c.g, c.a, t.n, k, x.a AS l, y.a AS r, (1000::HUGEINT * c.a * t.n) // (x.a::HUGEINT * y.a) AS score
+  FROM cand c JOIN total t USING (lang), range(1, 5) s(k), f x, f y
+  WHERE k < len(c.g) AND x.lang = c.lang AND x.g = c.g[1:k] AND y.lang = c.lang AND y.g = c.g[k + 1:len(c.g)]
+), low AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS nth FROM cuts
+), inside AS (
+  SELECT DISTINCT d.lang, d.g[i:i + m - 1] AS g, d.a AS longer FROM cand d, range(2, 5) t(m),
+    LATERAL (SELECT unnest(range(1, len(d.g) - m + 2)) AS i) s WHERE m < len(d.g)
+), out AS (
+  SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score FROM low
+  WHERE nth = 1 AND NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = low.lang AND i.g = low.g AND 100 * i.longer >= 100 * low.a)
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, * EXCLUDE (lang) FROM out
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
 """,
 }
