@@ -358,10 +358,22 @@ def q_train_sparse_additive(spark, d):
     tr, te = _binary_sets(spark, d)
     m = train_sparse_additive(tr, max_support=FS.sparse_max_support, num_lambda=FS.sparse_num_lambda,
                               scale_down=FS.sparse_scale_down)
-    support = int((m.pipeline.stages[-1].coefficients.toArray() != 0).sum())
+    support = len(m.pipeline.stages[-1].coefficients.indices)
     return _checked(m.predict(te), F.lit(int(0 < support <= FS.sparse_max_support)).alias("support_ok"))
 
 
+def q_sparse_screen(spark, d):
+    """Log-loss of the one-feature logistic model of every encoded indicator (training set)."""
+    from panelforge.operators.sparse_l0 import screen
+    train, _ = _sets(spark, d)
+    train = PL.project_features(train, FS)
+    encoded = BinaryEncoder(num_thresholds=FS.num_thresholds).fit(train).transform(train)
+    names = [c for c in encoded.columns if c not in train.columns]
+    loss = screen(spark, positional(encoded, names, missing=0.0), len(names))
+    return spark.createDataFrame(list(zip(names, map(float, loss))), "feature string, loss double").select(
+        "feature", F.round("loss", 5).alias("loss"))
+
+
 def q_quarter_spine(spark, d):
     perf = fx.raw_performance(spark, d).select(month_end("Month").alias("Month"))
     return QS.spine_from_months(perf, "Month")
@@ -509,6 +521,7 @@ _QUERIES = {
     "class_weights": q_class_weights,
     "train_random_forest": q_train_random_forest,
     "train_sparse_additive": q_train_sparse_additive,
+    "sparse_screen": q_sparse_screen,
     "quarter_spine": q_quarter_spine,
     "missing_quarters": q_missing_quarters,
     "scan_processed": q_scan_processed,

@@ -8,17 +8,17 @@ aliased to positional names and the real names are kept on the model.
 
 from __future__ import annotations
 
-import warnings
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from .sparse_l0 import fitted, l0_path
 
 LABEL = "label"
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -109,53 +109,20 @@ def train_random_forest(df: DataFrame, num_trees: int = 200, max_depth: int = 7,
 
 
 def train_sparse_additive(df: DataFrame, max_support: int = 40, num_lambda: int = 150,
-                          scale_down: float = 0.8, target: str = "Default", max_iter: int = 100) -> TrainedModel:
-    """L1-penalised logistic regression on the penalty grid ``lambda_max * scale_down**i``
-    (i < num_lambda); returns the model with the smallest penalty whose number of
-    non-zero coefficients is within ``max_support``. ``lambda_max`` (the smallest
-    penalty with an empty model) comes from one aggregate: max_j |mean(x_j (y - ybar))|.
-    The grid is searched by bisection (about log2(num_lambda) distributed fits), which takes
-    the support to grow as the penalty falls; that is usual, not guaranteed, so a smaller
-    penalty beyond the first crossing may be missed. A fit that stops at ``max_iter``
-    without converging is reported by a warning."""
-    feats = feature_columns(df)
-    # every fit is an iterative job over the same rows: materialise them once
-    x = positional(df, feats, target, missing=0.0).cache()
-    ybar = x.agg(F.avg(LABEL)).first()[0] or 0.0
-    grads = x.agg(*[F.avg(F.col(f"f{i}") * (F.col(LABEL) - F.lit(ybar))).alias(f"g{i}")
-                    for i in range(len(feats))]).first()
-    lam_max = max([abs(g) for g in grads if g is not None] + [1e-6])
-    assembled = _assembler(len(feats)).transform(x).select("features", LABEL).cache()
-    assembled.count()
-    x.unpersist()
-    fits = {}
-
-    def fit(i):
-        if i not in fits:
-            lr = LogisticRegression(featuresCol="features", labelCol=LABEL, regParam=lam_max * scale_down ** i,
-                                    elasticNetParam=1.0, standardization=False, maxIter=max_iter)
-            m = lr.fit(assembled)
-            if m.summary.totalIterations >= max_iter:
-                warnings.warn(f"penalty {i}: no convergence within {max_iter} iterations", stacklevel=2)
-            fits[i] = (m, int((m.coefficients.toArray() != 0).sum()))
-        return fits[i]
+                          scale_down: float = 0.8, target: str = "Default") -> TrainedModel:
+    """Logistic model with at most ``max_support`` features: the last model of the L0 penalty
+    path of ``sparse_l0.l0_path``. Missing feature values count as 0."""
+    model, _ = sparse_additive_path(df, max_support, num_lambda, scale_down, target)
+    return model
 
-    try:
-        lo, hi = 0, num_lambda - 1          # invariant: fit(lo) within max_support
-        if fit(lo)[1] > max_support:
-            raise ValueError("no model on the penalty path fits within max_support")
-        if fit(hi)[1] <= max_support:
-            lo = hi
-        while hi - lo > 1:
-            mid = (lo + hi) // 2
-            if fit(mid)[1] <= max_support:
-                lo = mid
-            else:
-                hi = mid
-        best = fit(lo)[0]
-    finally:
-        assembled.unpersist()
-    return TrainedModel(PipelineModel(stages=[_assembler(len(feats)), best]), feats, missing=0.0)
+
+def sparse_additive_path(df: DataFrame, max_support: int = 40, num_lambda: int = 150, scale_down: float = 0.8,
+                         target: str = "Default") -> tuple[TrainedModel, list]:
+    """``train_sparse_additive`` and the steps of its path."""
+    feats = feature_columns(df)
+    path, _ = l0_path(df.sparkSession, positional(df, feats, target, missing=0.0), len(feats), max_support,
+                      num_lambda, scale_down)
+    return TrainedModel(PipelineModel(stages=[fitted(path[-1], len(feats))]), feats, missing=0.0), path
 
 
 # Trainer registry: name -> function(df, **params) -> TrainedModel

@@ -308,6 +308,16 @@ SELECT Loan_Num, Month, CASE WHEN "Default" = 1 THEN 1 ELSE 0 END AS label, 1 AS
   1 AS support_ok
 FROM test_s""", "test_s")
 
+ORACLE["sparse_screen"] = sql(
+    # the best logistic model of one 0/1 feature predicts the mean label on both of its sides
+    """SELECT feature, round(-sum(CASE WHEN k = 0 OR k = m THEN 0 ELSE k * ln(k / m) + (m - k) * ln(1 - k / m) END)
+  / sum(m), 5) AS loss FROM (
+  SELECT feature, coalesce(value, 0) AS side, count(*)::DOUBLE AS m,
+    sum(CASE WHEN t."Default" = 1 THEN 1 ELSE 0 END)::DOUBLE AS k FROM (
+""" + _missing_long("train_dev", "train_dev") + "\nUNION ALL\n" + _category_long("train_dev") + "\nUNION ALL\n"
+    + _threshold_long("train_dev", "thr_train") + """
+  ) e JOIN train_dev t USING (Loan_Num, Month) GROUP BY ALL) g GROUP BY feature""", "train_dev", "thr_train")
+
 ORACLE["audit_archives"] = sql("""
 SELECT DISTINCT 'historical_data_time_2015Q' || (CAST(Loan_Num AS BIGINT) % 4 + 1) AS archive, 1 AS is_zip,
   1 AS n_members, 0 AS broken FROM perf
