@@ -13,13 +13,16 @@ Inside the tiles the links that components need are found in two rounds:
 
 1. every member is compared with one leader, the smallest member of the tiles it shares
    most often, and the links give first components;
-2. tiles whose members are in different components compare each member outside the tile's
-   largest component with the members of other components.
+2. tiles whose members are in different components compare members of different components.
 
 All pairs left out lie within one component, so no component is missed and no pairs of a
 large group of copies are expanded. Before the exact intersection of the sorted arrays
 every pair passes the bound: sizes a, b with bitmaps that differ in x bits share at most
-(a + b - x) / 2 elements.
+(a + b - x) / 2 elements. In round 2 the bound is computed on blocks of at most ``BLOCK`` members
+of a tile against each other, as whole matrices, and only pairs that pass it become rows.
+
+Tiles are made for one row of each distinct set. Their hashes, cut to 40 bits, are counted first;
+a bitmap of those met twice then drops all other tiles before any (tile, set) row is shuffled.
 
 Defined results: null and empty texts have the empty set and link with nothing; texts of
 one or two words are one shingle; documents with equal doc_id count as linked with each
@@ -42,6 +45,7 @@ from .components import connected_components
 
 THRESHOLD = (9, 10)  # op10's contract, as a fraction
 WORDS = 8  # 64-bit words of a bitmap
+BLOCK = 512  # members of a tile that a task compares at a time
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S = np.uint64(33)
 
@@ -206,6 +210,86 @@ def _verify(spark: SparkSession, pairs: DataFrame, texts: DataFrame, shingle: in
     return materialize(spark, both.mapInArrow(run, "a long, b long"), "jaccard-links")
 
 
+def shared_cells(spark: SparkSession, sets: DataFrame, reps: DataFrame) -> DataFrame:
+    """(tile, rep) of the tiles that two or more distinct sets share. ``sets(row, tiles)`` holds
+    every document, ``reps(rep)`` the row that stands for each distinct set."""
+    wanted = spark.sparkContext.broadcast(bitmap_of(reps.select(F.xxhash64("rep").alias("h")), "h"))
+
+    def exploded(kept=None):
+        """(tile, row) of the wanted rows: cut hashes, or, with a bitmap, whole ones that it holds."""
+        def run(batches):
+            for batch in batches:
+                batch = batch.filter(pa.array(in_bitmap(wanted.value, batch.column(1).to_numpy().view(np.uint64))))
+                tiles = batch.column(2)
+                row = np.repeat(batch.column(0).to_numpy(), np.diff(tiles.offsets.to_numpy()))
+                tile = tiles.flatten().to_numpy()
+                if kept is None:
+                    tile = tile & ((1 << 40) - 1)
+                else:
+                    hit = in_bitmap(kept.value, tile.view(np.uint64))
+                    tile, row = tile[hit], row[hit]
+                yield pa.RecordBatch.from_arrays([pa.array(tile), pa.array(row)], names=["tile", "row"])
+
+        return sets.where("n > 0").select("row", F.xxhash64("row").alias("h"), "tiles").mapInArrow(run, "tile long, row long")
+
+    twice = exploded().groupBy("tile").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    some = exploded(spark.sparkContext.broadcast(bitmap_of(twice, "tile"))).withColumnRenamed("row", "rep").join(
+        reps.select("rep"), "rep", "left_semi").distinct()
+    some = materialize(spark, some, "jaccard-tiles")
+    met = some.groupBy("tile").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("tile")
+    return materialize(spark, some.join(met, "tile", "left_semi"), "jaccard-cells")
+
+
+def open_pairs(members: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of different components in a tile that the bound allows, of ``members(tile,
+    rep, component, n, m0..)``. A tile is cut into blocks of about ``BLOCK`` members and every
+    two blocks meet in a group of their own."""
+    (p, q), names = threshold, [f"m{i}" for i in range(WORDS)]
+    blocks = members.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    cut = members.join(blocks, "tile").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    cut = cut.withColumn("other", other).select(
+        "tile", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component",
+        "n", *names)
+    dealt = cut.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j")
+
+    def pairs(key, block, rep, component, n, maps):
+        left, right = (np.flatnonzero(block == key[1]), np.flatnonzero(block == key[2]))
+        a, b = n[left][:, None], n[right][None, :]
+        apart = np.zeros((len(left), len(right)), np.int64)
+        for w in range(WORDS):
+            apart += np.bitwise_count(maps[w][left][:, None] ^ maps[w][right][None, :])
+        ok = (np.minimum(a, b) * q >= np.maximum(a, b) * p) & ((a + b - apart) * (q + p) >= (a + b) * (2 * p))
+        ok &= component[left][:, None] != component[right][None, :]
+        x, y = np.nonzero(ok)
+        x, y = rep[left][x], rep[right][y]
+        once = x < y if key[1] == key[2] else np.ones(len(x), bool)
+        return np.minimum(x, y)[once], np.maximum(x, y)[once]
+
+    def run(batches):
+        held = None  # the rows of the last group may go on in the next batch
+        for batch in batches:
+            held = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+            keys = np.stack([held.column(i).to_numpy() for i in range(3)], 1)
+            starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(1)])
+            yield from compared(held.slice(0, int(starts[-1])), keys, starts[:-1].tolist() + [int(starts[-1])])
+            held = held.slice(int(starts[-1]))
+        if held is not None:
+            keys = np.stack([held.column(i).to_numpy() for i in range(3)], 1)
+            yield from compared(held, keys, [0, held.num_rows])
+
+    def compared(table, keys, bounds):
+        cols = [table.column(i).to_numpy() for i in range(3, table.num_columns)]
+        out = []
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            part = [c[a:b] for c in cols]
+            out.append(pairs(keys[a], part[0], part[1], part[2], part[3], [m.view(np.uint64) for m in part[4:]]))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[k] for o in out])) for k in (0, 1)], names=["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
                     text_col: str = "text", threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by
@@ -217,10 +301,7 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = 3, id_c
     reps = materialize(spark, sets.where("n > 0").groupBy(*key).agg(F.min("row").alias("rep")), "jaccard-reps")
     known = materialize(spark, sets.select("doc_id", *key).join(reps, key).select("doc_id", "n", "rep"), "jaccard-known")
 
-    cells = sets.select("row", F.explode("tiles").alias("tile"))
-    shared = cells.groupBy("tile").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("tile")
-    cells = cells.join(shared, "tile").join(reps.select(F.col("rep").alias("row")), "row", "left_semi")
-    cells = materialize(spark, cells.select("tile", F.col("row").alias("rep")).distinct(), "jaccard-cells")
+    cells = shared_cells(spark, sets, reps)
     maps = sets.select(F.col("row").alias("id"), "n", *[f"m{i}" for i in range(WORDS)]).join(
         reps.select(F.col("rep").alias("id")), "id", "left_semi")
     maps = materialize(spark, maps, "jaccard-maps")
@@ -242,19 +323,14 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = 3, id_c
     links = _verify(spark, fits(best), texts, shingle, threshold)
     first = materialize(spark, connected_components(spark, links), "jaccard-first")
 
-    # round 2: what lies in tiles with several components, against all but its own component
+    # round 2: what lies in tiles with several components, against the other components
     placed = cells.join(first.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn(
         "component", F.coalesce("component", "rep"))
-    sizes = placed.groupBy("tile", "component").agg(F.count(F.lit(1)).alias("c"))
-    main = sizes.groupBy("tile").agg(F.max(F.struct("c", (-F.col("component")).alias("m"))).alias("x"),
-                                     F.count(F.lit(1)).alias("components")).where("components > 1").select(
-        "tile", (-F.col("x.m")).alias("main"))
-    open_ = materialize(spark, placed.join(main, "tile"), "jaccard-open")
-    with_maps = open_.join(_prefixed(maps, "").withColumnRenamed("id", "rep"), "rep")
-    minor = _prefixed(with_maps.where("component <> main"), "a_").withColumnRenamed("a_tile", "tile")
-    other = _prefixed(with_maps, "b_").withColumnRenamed("b_tile", "tile")
-    more = minor.join(other, "tile").where("a_component <> b_component").where(_possible("a_", "b_", threshold)).select(
-        F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).distinct()
+    several = placed.groupBy("tile").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    open_ = placed.join(several.select("tile"), "tile", "left_semi").join(
+        _prefixed(maps, "").withColumnRenamed("id", "rep"), "rep").select(
+        "tile", "rep", "component", "n", *[f"m{i}" for i in range(WORDS)])
+    more = materialize(spark, open_pairs(materialize(spark, open_, "jaccard-open"), threshold), "jaccard-more").distinct()
     links = links.union(_verify(spark, more, texts, shingle, threshold))
 
     # sets of one doc_id are linked; classes are named by their smallest doc_id
