@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,6 @@ from .common import pick, slices
 SCHEMA = "doc_id long, n_tokens long, file int, first long, ids array<int>"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("file", pa.int32()), ("first", pa.int64()),
                     ("ids", pa.list_(pa.int32()))])
-#: A comma or full stop between a letter and white space is a token run of its own.
-_STOP = re.compile(rb"([A-Za-z])([,.])(?=[ \n])")
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _ENCODERS: dict = {}
 
@@ -44,27 +43,33 @@ _ENCODERS: dict = {}
 class WordEncoder:
     """ids of a text as little-endian unsigned 32-bit bytes; at most ``limit`` words are kept."""
 
-    def __init__(self, vocabulary: str, limit: int = 500_000):
+    def __init__(self, vocabulary: str, limit: int = 700_000):
         from tokenizers import Tokenizer
         self.tokenizer, self.limit, self.known = Tokenizer.from_file(vocabulary), limit, {}
         self.letters = _byte_letters()
 
     def _learn(self, words: set[bytes]) -> None:
-        rest = []
+        # a last comma or full stop after a letter is a piece of its own to the splitter
+        stopped = [w for w in words if w[-1] in b",." and w[-2:-1].isalpha()]
+        rest, words = [], words.difference(stopped)
+        words.update(b for b in [b",", b".", *(w[:-1] for w in stopped)] if b not in self.known)
         for w in words:
             s = w.decode("utf-8", "replace")
             if _LATIN.fullmatch(s):
                 s = s.lower()
                 if not s.isascii():
                     s = s.encode().decode("latin-1").translate(self.letters)
-                self.known[w] = np.array([t.id for t in self.tokenizer.model.tokenize(s)], "<u4").tobytes()
+                ids = [t.id for t in self.tokenizer.model.tokenize(s)]
+                self.known[w] = pack(f"<{len(ids)}I", *ids)
             else:
                 rest.append((w, s))
         for (w, _), e in zip(rest, self.tokenizer.encode_batch([s for _, s in rest], add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
+            self.known[w] = pack(f"<{len(e.ids)}I", *e.ids)
+        for w in stopped:
+            self.known[w] = self.known[w[:-1]] + self.known[w[-1:]]
 
     def __call__(self, raws: list[bytes]) -> list[bytes]:
-        parts = [_STOP.sub(rb"\1 \2", raw).split() for raw in raws]
+        parts = [raw.split() for raw in raws]
         if len(self.known) > self.limit:
             self.known = {}
         self._learn({w for ws in parts for w in ws}.difference(self.known))
@@ -116,11 +121,12 @@ def file_bases(spark: SparkSession, path: str) -> DataFrame:
 
 def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids. With ``doc_ids`` only
-    those: the filter goes to the files' row indexes and Bloom filters."""
+    those: the filter goes to the files' row indexes and Bloom filters. The bases are broadcast:
+    16 bytes a file, and a table's file list is held by the driver anyway."""
     rows = spark.read.schema(SCHEMA).orc(path)
     if doc_ids is not None:
         rows = rows.where(F.col("doc_id").isin([int(i) for i in doc_ids]))
-    return rows.join(file_bases(spark, path), "file").select(
+    return rows.join(F.broadcast(file_bases(spark, path)), "file").select(
         "doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids")
 
 
