@@ -138,8 +138,12 @@ def encode(docs: DataFrame, frequent) -> DataFrame:
     return docs.mapInArrow(run, "lang string, codes binary")
 
 
-def count_hashes(coded: DataFrame, order: int, held) -> DataFrame:
-    """(h, c): counts of the hashes of the windows of ``order`` words that ``held`` lets through."""
+def count_hashes(coded: DataFrame, order: int, held, width: int = 40) -> DataFrame:
+    """(h, c): counts of the hashes of the windows of ``order`` words that ``held`` lets through.
+    Hashes are cut to ``width`` bits, which shortens the rows to shuffle; phrases that share one
+    are counted together, so none that is frequent gets lost."""
+    mask = np.uint64((1 << width) - 1)
+
     def run(batches):
         keys, counts, size = [], [], 0
         maps = [m and m.value for m in held]
@@ -151,7 +155,7 @@ def count_hashes(coded: DataFrame, order: int, held) -> DataFrame:
         for batch in batches:
             for lang, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
                 found = windows(np.frombuffer(raw.as_buffer(), np.uint32), order, _salt(lang), maps)[1]
-                u, c = np.unique(found, return_counts=True)
+                u, c = np.unique(found & mask, return_counts=True)
                 keys.append(u)
                 counts.append(c)
                 size += len(u)
@@ -168,28 +172,37 @@ def count_phrases(docs: DataFrame, longest: int, frequent, held) -> DataFrame:
     """(lang, phrase, f) of the phrases of 2 to ``longest`` words that the bitmaps let through."""
     def run(batches):
         words: list = []
+        low: list = []
         known: dict = {}
+        counted: dict = {}
         maps = [m and m.value for m in held]
+
+        def flush():
+            for lang, of in counted.items():
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(of), pa.string()), pa.array(list(of), pa.binary()),
+                                                  pa.array(list(of.values()), pa.int64())], names=["lang", "phrase", "f"])
+
         for part, raws in slices(batches, 1, limit=4 << 20, rows=2048):
             if len(words) > 400_000:
-                words, known = [], {}
+                words, low, known = [], [], {}
             of: dict = {}
             for lang, raw in zip(part.column(0).to_pylist(), raws):
                 of.setdefault(lang, []).extend(tokens(raw) + [b"\n"])
             for lang, all_ in of.items():
                 # a word's number is exact; its code only serves the bitmaps
-                ids = known.setdefault(lang, {b"": (-1, 0xFFFFFFFF), b"\n": (-1, 0)})
+                ids = known.setdefault(lang, {})
                 new = list(set(all_).difference(ids))
-                if new:
-                    h = np.array([_word_hash(lang, w) for w in new], np.uint64)
-                    low = _code(h)
-                    low = np.where(in_bitmap(frequent.value, h), low, 0).tolist()
-                    ids.update(zip(new, zip(range(len(words), len(words) + len(new)), low)))
-                    words.extend(new)
-                pairs = np.array([ids[w] for w in all_], np.int64).reshape(-1, 2)
-                pairs = pairs[pairs[:, 1] != 0xFFFFFFFF]
-                number, codes = pairs[:, 0], pairs[:, 1].astype(np.uint32)
-                phrases, counts = [], []
+                h = np.array([_word_hash(lang, w) for w in new], np.uint64)
+                ids.update(zip(new, range(len(words), len(words) + len(new))))
+                words += new
+                low.append(np.where(in_bitmap(frequent.value, h), _code(h), 0).astype(np.uint32))
+                number = np.fromiter(map(ids.__getitem__, all_), np.int64, len(all_))
+                if b"" in ids:
+                    number = number[number != ids[b""]]
+                table = np.concatenate(low)
+                table[ids[b"\n"]] = 0
+                low = [table]
+                codes, into = table[number], counted.setdefault(lang, {})
                 for n in range(2, longest + 1):
                     at, keys = windows(codes, n, _salt(lang), maps)
                     ok = in_bitmap(maps[n], keys)
@@ -200,11 +213,14 @@ def count_phrases(docs: DataFrame, longest: int, frequent, held) -> DataFrame:
                         like &= number[at + j] == number[at[first][back] + j]
                     c = c - np.bincount(back[~like], minlength=len(u))
                     starts = np.concatenate([at[first], at[~like]])
-                    counts += np.concatenate([c, np.ones((~like).sum(), np.int64)]).tolist()
-                    for row in np.stack([number[starts + j] for j in range(n)], 1).tolist():
-                        phrases.append(b" ".join([words[i] for i in row]))
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()),
-                                                  pa.array(counts, pa.int64())], names=["lang", "phrase", "f"])
+                    counts = np.concatenate([c, np.ones((~like).sum(), np.int64)]).tolist()
+                    for row, m in zip(np.stack([number[starts + j] for j in range(n)], 1).tolist(), counts):
+                        phrase = b" ".join([words[i] for i in row])
+                        into[phrase] = into.get(phrase, 0) + m
+            if sum(map(len, counted.values())) > 400_000:
+                yield from flush()
+                counted = {}
+        yield from flush()
 
     found = docs.mapInArrow(run, "lang string, phrase binary, f long")
     return found.withColumn("phrase", F.col("phrase").cast("string")).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
