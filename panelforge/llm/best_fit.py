@@ -30,27 +30,33 @@ _ENCODERS: dict = {}
 
 def encoder(path: str):
     """Byte-level BPE of the vocabulary file at ``path`` (``.json`` of ``tokenizers`` or
-    ranks ``.tiktoken``). The merge ranks of the json are its ids, so both give the ids of
-    ``tokenizers`` with add_special_tokens=False and special strings taken as text; the
-    rank form runs several times faster."""
+    ranks ``.tiktoken``). The merge ranks of the json are its ids, so ``token_ids`` gives those of
+    ``tokenizers`` with add_special_tokens=False; the rank form runs several times faster."""
     if path not in _ENCODERS:
         import tiktoken
         from public_tokenizers import PATTERN
+        special = {}
         if path.endswith(".json"):
             import json
             with open(path, encoding="utf-8") as f:
-                model = json.load(f)["model"]
+                whole = json.load(f)
+            model, special = whole["model"], {t["content"]: t["id"] for t in whole["added_tokens"]}
             back = {c: b for b, c in _byte_letters().items()}
             ranks = {bytes(back[c] for c in tok): i for tok, i in model["vocab"].items()
-                     if all(c in back for c in tok) and tok != "<|endoftext|>"}
+                     if all(c in back for c in tok) and tok not in special}
         else:
             import base64
             with open(path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _ENCODERS[path] = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        _ENCODERS[path] = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
     return _ENCODERS[path]
 
 
+def token_ids(enc, text: str) -> list[int]:
+    """Ids of a text; a special token's string in it is that token."""
+    return enc.encode(text, allowed_special="all") if "<|" in text else enc.encode_ordinary(text)
+
+
 def _byte_letters() -> dict[int, str]:
     """The published byte-level alphabet: printable bytes stand for themselves, the others
     for the code points from 256 on."""
@@ -73,7 +79,7 @@ def tokenize(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int
         for batch in batches:
             rows, size = ([], [], [], [], []), 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = enc.encode_ordinary(text.as_py() or "")
+                ids = token_ids(enc, text.as_py() or "")
                 ids.append(end_id)
                 raw, n, start, piece = np.array(ids, dtype="<u4").tobytes(), len(ids), 0, 0
                 while start < n:

@@ -143,10 +143,10 @@ def test_links_found_in_one_direction_count_for_both(monkeypatch):
 def test_token_ids_equal_tokenizers():
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(vocabulary())
-    t.encode_special_tokens = True
-    texts = ["", " a  b\n\n c\t", "it's 1,234.5 €uro ñandú 日本語 🙂", "x" * 500, "<|endoftext|> end"] + [x or "" for x in _texts()]
+    texts = ["", " a  b\n\n c\t", "it's 1,234.5 €uro ñandú 日本語 🙂", "x" * 500, "<|endoftext|> end", "a \n<|endoftext|><|endoftext|>b",
+             "<|endoftext| <|end"] + [x or "" for x in _texts()]
     assert [e.ids for e in t.encode_batch(texts, add_special_tokens=False)] == [
-        best_fit.encoder(vocabulary()).encode_ordinary(x) for x in texts]
+        best_fit.token_ids(best_fit.encoder(vocabulary()), x) for x in texts]
 
 
 def _best_fit_decreasing(lengths, capacity):
@@ -538,3 +538,46 @@ def test_corpus_back_off(spark):
         ratio.append(abs(model["word_r"][np.searchsorted(model["word"], q[0])] - model["new"][0]))
         assert np.isfinite(model["word_r"]).all() and np.isfinite(model["pair_r"]).all()
     assert ratio[1] < ratio[0]
+
+
+def test_open_pairs_are_those_within_the_bound(spark, monkeypatch):
+    """Blocks of few members; a tile of one component, tiles of many, batches that end in a group."""
+    rng = random.Random(21)
+    rows = []
+    for tile, size in ((1, 2), (2, 40), (3, 7), (4, 25)):
+        base = [rng.getrandbits(63) for _ in range(jaccard_tiles.WORDS)]
+        for _ in range(size):
+            bits = [b ^ (1 << rng.randrange(63)) if rng.random() < 0.5 else b for b in base]
+            if rng.random() < 0.3:
+                bits = [rng.getrandbits(63) for _ in base]
+            rows.append((tile, len(rows), 7 if tile == 4 else rng.randrange(6), rng.randint(180, 260), *bits))
+    names = [f"m{i}" for i in range(jaccard_tiles.WORDS)]
+    df = spark.createDataFrame(rows, "tile long, rep long, component long, n long, " + ", ".join(f"{m} long" for m in names))
+    monkeypatch.setattr(jaccard_tiles, "BLOCK", 6)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 17)
+    try:
+        got = sorted(map(tuple, jaccard_tiles.open_pairs(df, (8, 10)).collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = []
+    for x in rows:
+        for y in rows:
+            if x[0] == y[0] and x[1] < y[1] and x[2] != y[2] and min(x[3], y[3]) * 10 >= max(x[3], y[3]) * 8:
+                apart = sum(bin(a ^ b).count("1") for a, b in zip(x[4:], y[4:]))
+                if (x[3] + y[3] - apart) * 18 >= (x[3] + y[3]) * 16:
+                    want.append((x[1], y[1]))
+    assert got == sorted(want) and 20 < len(want) < 600
+
+
+def test_documents_that_share_a_passage_make_no_pairs(spark, monkeypatch):
+    """The rows that round 2 makes don't grow with the square of the documents of a passage."""
+    rng = random.Random(22)
+    words = ["w%d" % i for i in range(3000)]
+    passage = " ".join(rng.choice(words) for _ in range(60))
+    seen = []
+    first = jaccard_tiles.open_pairs
+    monkeypatch.setattr(jaccard_tiles, "open_pairs", lambda *a: seen.append(first(*a)) or seen[-1])
+    texts = [passage + " " + " ".join(rng.choice(words) for _ in range(60)) for _ in range(120)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = jaccard_tiles.jaccard_classes(spark, df, shingle=5, threshold=(8, 10)).collect()
+    assert all(r.doc_id == r.component_id for r in out) and seen[0].count() <= 120
