@@ -1,10 +1,18 @@
 """From raw documents to packed training sequences: five stages, each applying one operator
 to all that its predecessor kept. Every stage takes (spark, docs, sf_dir); its result is
 written as Parquet to the shared folder and read again as the next stage's ``docs``, so a
-lost executor never costs more than one stage's tasks."""
+lost executor never costs more than one stage's tasks.
+
+Defined results of the stages: null texts count as empty, and empty and null texts are clean,
+hold no secret and have no near duplicate; a null id is an id like another (rows of one id stay
+or go together as near duplicates); null sources are a source; repeated rows are kept or taken
+each; texts are read whole at any length; empty tables give empty tables; further columns pass
+through unchanged, whatever their names."""
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +22,22 @@ from panelforge.llm.queries import vocabulary
 from panelforge.session import checkpoint_dir
 
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def any_names(stage):
+    """The stage sees the columns of documents by these names and all others by number, so that
+    names that clash with them (or among themselves) do no harm; they come back as they were."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = docs.columns
+        known = {names.index(c) for c in COLUMNS if c in names}
+        plain = docs.toDF(*[c if i in known else f"further__{i}" for i, c in enumerate(names)])
+        return stage(spark, plain, sf_dir).toDF(*names)
+    return run
+
+
+@any_names
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the class-conditional models call toxic (score 0.7 or more)."""
     checkpoint_dir(spark)
@@ -22,6 +46,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity_kn.score(spark, docs, fitted, "toxicity__score").where("toxicity__score < 0.7").select(*docs.columns)
 
 
+@any_names
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each class of 5-word-shingle Jaccard >= 0.8.
     Rows with one doc_id are one document and stay or go together."""
@@ -31,12 +56,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(gone, F.col("doc_id") == F.col("gone__id"), "left_anti")
 
 
+@any_names
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks live-looking secrets in the texts; clean documents and copied examples stay."""
     checkpoint_dir(spark)
     return secret_scan.mask(spark, docs)
 
 
+@any_names
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or drops documents so that each source nears its target share of words."""
     checkpoint_dir(spark)
