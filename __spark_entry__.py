@@ -19,7 +19,7 @@ from panelforge.operators import economic as E
 from panelforge.operators import panel as P
 from panelforge.operators import sampling as S
 from panelforge.operators.encoding import BinaryEncoder, continuous_columns, null_profile, threshold_table
-from panelforge.operators.models import class_weights, positional
+from panelforge.operators.models import class_weights, feature_columns, positional
 from panelforge.plans import pipeline as PL
 from panelforge.sources import fixtures as fx
 from panelforge.sources import quarters as QS
@@ -325,6 +325,21 @@ def q_binary_encoding(spark, d):
     return _encoded_long(te, model)
 
 
+def q_thermometer_vectors(spark, d):
+    """The non-zero indicators of the test set's sparse feature vectors (encoder fitted on the
+    training set)."""
+    train, test = _sets(spark, d)
+    tr, te = PL.project_features(train, FS), PL.project_features(test, FS)
+    model = BinaryEncoder(num_thresholds=FS.num_thresholds).fit(tr)
+    names = feature_columns(model.transform(te.limit(0)))
+    entry_ = F.explode(F.arrays_zip(F.col("v.indices").alias("i"), F.col("v.values").alias("x")))
+    long = model.transform_vectors(te).select("Loan_Num", "Month", F.unwrap_udt("features").alias("v")).select(
+        "Loan_Num", "Month", entry_.alias("e"))
+    long = long.select("Loan_Num", "Month", F.element_at(F.lit(names), F.col("e.i") + 1).alias("feature"),
+                       F.col("e.x").cast("int").alias("value"))
+    return long.where(~F.col("feature").isin(te.columns))
+
+
 def q_class_weights(spark, d):
     x = positional(_dev_train(spark, d), [], "Default")
     w = class_weights(x)
@@ -518,6 +533,7 @@ _QUERIES = {
     "category_encoding": q_category_encoding,
     "threshold_encoding": q_threshold_encoding,
     "binary_encoding": q_binary_encoding,
+    "thermometer_vectors": q_thermometer_vectors,
     "class_weights": q_class_weights,
     "train_random_forest": q_train_random_forest,
     "train_sparse_additive": q_train_sparse_additive,

@@ -13,6 +13,9 @@ import json
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -166,6 +169,68 @@ class BinaryEncoderModel:
     def feature_names(self, columns: list) -> list:
         return [n for n, _ in self.output_plan(columns)]
 
+    def vector_plan(self, schema: T.StructType) -> list:
+        """Blocks (kind, source column, argument) of the feature vector, in the order that the
+        numeric columns of ``transform`` have: ``raw`` values, ``null`` and ``equal`` indicators,
+        ``below``: the thermometer of a column's sorted cut points."""
+        dropped = {*self.yn_columns, *self.categorical_mappings, *self.thresholds, *C.ENCODER_KEY_COLUMNS}
+        numeric = (T.NumericType, T.BooleanType)
+        blocks = [("raw", f.name, None) for f in schema.fields if f.name not in dropped and isinstance(f.dataType, numeric)]
+        blocks += [("null", c, self.missing_names.get(c, f"{c} is Missing")) for c in self.missing_cols]
+        blocks += [("equal", c, "Y") for c in self.yn_columns]
+        blocks += [("equal", c, v) for c, m in self.categorical_mappings.items() for v, _ in m]
+        return blocks + [("below", c, ts) for c, ts in self.thresholds.items()]
+
+    def transform_vectors(self, df: DataFrame, out: str = "features", missing: float = 0.0) -> DataFrame:
+        """The key columns of ``df`` and ``out``: the numeric columns of ``transform`` as one sparse
+        vector, null values as ``missing``. A thermometer costs one binary search per row and
+        source column, however many cut points it has, and no indicator column is ever made."""
+        blocks = self.vector_plan(df.schema)
+        sources = list(dict.fromkeys(c for _, c, _ in blocks))
+        keys = [c for c in C.ENCODER_KEY_COLUMNS if c in df.columns]
+        size = sum(len(a) if kind == "below" else 1 for kind, _, a in blocks)
+        schema = T.StructType([*(df.schema[c] for c in keys), T.StructField(out, VectorUDT())])
+        numeric = {c for kind, c, _ in blocks if kind in ("raw", "below")}
+
+        def run(batches):
+            for batch in batches:
+                n, at, found = batch.num_rows, 0, []
+                cols = {c: batch.column(len(keys) + i) for i, c in enumerate(sources)}
+                nulls = {c: v.is_null().to_numpy(zero_copy_only=False) for c, v in cols.items()}
+                values = {c: cols[c].fill_null(0).to_numpy(zero_copy_only=False) for c in numeric}
+                for kind, c, arg in blocks:
+                    if kind == "below":
+                        # v <= t holds from the first cut point that is not below v (NaN is greatest)
+                        first = np.searchsorted(arg, values[c], side="left")
+                        first[nulls[c]] = 0 if missing else len(arg)
+                        width = len(arg) - first
+                        row = np.repeat(np.arange(n), width)
+                        index = np.arange(len(row)) - np.repeat(np.cumsum(width) - width, width) + first[row] + at
+                        found.append((row, index, np.where(nulls[c][row], missing, 1.0)))
+                        at += len(arg)
+                        continue
+                    if kind == "raw":
+                        x = np.where(nulls[c], missing, values[c])
+                    elif kind == "null":
+                        x = nulls[c].astype(float)
+                    else:
+                        x = pc.fill_null(pc.equal(cols[c], arg), False).to_numpy(zero_copy_only=False).astype(float)
+                    row = np.flatnonzero(x)
+                    found.append((row, np.full(len(row), at), x[row]))
+                    at += 1
+                row, index, value = (np.concatenate([f[k] for f in found] or [np.zeros(0)]) for k in range(3))
+                order = np.lexsort((index, row))
+                ends = pa.array(np.r_[0, np.cumsum(np.bincount(row.astype(int), minlength=n))].astype(np.int32))
+                vector = pa.StructArray.from_arrays(
+                    [pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, size, np.int32)),
+                     pa.ListArray.from_arrays(ends, pa.array(index[order].astype(np.int32))),
+                     pa.ListArray.from_arrays(ends, pa.array(value[order].astype(float)))],
+                    names=["type", "size", "indices", "values"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:len(keys)], vector], names=[*keys, out])
+
+        cast = [_c(c).cast("double") if c in numeric else _c(c) for c in sources]
+        return df.select(*[_c(c) for c in keys], *[e.alias(f"s{i}") for i, e in enumerate(cast)]).mapInArrow(run, schema)
+
     def to_json(self) -> str:
         return json.dumps({"missing_cols": self.missing_cols, "yn_columns": self.yn_columns,
                            "categorical_mappings": self.categorical_mappings,

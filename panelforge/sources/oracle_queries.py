@@ -271,6 +271,8 @@ ORACLE["binary_encoding"] = sql(
     _missing_long("test_dev", "train_dev") + "\nUNION ALL\n" + _category_long("test_dev") + "\nUNION ALL\n"
     + _threshold_long("test_dev", "thr_train"), "test_dev", "train_dev", "thr_train")
 
+ORACLE["thermometer_vectors"] = "SELECT * FROM (" + ORACLE["binary_encoding"] + ") b WHERE value = 1"
+
 ORACLE["class_weights"] = sql("""
 SELECT label, CAST(tot AS DOUBLE) / CAST(k * nc AS DOUBLE) AS weight, nc AS n FROM (
   SELECT label, COUNT(*) AS nc, SUM(COUNT(*)) OVER () AS tot, COUNT(*) OVER () AS k FROM (
