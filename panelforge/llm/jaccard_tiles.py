@@ -36,6 +36,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -220,15 +221,17 @@ def shared_cells(spark: SparkSession, sets: DataFrame, reps: DataFrame) -> DataF
         def run(batches):
             for batch in batches:
                 batch = batch.filter(pa.array(in_bitmap(wanted.value, batch.column(1).to_numpy().view(np.uint64))))
-                tiles = batch.column(2)
-                row = np.repeat(batch.column(0).to_numpy(), np.diff(tiles.offsets.to_numpy()))
-                tile = tiles.flatten().to_numpy()
-                if kept is None:
-                    tile = tile & ((1 << 40) - 1)
-                else:
-                    hit = in_bitmap(kept.value, tile.view(np.uint64))
-                    tile, row = tile[hit], row[hit]
-                yield pa.RecordBatch.from_arrays([pa.array(tile), pa.array(row)], names=["tile", "row"])
+                for at in range(0, batch.num_rows, 256):  # a row becomes hundreds
+                    part = batch.slice(at, 256)
+                    row = np.repeat(part.column(0).to_numpy(), pc.list_value_length(part.column(2)).to_numpy())
+                    tile = part.column(2).flatten().to_numpy()
+                    if kept is None:
+                        tile = tile & ((1 << 40) - 1)
+                    else:
+                        hit = in_bitmap(kept.value, tile.view(np.uint64))
+                        tile, row = tile[hit], row[hit]
+                    yield pa.RecordBatch.from_arrays([pa.array(tile), pa.array(row)], names=["tile", "row"])
+                pa.default_memory_pool().release_unused()
 
         return sets.where("n > 0").select("row", F.xxhash64("row").alias("h"), "tiles").mapInArrow(run, "tile long, row long")
 
