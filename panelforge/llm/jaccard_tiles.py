@@ -20,6 +20,9 @@ large group of copies are expanded. Before the exact intersection of the sorted
 every pair passes the bound: sizes a, b with bitmaps that differ in x bits share at most
 (a + b - x) / 2 elements. In round 2 the bound is computed on blocks of at most ``BLOCK`` members
 of a tile against each other, as whole matrices, and only pairs that pass it become rows.
+The tiles carry bitmaps of 512 bits, which sets of many more elements fill. Distinct pairs that
+pass them meet the bound again on bitmaps as wide as the sets, of 2 to 4 bits an element (the wider
+one folded to the other's width), and only texts of pairs that pass those too are read.
 
 Tiles are made for one row of each distinct set. Their hashes, cut to 40 bits, are counted first;
 a bitmap of those met twice then drops all other tiles before any (tile, set) row is shuffled.
@@ -126,18 +129,36 @@ def bitmap(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little").view(np.int64)
 
 
+def wide_bitmap(s: np.ndarray) -> bytes | None:
+    """A bitmap of the power of two of bits from 2 an element on; none for sets that ``bitmap`` serves."""
+    if 2 * len(s) <= 64 * WORDS:
+        return None
+    cells = 1 << (2 * len(s) - 1).bit_length()
+    bits = np.zeros(cells, np.uint8)
+    bits[(s & np.uint64(cells - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def bits_apart(x: bytes, y: bytes) -> int:
+    """Bits in which two wide bitmaps differ, the wider one folded to the other's width."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    if len(x) < len(y):
+        x, y = y, x
+    return int(np.bitwise_count(np.bitwise_or.reduce(x.reshape(-1, len(y)), 0) ^ y).sum())
+
+
 def describe(docs: DataFrame, shingle: int = 3, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """doc_id, row, content (hash of the text), n, k1, k2 (identity of the set; null if empty),
-    m0.. (bitmap), tiles."""
+    m0.. (bitmap), tiles, wide (bitmap of a larger set, or null)."""
     names = [f"m{i}" for i in range(WORDS)]
     arrow = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("content", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64())] +
-                      [(m, pa.int64()) for m in names] + [("tiles", pa.list_(pa.int64()))])
-    ddl = "doc_id long, row long, content long, n long, k1 long, k2 long, " + ", ".join(f"{m} long" for m in names) + ", tiles array<long>"
+                      [(m, pa.int64()) for m in names] + [("tiles", pa.list_(pa.int64())), ("wide", pa.binary())])
+    ddl = "doc_id long, row long, content long, n long, k1 long, k2 long, " + ", ".join(f"{m} long" for m in names) + ", tiles array<long>, wide binary"
 
     def run(batches):
         shingler = Shingler(shingle)
         for part, raws in slices(batches, 3):
-            n, k1, k2, maps, offsets, tiles = [], [], [], [], [0], []
+            n, k1, k2, maps, offsets, tiles, wide = [], [], [], [], [0], [], []
             for raw in raws:
                 s = shingler(raw)
                 n.append(len(s))
@@ -145,6 +166,7 @@ def describe(docs: DataFrame, shingle: int = 3, threshold: tuple[int, int] = THR
                 k1.append((key >> 64) - (1 << 63) if len(s) else None)
                 k2.append((key & (1 << 64) - 1) - (1 << 63) if len(s) else None)
                 maps.append(bitmap(s))
+                wide.append(wide_bitmap(s))
                 t = signatures(s, threshold)
                 tiles.append(t.view(np.int64))
                 offsets.append(offsets[-1] + len(t))
@@ -152,7 +174,8 @@ def describe(docs: DataFrame, shingle: int = 3, threshold: tuple[int, int] = THR
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64())] +
                 [pa.array(m[:, i].copy()) for i in range(WORDS)] +
-                [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(tiles)))], schema=arrow)
+                [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(tiles))),
+                 pa.array(wide, pa.binary())], schema=arrow)
 
     return docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("content"),
                        "text").mapInArrow(run, ddl)
@@ -187,10 +210,29 @@ def _texts(spark: SparkSession, docs: DataFrame, ids: DataFrame) -> DataFrame:
     return materialize(spark, some.join(ids, ["doc_id", "content"]).select("rep", "text"), "jaccard-texts")
 
 
-def _verify(spark: SparkSession, pairs: DataFrame, texts: DataFrame, shingle: int,
+def screened(pairs: DataFrame, wide: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """``pairs(a, b)`` without those that the bound on ``wide(rep, n, wide)`` rules out."""
+    p, q = threshold
+
+    def run(batches):
+        for batch in batches:
+            cols = [batch.column(i) for i in range(6)]
+            sizes = zip(cols[2].to_pylist(), cols[3].to_pylist(), cols[4], cols[5])
+            hit = [x is None or y is None or (x + y - bits_apart(v.as_buffer(), w.as_buffer())) * (q + p) >= (x + y) * 2 * p
+                   for x, y, v, w in sizes]
+            yield pa.RecordBatch.from_arrays(cols[:2], names=["a", "b"]).filter(pa.array(hit, pa.bool_()))
+
+    both = pairs.join(wide.toDF("a", "x", "v"), "a", "left").join(wide.toDF("b", "y", "w"), "b", "left")
+    return both.select("a", "b", "x", "y", "v", "w").mapInArrow(run, "a long, b long")
+
+
+def _verify(spark: SparkSession, pairs: DataFrame, wide: DataFrame, docs: DataFrame, sets: DataFrame, shingle: int,
             threshold: tuple[int, int]) -> DataFrame:
     """The linked pairs (a, b) of ``pairs``, by the exact intersection of the sorted arrays."""
-    pairs = materialize(spark, pairs, "jaccard-pairs")
+    pairs = materialize(spark, screened(pairs, wide, threshold), "jaccard-pairs")
+    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    of = sets.select("doc_id", "content", F.col("row").alias("rep")).join(wanted, "rep", "left_semi")
+    texts = _texts(spark, docs, materialize(spark, of, "jaccard-wanted"))
     p, q = threshold
 
     def run(batches):
@@ -308,8 +350,9 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = 3, id_c
     maps = sets.select(F.col("row").alias("id"), "n", *[f"m{i}" for i in range(WORDS)]).join(
         reps.select(F.col("rep").alias("id")), "id", "left_semi")
     maps = materialize(spark, maps, "jaccard-maps")
-    of = sets.select("doc_id", "content", F.col("row").alias("rep")).join(cells.select("rep").distinct(), "rep", "left_semi")
-    texts = _texts(spark, docs, materialize(spark, of, "jaccard-wanted"))
+    wide = sets.where("wide is not null").select(F.col("row").alias("rep"), "n", "wide").join(
+        cells.select("rep").distinct(), "rep", "left_semi")
+    wide = materialize(spark, wide, "jaccard-wide")
 
     def fits(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that the bitmaps don't rule out."""
@@ -323,7 +366,7 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = 3, id_c
         F.count(F.lit(1)).alias("c"))
     best = pairs.groupBy("b").agg(F.max(F.struct("c", (-F.col("a")).alias("a"))).alias("x")).select(
         (-F.col("x.a")).alias("a"), "b")
-    links = _verify(spark, fits(best), texts, shingle, threshold)
+    links = _verify(spark, fits(best), wide, docs, sets, shingle, threshold)
     first = materialize(spark, connected_components(spark, links), "jaccard-first")
 
     # round 2: what lies in tiles with several components, against the other components
@@ -334,7 +377,7 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = 3, id_c
         _prefixed(maps, "").withColumnRenamed("id", "rep"), "rep").select(
         "tile", "rep", "component", "n", *[f"m{i}" for i in range(WORDS)])
     more = materialize(spark, open_pairs(materialize(spark, open_, "jaccard-open"), threshold), "jaccard-more").distinct()
-    links = links.union(_verify(spark, more, texts, shingle, threshold))
+    links = links.union(_verify(spark, more, wide, docs, sets, shingle, threshold))
 
     # sets of one doc_id are linked; classes are named by their smallest doc_id
     several = known.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z").select("doc_id", "a")

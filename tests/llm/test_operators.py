@@ -581,3 +581,43 @@ def test_documents_that_share_a_passage_make_no_pairs(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     out = jaccard_tiles.jaccard_classes(spark, df, shingle=5, threshold=(8, 10)).collect()
     assert all(r.doc_id == r.component_id for r in out) and seen[0].count() <= 120
+
+
+def test_wide_bitmaps_bound_the_overlap():
+    rng = np.random.default_rng(4)
+    for n, m, shared in [(257, 300, 200), (1000, 1030, 1000), (1024, 1025, 3), (5000, 4200, 4100), (300, 300, 300)]:
+        pool = rng.integers(0, 1 << 63, n + m, dtype=np.uint64)
+        a, b = np.unique(pool[:n]), np.unique(np.r_[pool[:shared], pool[n:n + m - shared]])
+        x, y = jaccard_tiles.wide_bitmap(a), jaccard_tiles.wide_bitmap(b)
+        apart = jaccard_tiles.bits_apart(x, y)
+        assert apart == jaccard_tiles.bits_apart(y, x) <= len(np.setxor1d(a, b))
+        assert shared <= n // 2 or apart >= 0.4 * len(np.setxor1d(a, b))  # close enough to rule pairs out
+    assert jaccard_tiles.wide_bitmap(pool[:256]) is None
+
+
+def test_long_texts_read_only_where_the_wide_bound_allows(spark, monkeypatch):
+    """Long documents that share half of their words by passages, and near copies of some: brute
+    force finds the same classes, and only few pairs come to the exact join."""
+    rng = random.Random(8)
+    word = lambda: "w%d" % rng.randrange(10 ** 6)
+    passages = [[word() for _ in range(700)] for _ in range(3)]
+    texts = [passages[i % 3] + [word() for _ in range(rng.randrange(600, 800))] for i in range(30)]
+    for i in range(6):
+        copy = list(texts[i])
+        for at in rng.sample(range(len(copy)), 8 + 10 * i):
+            copy[at] = word()
+        texts.append(copy)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(100, None), (101, "")]
+    asked, first = [], jaccard_tiles.screened
+    monkeypatch.setattr(jaccard_tiles, "screened", lambda pairs, *a: asked.append((pairs, first(pairs, *a))) or asked[-1][1])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_tiles.jaccard_classes(spark, df, shingle=5, threshold=(8, 10)).collect()}
+    sets = [{tuple(t[k:k + 5]) for k in range(len(t) - 4)} for t in texts]
+    exp = {i: i for i in (*range(len(texts)), 100, 101)}
+    for i in range(len(sets)):
+        for j in range(i):
+            if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j]):
+                old, new = max(exp[i], exp[j]), min(exp[i], exp[j])
+                exp = {k: new if v == old else v for k, v in exp.items()}
+    assert got == exp and 0 < sum(exp[30 + i] == i for i in range(6)) < 6
+    assert sum(out.distinct().count() for _, out in asked) <= 20 < sum(pairs.count() for pairs, _ in asked)
