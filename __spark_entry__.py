@@ -368,6 +368,40 @@ def q_train_random_forest(spark, d):
     return _checked(m.predict(te))
 
 
+def q_train_monotone_forest(spark, d):
+    """Also whether the probability lies between those of the row with all constrained threshold
+    indicators set to the safer and to the riskier side."""
+    from panelforge.operators.models import feature_columns, monotone_signs, train_monotone_forest
+    tr, te = _binary_sets(spark, d)
+    m = train_monotone_forest(tr, num_trees=FS.rf_num_trees, max_depth=FS.rf_max_depth, balanced=True)
+    signs = {c: s for c, s in zip(m.features, monotone_signs(m.features)) if " <= " in c}
+
+    def moved(risk: int, name: str) -> DataFrame:
+        cols = [F.when(F.col(f"`{c}`").isNotNull(), int(signs[c] == risk)).cast(te.schema[c].dataType).alias(c)
+                if signs.get(c) else F.col(f"`{c}`") for c in te.columns]
+        return m.predict(te.select(*cols)).select("Loan_Num", "Month", F.col("p_default").alias(name))
+
+    pred = m.predict(te).join(moved(-1, "p_safe"), ["Loan_Num", "Month"]).join(moved(1, "p_risky"), ["Loan_Num", "Month"])
+    return _checked(pred, F.col("p_default").between(F.col("p_safe"), F.col("p_risky")).cast("int").alias("ordered"))
+
+
+def q_monotone_splits(spark, d):
+    """Every first split of the encoded training set: weighted shares of defaults on both sides,
+    gain, and whether the constraints let it be made."""
+    from panelforge.operators.models import monotone_signs
+    from panelforge.operators.monotone_forest import binned, root_splits
+    train, _ = _sets(spark, d)
+    train = PL.project_features(train, FS)
+    encoded = BinaryEncoder(num_thresholds=FS.num_thresholds).fit(train).transform(train)
+    names = [c for c in encoded.columns if c not in train.columns]
+    data = binned(spark, positional(encoded, names), len(names), F.xxhash64("Loan_Num", "Month"))
+    return root_splits(data, monotone_signs(names)).select(
+        F.element_at(F.lit(names), (F.col("feature") + 1).cast("int")).alias("feature"),
+        F.col("at_most").cast("int").alias("at_most"), F.round("p_left", 6).alias("p_left"),
+        F.round("p_right", 6).alias("p_right"), F.round("gain", 6).alias("gain"),
+        (F.col("allowed") & (F.col("gain") > 1e-9)).cast("int").alias("made"))
+
+
 def q_train_sparse_additive(spark, d):
     from panelforge.operators.models import train_sparse_additive
     tr, te = _binary_sets(spark, d)
@@ -536,6 +570,8 @@ _QUERIES = {
     "thermometer_vectors": q_thermometer_vectors,
     "class_weights": q_class_weights,
     "train_random_forest": q_train_random_forest,
+    "train_monotone_forest": q_train_monotone_forest,
+    "monotone_splits": q_monotone_splits,
     "train_sparse_additive": q_train_sparse_additive,
     "sparse_screen": q_sparse_screen,
     "quarter_spine": q_quarter_spine,

@@ -81,6 +81,9 @@ YN_COLUMNS = ["First_Time_Home_Buyer_Flag", "Prepay_Penalty", "Sup_Conforming_Fl
 # Names given to the missing indicators of two columns.
 MISSING_INDICATOR_NAMES = {"Credit_Score": "Credit_Score <= 300",
                            "MI_Percentage": "MI_Percentage not in 1-55"}
+# Columns with which default becomes likelier, and less likely.
+RISK_RISES_WITH = ["CLTV", "DTI", "LTV", "Int_Rate", "Delinquency_Status"]
+RISK_FALLS_WITH = ["Credit_Score"]
 # Columns never encoded as thresholds (keys and target).
 ENCODER_KEY_COLUMNS = ["Loan_Num", "Month", "Default"]
 

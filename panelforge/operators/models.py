@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from .monotone_forest import binned, grow
 from .sparse_l0 import fitted, l0_path
 
 LABEL = "label"
@@ -108,6 +109,27 @@ def train_random_forest(df: DataFrame, num_trees: int = 200, max_depth: int = 7,
     return TrainedModel(model, feats)
 
 
+def monotone_signs(features: list, increasing=C.RISK_RISES_WITH, decreasing=C.RISK_FALLS_WITH) -> list:
+    """Sign of every feature for default to become likelier with each column of ``increasing`` and
+    less likely with each of ``decreasing``. An indicator ``column <= t`` is 1 for small values, so
+    its sign is the opposite of its column's; a column that was never encoded has its own."""
+    signs = {c: 1 for c in increasing} | {c: -1 for c in decreasing}
+    return [-signs.get(f.split(" <= ")[0], 0) if " <= " in f else signs.get(f, 0) for f in features]
+
+
+def train_monotone_forest(df: DataFrame, num_trees: int = 200, max_depth: int = 7, balanced: bool = True, seed: int = 2001,
+                          increasing=C.RISK_RISES_WITH, decreasing=C.RISK_FALLS_WITH, target: str = "Default") -> TrainedModel:
+    """Random forest whose probability of default never falls with a column of ``increasing`` and
+    never rises with one of ``decreasing``. Rows without key columns draw their bootstrap by their
+    features, so equal rows are drawn alike."""
+    feats = feature_columns(df)
+    x = positional(df, feats, target)
+    keys = [c for c in C.ENCODER_KEY_COLUMNS if c in x.columns] or [f"f{i}" for i in range(len(feats))]
+    data = binned(df.sparkSession, x, len(feats), F.xxhash64(*keys))
+    model = grow(data, monotone_signs(feats, increasing, decreasing), num_trees, max_depth, seed, balanced=balanced)
+    return TrainedModel(PipelineModel(stages=[model]), feats)
+
+
 def train_sparse_additive(df: DataFrame, max_support: int = 40, num_lambda: int = 150,
                           scale_down: float = 0.8, target: str = "Default") -> TrainedModel:
     """Logistic model with at most ``max_support`` features: the last model of the L0 penalty
@@ -126,7 +148,7 @@ def sparse_additive_path(df: DataFrame, max_support: int = 40, num_lambda: int =
 
 
 # Trainer registry: name -> function(df, **params) -> TrainedModel
-TRAINERS = {"random_forest": train_random_forest, "sparse_additive": train_sparse_additive}
+TRAINERS = {"random_forest": train_random_forest, "monotone_forest": train_monotone_forest, "sparse_additive": train_sparse_additive}
 
 
 def get_trainer(name: str):

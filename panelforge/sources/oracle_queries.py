@@ -305,6 +305,38 @@ ORACLE["train_random_forest"] = sql("""
 SELECT Loan_Num, Month, CASE WHEN "Default" = 1 THEN 1 ELSE 0 END AS label, 1 AS p_in_range, 1 AS consistent
 FROM test_s""", "test_s")
 
+ORACLE["train_monotone_forest"] = sql("""
+SELECT Loan_Num, Month, CASE WHEN "Default" = 1 THEN 1 ELSE 0 END AS label, 1 AS p_in_range, 1 AS consistent,
+  1 AS ordered
+FROM test_s""", "test_s")
+
+_FALLS = " OR ".join(f"feature LIKE '{c} <= %'" for c in C.RISK_RISES_WITH)
+_RISES = " OR ".join(f"feature LIKE '{c} <= %'" for c in C.RISK_FALLS_WITH)
+ORACLE["monotone_splits"] = sql(
+    # both classes weigh half of the rows; a missing value is -1
+    f"""SELECT feature, at_most, round(pl, 6) AS p_left, round(pr, 6) AS p_right, round(gain, 6) AS gain,
+  CASE WHEN gain > 1e-9 AND (at_most = -1 OR NOT (({_FALLS}) AND pr > pl OR ({_RISES}) AND pr < pl)) THEN 1 ELSE 0 END AS made
+FROM (
+  SELECT *, 2 * (p * (1 - p) - (l1 + l0) / (l1 + l0 + r1 + r0) * pl * (1 - pl)
+    - (r1 + r0) / (l1 + l0 + r1 + r0) * pr * (1 - pr)) AS gain
+  FROM (SELECT *, l1 / (l1 + l0) AS pl, r1 / (r1 + r0) AS pr, (l1 + r1) / (l1 + l0 + r1 + r0) AS p FROM (
+    SELECT feature, at_most,
+      sum(CASE WHEN value <= at_most AND positive THEN weight ELSE 0 END) AS l1,
+      sum(CASE WHEN value <= at_most AND NOT positive THEN weight ELSE 0 END) AS l0,
+      sum(CASE WHEN value > at_most AND positive THEN weight ELSE 0 END) AS r1,
+      sum(CASE WHEN value > at_most AND NOT positive THEN weight ELSE 0 END) AS r0
+    FROM (
+      SELECT feature, coalesce(value, -1) AS value, t."Default" = 1 AS positive,
+        n::DOUBLE / (2 * CASE WHEN t."Default" = 1 THEN k ELSE n - k END) AS weight
+      FROM (
+""" + _missing_long("train_dev", "train_dev") + "\nUNION ALL\n" + _category_long("train_dev") + "\nUNION ALL\n"
+    + _threshold_long("train_dev", "thr_train") + """
+      ) e JOIN train_dev t USING (Loan_Num, Month),
+      (SELECT count(*) AS n, count(*) FILTER (WHERE "Default" = 1) AS k FROM train_dev) c
+    ) v, (VALUES (-1), (0)) a(at_most)
+    GROUP BY feature, at_most HAVING min(value) <= at_most AND max(value) > at_most
+  ) s) q) g""", "train_dev", "thr_train")
+
 ORACLE["train_sparse_additive"] = sql("""
 SELECT Loan_Num, Month, CASE WHEN "Default" = 1 THEN 1 ELSE 0 END AS label, 1 AS p_in_range, 1 AS consistent,
   1 AS support_ok
