@@ -471,6 +471,20 @@ def q_ingest_origination(spark, d):
     return orig
 
 
+def q_landed_performance(spark, d):
+    """Performance rows of a table landed with the origination rows in one pass."""
+    from panelforge.sources.archive_source import land_archives
+    return land_archives(spark, _write_fixture_archives(spark, d))[1].drop("Year", "Quarter")
+
+
+def q_landed_origination(spark, d):
+    """Origination rows of the archives landed by a stream."""
+    from panelforge.sources.archive_source import land_new_archives, landed
+    path = scratch_path(spark, "landed")
+    land_new_archives(spark, _write_fixture_archives(spark, d), path, scratch_path(spark, "landing-ckpt"))
+    return landed(spark, path)[0]
+
+
 def q_audit_archives(spark, d):
     from panelforge.sources.archives import add_broken_archives, audit_archives
     out = _write_fixture_archives(spark, d)
@@ -579,6 +593,8 @@ _QUERIES = {
     "scan_processed": q_scan_processed,
     "ingest_archives": q_ingest_archives,
     "ingest_origination": q_ingest_origination,
+    "landed_performance": q_landed_performance,
+    "landed_origination": q_landed_origination,
     "audit_archives": q_audit_archives,
     "incremental_process": q_incremental_process,
     "incremental_by_file": q_incremental_by_file,

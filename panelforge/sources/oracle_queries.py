@@ -365,3 +365,5 @@ ORACLE["ingest_origination"] = sql("SELECT * FROM orig_raw", "orig_raw")
 ORACLE["incremental_by_file"] = ORACLE["incremental_process"]
 
 ORACLE["written_sets"] = f'SELECT "Loan_Num", "Month", "Set" FROM ({ORACLE["union_samples"]}) s'
+ORACLE["landed_performance"] = ORACLE["ingest_archives"]
+ORACLE["landed_origination"] = ORACLE["ingest_origination"]
