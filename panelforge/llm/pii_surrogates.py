@@ -4,7 +4,10 @@ Entities (e-mail, IBAN, IPv4, social security number, payment card, phone, title
 are found by one pattern over the whole text. Every distinct entity (type, canonical form)
 gets one keyed surrogate of its type, so all its mentions in the corpus change alike,
 whatever their punctuation: digits and letters are replaced position by position, octets
-stay octets of the same width. A surrogate that another entity already has, or that is
+stay octets of the same width. Cards and IBANs with right check digits get surrogates with
+right check digits. A run of 13 to 19 digits without separators that fails the Luhn test is
+no card and stays; one with separators that fails it is replaced all the same, since it may
+hold other numbers. A surrogate that another entity already has, or that is
 itself somebody's entity, is rejected and drawn again with the next attempt, until all are
 distinct; after some attempts surrogates grow longer (addresses leave their octet widths),
 so a format with fewer surrogates than entities comes to an end as well.
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import materialize, pick
 
 # Entity patterns, in order of preference at one place of the text.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IBAN = r"(?<![\p{L}\d])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\d])"
 IPV4 = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\.?\d)"
 SSN = r"(?<![\p{L}\d-])\d{3}-\d{2}-\d{4}(?![\p{L}\d-])"
@@ -75,10 +78,26 @@ SYLLABLES = {
 }
 
 
+def luhn(digits: Column) -> Column:
+    """The Luhn sum modulo 10: 0 for a valid card number."""
+    def one(c, i):
+        v = c.cast("int")
+        return F.when(i % 2 == 0, v).otherwise(v * 2 - F.when(v > 4, 9).otherwise(0))
+    return F.aggregate(F.transform(F.split(F.reverse(digits), ""), one), F.lit(0), lambda a, x: a + x) % 10
+
+
+def mod97(iban: Column) -> Column:
+    """The remainder of an IBAN without spaces (country and check digits first): 1 if valid."""
+    turned = F.concat(F.substring(iban, F.lit(5), F.length(iban)), F.substring(iban, 1, 4))
+    return F.aggregate(F.split(turned, ""), F.lit(0), lambda a, c: F.when(
+        c.rlike("[0-9]"), a * 10 + F.ascii(c) - 48).otherwise(a * 100 + F.ascii(c) - 55) % 97)
+
+
 def kind_of(m: Column) -> Column:
+    """The entity's type; ``number`` for a run of digits that is no card."""
     return (F.when(m.contains("@"), "email").when(m.rlike(r"^[A-Z]{2}\d{2}"), "iban")
             .when(m.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}$"), "ip").when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-            .when(m.rlike(r"^\d(?:[ -]?\d){12,18}$"), "card").when(m.rlike(r"^[+(\d]"), "phone").otherwise("name"))
+            .when(m.rlike(r"^\d{13,19}$") & (luhn(m) != 0), "number").when(m.rlike(r"^\d(?:[ -]?\d){12,18}$"), "card").when(m.rlike(r"^[+(\d]"), "phone").otherwise("name"))
 
 
 def canonical(m: Column, kind: Column) -> Column:
@@ -162,10 +181,16 @@ def surrogate(kind: Column, canon: Column, style: Column, attempt: int, secret:
     host, at = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
     tld = F.substring_index(canon, ".", -1)
     labels = F.substring(canon, F.lit(1), F.length(canon) - F.length(tld))
+    bban = F.concat(_letters(F.expr("substring(canon, 5)"), full), digits)
+    check = F.lpad((98 - mod97(F.concat(F.substring(canon, 1, 2), F.lit("00"), bban))).cast("string"), 2, "0")
+    body = F.concat(F.substring(canon, 1, 1), _letters(F.expr("substring(canon, 2, length(canon) - 2)"), full), digits)
+    last = ((10 - luhn(F.concat(body, F.lit("0")))) % 10).cast("string")
     # the country digit of a phone and the issuer digit of a card stay
     return (F.when(kind == "email", F.concat(letters, _letters(host, full), F.lit("@"), at))
             .when(kind == "domain", F.concat(letters, _letters(labels, full), tld))
             .when(kind == "ip", _octets(canon, full, attempt)).when(kind == "name", _name(canon, style, full, attempt))
+            .when((kind == "iban") & (mod97(canon) == 1), F.concat(F.substring(canon, 1, 2), check, bban))
+            .when((kind == "card") & (luhn(canon) == 0), F.concat(body, last))
             .when(kind == "iban", F.concat(F.substring(canon, 1, 2), _letters(F.expr("substring(canon, 3)"), full), digits))
             .when(kind.isin("card", "phone"), F.concat(F.substring(canon, 1, 1),
                                                        _letters(F.expr("substring(canon, 2)"), full), digits))
@@ -248,9 +273,9 @@ def dictionary(spark: SparkSession, entities: DataFrame, secret: str) -> DataFra
         mails.select("kind", "canon", F.concat(F.substring_index("new", "@", 1), F.lit("@"), "to")))
 
 
-def replace_pii(spark: SparkSession, docs: DataFrame, secret: str = "corpus-key", id_col: str = "doc_id",
+def replace_pii(spark: SparkSession, docs: DataFrame, secret: str, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, text with surrogates, n_entities, and one count per type
+    """``secret`` keys the surrogates: who knows it can test guesses, so keep it apart. One row per document: doc_id, text with surrogates, n_entities, and one count per type
     (n_email, n_iban, n_ip, n_ssn, n_card, n_phone, n_name). Untitled mentions aren't counted."""
     d = pick(docs, doc_id=id_col, text=text_col)
     # the texts with entities, once, with what was found
@@ -260,7 +285,7 @@ def replace_pii(spark: SparkSession, docs: DataFrame, secret: str = "corpus-key"
     keys = materialize(spark, d.where("size(found) > 0").select("doc_id", "content", F.array_distinct("found").alias("found"))
                        .distinct(), "pii-found")
     mentions = keys.select("doc_id", "content", F.explode("found").alias("mention"))
-    mentions = mentions.withColumn("kind", kind_of(F.col("mention")))
+    mentions = mentions.withColumn("kind", kind_of(F.col("mention"))).where("kind <> 'number'")
     plain = F.array(F.struct(canonical(F.col("mention"), F.col("kind")).alias("canon"), F.lit(None).cast("string").alias("style")))
     mentions = mentions.withColumn("part", F.explode(F.when(F.col("kind") == "name", name_parts(F.col("mention")))
                                                      .otherwise(plain))).select("doc_id", "content", "mention", "kind", "part.*")
@@ -269,7 +294,7 @@ def replace_pii(spark: SparkSession, docs: DataFrame, secret: str = "corpus-key"
         "put", render(F.col("mention"), F.col("kind"), F.col("new")))
     maps = new.groupBy("doc_id", "content").agg(F.map_from_entries(F.collect_set(F.struct("mention", "put"))).alias("puts"))
     maps = maps.toDF("map_id", "map_content", "puts")
-    # a document whose names are initials only has no map
+    # a document with no more than initials or plain numbers has no map
     hit = d.where("size(found) > 0").join(maps, F.col("doc_id").eqNullSafe(F.col("map_id")) &
                                           (F.col("content") == F.col("map_content")), "left").withColumn(
         "puts", F.coalesce("puts", F.create_map().cast("map<string,string>")))
@@ -279,12 +304,13 @@ def replace_pii(spark: SparkSession, docs: DataFrame, secret: str = "corpus-key"
                     ).otherwise(pieces)
     text = F.concat(F.array_join(F.transform("found", lambda m, i: F.concat(
         F.element_at("pieces", i + 1), F.when(kind_of(m) == "name", _full_name(m, puts, secret))
-        .otherwise(F.element_at(puts, m)))), ""), F.element_at("pieces", -1))
+        .when(kind_of(m) == "number", m).otherwise(F.element_at(puts, m)))), ""), F.element_at("pieces", -1))
     hit = hit.withColumn("pieces", pieces)
     kinds = F.transform("found", kind_of)
     counts = [(F.size("found") - F.size(F.array_remove(kinds, n))).cast("long").alias(f"n_{n}")
               for n in ("email", "iban", "ip", "ssn", "card", "phone", "name")]
-    done = hit.select("doc_id", text.alias("text"), F.size("found").cast("long").alias("n_entities"), *counts)
+    entities = F.size(F.array_remove(kinds, "number")).cast("long").alias("n_entities")
+    done = hit.select("doc_id", text.alias("text"), entities, *counts)
     clean = d.where("size(found) = 0").select("doc_id", "text", F.lit(0).cast("long").alias("n_entities"),
                                               *[F.lit(0).cast("long").alias(c) for c in done.columns[3:]])
     return done.union(clean)

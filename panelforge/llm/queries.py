@@ -36,7 +36,7 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii_surrogates.replace_pii(spark, table(spark, sf_dir, "documents"))
+    return pii_surrogates.replace_pii(spark, table(spark, sf_dir, "documents"), "key of this query")
 
 
 def op5_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
