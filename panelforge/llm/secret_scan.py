@@ -36,7 +36,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: Further candidates, reported only when live-looking: long mixed tokens, URL passwords.
 MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
-URL_PASSWORD = re.compile(r"://[^\s:@/]{1,64}:([^\s:@/]{6,128})@")
+URL_PASSWORD = re.compile(r"://[^\s:@/]++:([^\s:@/]{6,}+)@")
 KINDS = ("assign", "access", "hex", "live")
 
 

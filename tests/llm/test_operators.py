@@ -234,6 +234,13 @@ def test_secrets(spark, empty):
     assert secret_scan.scan(spark, empty).count() == 0
 
 
+def test_url_passwords_of_any_length():
+    rng = random.Random(3)
+    word = "".join(rng.choice("abcdefghijABCDEFGHIJ0123456789") for _ in range(400))
+    for user, password in (("u" * 90, word[:135]), ("me", word), ("me", word[:6])):
+        assert password in [m[1] for m in secret_scan.URL_PASSWORD.finditer(f"see ftp://{user}:{password}@host/x and ://")]
+
+
 def test_ownership_alone_decides_on_base_spans(spark):
     letters = "AKIA" + "QWERTYUIOPASDFGH"
     rows = [(1, f"id {letters} end", "a"), (2, "password = correcthorsebattery", "a"), (3, "x " + "7" * 30 + " y", "b"),
@@ -253,7 +260,7 @@ def test_surrogates(spark, empty):
     rows = [(1, t, 0), (1, t, 0), (2, "again a@b.com 10.0.0.2", 0), (3, None, 0), (4, "", 0), (5, "clean 4.0. text", 0)]
     rows += [(10 + i, f"ip 1.1.1.{i}", 0) for i in range(9)]
     df = spark.createDataFrame(rows, "doc_id long, text string, kind int")
-    out = pii_surrogates.replace_pii(spark, df)
+    out = pii_surrogates.replace_pii(spark, df, "k")
     got = _unique(out)
     one = got[1].text
     for leaked in ("A@b.com", "a@B.COM", "Smith", "555-6503", "10.0.0.1", "4041894974608795"):
@@ -267,8 +274,8 @@ def test_surrogates(spark, empty):
     octets = [got[10 + i].text for i in range(9)]
     assert len(set(octets)) == 9 and all(re.fullmatch(r"ip \d\.\d\.\d\.\d", x) for x in octets)
     assert got[3].text is None and got[4].text == "" and got[5].text == "clean 4.0. text" and out.count() == len(rows)
-    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, pii_surrogates.replace_pii(spark, df).collect()), key=str)
-    assert pii_surrogates.replace_pii(spark, empty).count() == 0
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, pii_surrogates.replace_pii(spark, df, "k").collect()), key=str)
+    assert pii_surrogates.replace_pii(spark, empty, "k").count() == 0
 
 
 def test_whole_names_and_their_untitled_mentions(spark):
@@ -276,7 +283,7 @@ def test_whole_names_and_their_untitled_mentions(spark):
          "Later Anna Smith, SMITH, Smithers and Schmidt left; Müller, McDonald's and O’Neill stayed. Herr van der Berg I saw.")
     rows = [(1, t), (2, "Smith, the smith"), (3, "Prof. Smith; Mr John Smith. John"), (4, "Mr J. 5")]
     got = {i: r.text for i, r in _unique(pii_surrogates.replace_pii(spark, spark.createDataFrame(
-        rows, "doc_id long, text string"))).items()}
+        rows, "doc_id long, text string"), "k")).items()}
     one = got[1]
     for leaked in ("Donald", "Carthy", "Anna", "Maria", "Schmidt", "Lange", "Müller", "Neill", "J.", "Smith,", "SMITH", "Berg"):
         assert leaked not in one, leaked
@@ -295,6 +302,54 @@ def test_whole_names_and_their_untitled_mentions(spark):
     assert re.fullmatch(r"Mr [A-Z]\. 5", got[4]) and got[4] != "Mr J. 5"
 
 
+def _luhn(digits):
+    twice = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+    return sum(v - 9 * (v > 9) for v in twice) % 10 == 0
+
+
+def _iban(x):
+    x = x.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
+
+
+def test_check_digits_and_long_addresses(spark):
+    """Valid numbers stay valid, other long numbers stay, addresses of any length are replaced
+    whole, nulls and ties and very long texts come through; distinct and coreferent."""
+    rng = random.Random(4)
+    cards = [d for d in ("4" + "".join(rng.choice("0123456789") for _ in range(rng.randint(12, 18))) for _ in range(900))
+             if _luhn(d)]
+    ibans = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "FR14 2004 1010 0505 0001 3M02 606"]
+    long_mail, dots = "x" * 70 + "@" + "y" * 70 + ".org", "joe@a.b.c.d.e.f.g.h.i.jkl.mno"
+    assert len(cards) > 50 and all(map(_iban, ibans)) and not _luhn("1234567890123")
+    rows = [(i, f"pay {c} or {c[:4]} {c[4:]} now", "x") for i, c in enumerate(cards)]
+    rows += [(1000 + i, f"to {x}, {x.replace(' ', '')}.", "x") for i, x in enumerate(ibans)]
+    rows += [(2000, "order 1234567890123 and 1234-5678-90123 left", "x"), (2001, f"<{long_mail}> <{dots}>", "x"),
+             (2002, "DE00 3704 0044 0532 0130 00", "x"), (None, f"pay {cards[0]}", "x"), (2003, "w " * 300_000 + cards[0], "x"),
+             (2004, "j@" + "a." * 30_000 + "com", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, TEXT string")
+    out = pii_surrogates.replace_pii(spark, df, "k").collect()
+    got = {r.doc_id: r for r in out}
+    assert len(out) == len(rows)
+    new = []
+    for i, c in enumerate(cards):
+        a, b = got[i].text[4:-4].split(" or ")
+        assert a == b.replace(" ", "") and len(a) == len(c) and a[0] == "4" and a != c and _luhn(a), (c, a, b)
+        new.append(a)
+    assert len(set(new)) == len(set(cards))
+    for i, x in enumerate(ibans):
+        a, b = got[1000 + i].text[3:-1].split(", ")
+        assert a.replace(" ", "") == b and _iban(a) and a[:2] == x[:2] and a != x
+        assert [c == " " for c in a] == [c == " " for c in x] and [c.isdigit() for c in a] == [c.isdigit() for c in x]
+    assert got[2000].text.startswith("order 1234567890123 and ") and "1234-5678-90123" not in got[2000].text
+    assert (got[2000].n_card, got[2000].n_entities) == (1, 1)
+    for part in ("xxx", "yyy", "jkl", "joe"):
+        assert part not in got[2001].text
+    assert got[2001].text.endswith(".mno>") and got[2001].n_email == 2
+    assert got[2002].text[:2] == "DE" and got[2002].text != rows[-4][1]
+    assert got[None].text == f"pay {new[0]}" and got[2003].text == "w " * 300_000 + new[0]
+    assert got[2004].n_email == 1 and "a.a." not in got[2004].text
+
+
 def test_full_format_classes_come_to_an_end(spark):
     mails = [(c, f"{c}@b.co") for c in "abcdefghijklmnopqrstuvwxyz"] + [(c, f"{c}@d.co") for c in "abcdefghijklmnopqrstuvwxyz"]
     phones = [f"+1{i:04d}" for i in range(0, 10000, 7)]
