@@ -57,6 +57,29 @@ def test_one_file_per_trigger_and_late_archives_lose_nothing(spark, tmpdir_path)
     assert 0 < early < spark.read.parquet(out).count() and _same(spark.read.parquet(out), _expected(spark))
 
 
+def test_archives_are_read_once_and_due_vintages_survive_a_failure(spark, tmpdir_path, monkeypatch):
+    from panelforge.streaming import incremental
+    arch, out, ck = tmpdir_path + "/arch", tmpdir_path + "/processed", tmpdir_path + "/ck"
+    _write(spark, arch + "/a", [1, 2], "cast(Loan_Num as long) < 100")
+    _write(spark, arch + "/b", [1, 2], "cast(Loan_Num as long) >= 100")
+    read, whole = [], incremental._process_vintages
+
+    def process(spark_, dir_, vintages, path):
+        done = [tuple(r) for r in vintages.collect()]
+        read.extend(done)
+        if (2015, 2) in done and read.count((2015, 2)) == 1:
+            raise RuntimeError("lost")
+        whole(spark_, dir_, vintages, path)
+
+    monkeypatch.setattr(incremental, "_process_vintages", process)
+    with pytest.raises(Exception, match="lost"):
+        process_new_archives(spark, arch + "/*", out, ck, max_files_per_trigger=1)
+    process_new_archives(spark, arch + "/*", out, ck, max_files_per_trigger=1)
+    assert read.count((2015, 1)) == 1 and read.count((2015, 2)) == 2    # eight archives and more
+    exp = _expected(spark).where("cast(Loan_Num as long) % 4 < 2")
+    assert _same(spark.read.parquet(out), exp)
+
+
 def test_stage_control(spark, tmpdir_path):
     arch, out = tmpdir_path + "/arch", tmpdir_path + "/processed"
     _write(spark, arch, [1, 2])
