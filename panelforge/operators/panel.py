@@ -120,9 +120,10 @@ def zip_default_rate(panel: DataFrame, scope=("Year", "Quarter"), zip_col: str =
     lies in (t - 12 months, t]; rows of other loans in the same month are included.
     A null ZIP is its own group.
 
-    The rate table has one row per scope, ZIP and month; the planner and AQE broadcast it by
-    its measured bytes, or join by sort-merge with hot ZIP-months split. ``panel`` is read
-    twice, so callers pass a written table.
+    The rate table has one row per scope, ZIP and month. It is written first, so that the
+    planner knows its bytes: a small one is broadcast and the panel's rows stay where they are
+    (with its size unknown they were all shuffled before AQE saw it), a large one is joined by
+    sort-merge with hot ZIP-months split. ``panel`` is read twice, so callers pass a written table.
 
     The label looks 12 months ahead, so the default rate of month t uses outcomes after
     t (as the reference computes it). ``lag_months=12`` attaches to month t the rate of
@@ -138,6 +139,10 @@ def zip_default_rate(panel: DataFrame, scope=("Year", "Quarter"), zip_col: str =
         *[F.col(k).alias("_r_" + k) for k in keys], rate_month.alias("_r_" + month),
         (_trailing(F.sum, F.col("_s"), w12, first, month).cast("double")
          / _trailing(F.sum, F.col("_n"), w12, first, month).cast("double")).alias(out))
+    from ..session import scratch_path
+    path = scratch_path(panel.sparkSession, "zip-rates")
+    rates.write.parquet(path)
+    rates = panel.sparkSession.read.parquet(path)
     cond = [panel[k].eqNullSafe(rates["_r_" + k]) for k in keys + [month]]
     return panel.join(rates, cond, "left").drop(*["_r_" + k for k in keys + [month]])
 

@@ -26,11 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _yyyymm(c) -> Column:
-    """Timestamp -> 'YYYYMM' from integer parts (cheaper than a date formatter)."""
-    return (F.year(c) * 100 + F.month(c)).cast("string")
-
-
 def _pick(key: Column, values: list) -> Column:
     """values[key] for key in 0..len-1 as a CASE expression."""
     e = None
@@ -51,8 +46,12 @@ def _conform(df: DataFrame, schema) -> DataFrame:
 
 
 def raw_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    g = (li.groupBy(F.col("l_partkey"), _yyyymm("l_shipdate").alias("Month"))
+    # dealt by loan as narrow lines: the panel's windows over a loan need no second shuffle
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").cast("string").alias("Loan_Num"), "l_partkey",
+        (F.year("l_shipdate") * 100 + F.month("l_shipdate")).alias("_ym"), "l_extendedprice", "l_returnflag",
+        "l_linenumber", "l_quantity", "l_tax", "l_discount").repartition("Loan_Num")
+    g = (li.groupBy("Loan_Num", "l_partkey", F.col("_ym").cast("string").alias("Month"))
          .agg(_dec_sum("l_extendedprice").alias("Current_Actual_UPB"),
               F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("_r"),
               F.min("l_linenumber").alias("_mnl"), F.max("l_linenumber").alias("_mxl"),
@@ -69,7 +68,7 @@ def raw_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     zbc = (F.when((F.col("l_partkey") % 97 == 0) & (F.col("_mnq") <= 2), "96")
            .when(F.col("_mnq") >= 49, "03").when(F.col("_mnq") >= 48, "01"))
     out = g.select(
-        F.col("l_partkey").cast("string").alias("Loan_Num"), "Month", "Current_Actual_UPB",
+        "Loan_Num", "Month", "Current_Actual_UPB",
         status.alias("Current_Delinquency_Status"),
         F.col("_mxl").cast("int").alias("Loan_Age"),
         (F.col("_n") - 1).cast("int").alias("Months_to_Maturity"),

@@ -35,6 +35,28 @@ def test_panel_plan_shape(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_rates_join_leaves_the_panel_where_it_is(spark):
+    """The rates' size is known to the planner, whatever the panel's size."""
+    from pyspark.sql import functions as F
+    from panelforge.operators.panel import zip_default_rate
+    panel = spark.range(40000).selectExpr(
+        "2015 Year", "1 Quarter", "cast(id % 3 as string) ZIP_Code", "last_day(add_months(date'2016-01-31', cast(id % 30 as int))) Month",
+        "cast(id % 2 as int) Default", "uuid() wide")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "60000")  # less than the panel, more than the rates
+    try:
+        p = _plan(zip_default_rate(panel))
+        assert "BroadcastHashJoin" in p and "Exchange hashpartitioning" not in p, p
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_raw_performance_is_shuffled_by_loan_once(spark):
+    _, perf = PL.loan_tables(spark, "/root/testdata/sf0.001")
+    assert _plan(label_and_lookback(perf)).count("Exchange ") == 1
+
+
 def test_processed_table_partition_pruning(spark, tmpdir_path):
     orig, perf = PL.loan_tables(spark, "/root/testdata/sf0.001")
     PL.run_process(spark, orig, perf, tmpdir_path + "/processed")
