@@ -9,20 +9,26 @@ elements): every link lies in a tile, and unrelated documents hardly ever share
 with more occupied parts than elements can differ shares an occupied one, so its empty parts
 make no tile; the lower the threshold, the more parts a band has beyond the least number.
 
-Inside the tiles the links that components need are found in two rounds:
+Inside the tiles the links that components need are found in rounds:
 
 1. every member is compared with one leader, the smallest member of the tiles it shares
    most often, and the links give first components;
-2. tiles whose members are in different components compare members of different components.
+2. in tiles whose members are in different components, every member is compared with the few
+   nearest of other components in its block and the next one, and the links join components
+   (``ROUNDS`` times, or until there is none);
+3. tiles whose members are still in different components compare all members of different ones.
 
 All pairs left out lie within one component, so no component is missed and no pairs of a
-large group of copies are expanded. Before the exact intersection of the sorted arrays
+large group of copies are expanded; a group of near copies meets as one component in round 3. Before the exact intersection of the sorted arrays
 every pair passes the bound: sizes a, b with bitmaps that differ in x bits share at most
-(a + b - x) / 2 elements. In round 2 the bound is computed on blocks of at most ``BLOCK`` members
+(a + b - x) / 2 elements. In rounds 2 and 3 the bound is computed on blocks of at most ``BLOCK`` members
 of a tile against each other, as whole matrices, and only pairs that pass it become rows.
-The tiles carry bitmaps of 512 bits, which sets of many more elements fill. Distinct pairs that
+Near copies share many tiles; a member brings its ``LOWEST`` smallest ones along, and a pair
+that shares a smaller tile than the present one is left to that one, so hardly any pair comes twice.
+The tiles carry bitmaps of 512 bits, which sets of many more elements fill. Pairs that
 pass them meet the bound again on bitmaps as wide as the sets, of 2 to 4 bits an element (the wider
-one folded to the other's width), and only texts of pairs that pass those too are read.
+one folded to the other's width): in the tile where both members carry theirs (folded to ``CARRIED``
+bytes, in their smallest tiles), then as distinct rows. Only texts of pairs that pass those too are read.
 
 Tiles are made for one row of each distinct set. Their hashes, cut to 40 bits, are counted first;
 a bitmap of those met twice then drops all other tiles before any (tile, set) row is shuffled.
@@ -50,6 +56,9 @@ from .components import connected_components
 THRESHOLD = (9, 10)  # op10's contract, as a fraction
 WORDS = 8  # 64-bit words of a bitmap
 BLOCK = 512  # members of a tile that a task compares at a time
+ROUNDS, NEAREST = 2, 4  # of round 2, and members that a member is compared with there
+LOWEST = 8  # tiles of a member by which a pair is left to one of the tiles it shares
+CARRIED = 512  # bytes of a wide bitmap that goes into a member's smallest tiles
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S = np.uint64(33)
 
@@ -285,20 +294,52 @@ def shared_cells(spark: SparkSession, sets: DataFrame, reps: DataFrame) -> DataF
     return materialize(spark, some.join(met, "tile", "left_semi"), "jaccard-cells")
 
 
-def open_pairs(members: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+def open_pairs(members: DataFrame, threshold: tuple[int, int], nearest: int | None = None) -> DataFrame:
     """Pairs (a, b) of different components in a tile that the bound allows, of ``members(tile,
     rep, component, n, m0..)``. A tile is cut into blocks of about ``BLOCK`` members and every
-    two blocks meet in a group of their own."""
+    two blocks meet in a group of their own. With the columns of ``with_lowest`` a pair is given by
+    one of its tiles (by several only if they share none of their smallest ones). With ``nearest`` a
+    block meets itself and the next only, and gives each member's ``nearest`` pairs of least bits apart."""
     (p, q), names = threshold, [f"m{i}" for i in range(WORDS)]
+    lows = [c for c in (f"low{i}" for i in range(LOWEST)) if c in members.columns]
+    more = lows + ["wide"] if lows else []
     blocks = members.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     cut = members.join(blocks, "tile").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    cut = cut.withColumn("other", other).select(
+    if nearest is None:
+        other = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    else:  # a block is the second one of the pair with the block before it
+        other = F.array_distinct(F.array("block", F.pmod(F.col("block") + 1, F.col("blocks")),
+                                         F.pmod(F.col("block") - 1, F.col("blocks"))))
+    cut = cut.withColumn("other", F.explode(other)).select(
         "tile", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component",
-        "n", *names)
+        "n", *names, *more)
     dealt = cut.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j")
 
-    def pairs(key, block, rep, component, n, maps):
+    def elsewhere(tile, low, left, right):
+        """Pairs that share a tile smaller than ``tile`` among the smallest ones of both."""
+        out = np.zeros(len(left), bool)
+        for at in range(0, len(left), 1 << 15):
+            x, y = low[left[at: at + (1 << 15)]], low[right[at: at + (1 << 15)]]
+            out[at: at + (1 << 15)] = ((x[:, :, None] == y[:, None, :]) & (x < tile)[:, :, None]).any((1, 2))
+        return out
+
+    def near(n, wide, left, right):
+        """Pairs that the bound on the wide bitmaps doesn't rule out."""
+        size = (n[left] + n[right]).tolist()
+        return np.array([v is None or w is None or (s - bits_apart(v, w)) * (q + p) >= s * 2 * p
+                         for s, v, w in zip(size, wide[left], wide[right])], bool)
+
+    def closest(apart, left, right):
+        """Pairs that are among the ``nearest`` of one of their members."""
+        out = np.zeros(len(left), bool)
+        for member in (left, right):
+            order = np.lexsort((apart, member))
+            starts = np.flatnonzero(np.r_[True, np.diff(member[order]) != 0][:len(order)])
+            place = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
+            out[order[place < nearest]] = True
+        return out
+
+    def pairs(key, block, rep, component, n, maps, low=None, wide=None):
         left, right = (np.flatnonzero(block == key[1]), np.flatnonzero(block == key[2]))
         a, b = n[left][:, None], n[right][None, :]
         apart = np.zeros((len(left), len(right)), np.int64)
@@ -307,9 +348,20 @@ def open_pairs(members: DataFrame, threshold: tuple[int, int]) -> DataFrame:
         ok = (np.minimum(a, b) * q >= np.maximum(a, b) * p) & ((a + b - apart) * (q + p) >= (a + b) * (2 * p))
         ok &= component[left][:, None] != component[right][None, :]
         x, y = np.nonzero(ok)
-        x, y = rep[left][x], rep[right][y]
-        once = x < y if key[1] == key[2] else np.ones(len(x), bool)
-        return np.minimum(x, y)[once], np.maximum(x, y)[once]
+        apart = apart[x, y]
+        x, y = left[x], right[y]
+        if key[1] == key[2]:
+            once = rep[x] < rep[y]
+            x, y, apart = x[once], y[once], apart[once]
+        if low is not None:
+            here = ~elsewhere(key[0], low, x, y)
+            x, y, apart = x[here], y[here], apart[here]
+            here = near(n, wide, x, y)
+            x, y, apart = x[here], y[here], apart[here]
+        if nearest is not None:
+            here = closest(apart, x, y)
+            x, y = x[here], y[here]
+        return np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y])
 
     def run(batches):
         held = None  # the rows of the last group may go on in the next batch
@@ -324,17 +376,37 @@ def open_pairs(members: DataFrame, threshold: tuple[int, int]) -> DataFrame:
             yield from compared(held, keys, [0, held.num_rows])
 
     def compared(table, keys, bounds):
-        cols = [table.column(i).to_numpy() for i in range(3, table.num_columns)]
+        cols = [table.column(i).to_numpy() for i in range(3, 7 + WORDS)]
+        low = np.stack([table.column(c).to_numpy() for c in lows], 1) if lows else None
         out = []
         for a, b in zip(bounds[:-1], bounds[1:]):
             part = [c[a:b] for c in cols]
-            out.append(pairs(keys[a], part[0], part[1], part[2], part[3], [m.view(np.uint64) for m in part[4:]]))
+            also = () if low is None else (low[a:b], table.column("wide").slice(a, b - a).to_numpy())
+            out.append(pairs(keys[a], part[0], part[1], part[2], part[3], [m.view(np.uint64) for m in part[4:]], *also))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[k] for o in out])) for k in (0, 1)], names=["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def with_lowest(members: DataFrame, wide: DataFrame) -> DataFrame:
+    """``members(tile, rep, ...)`` with low0.. (the smallest tiles of the rep in the table, filled
+    up with the greatest long) and wide, the bitmap of ``wide(rep, wide)`` folded to ``CARRIED``
+    bytes at most, if the tile is one of them."""
+    def fold(batches):
+        for batch in batches:
+            maps = [np.frombuffer(w.as_buffer(), np.uint64) for w in batch.column(1)]
+            short = [m.tobytes() if m.nbytes <= CARRIED else np.bitwise_or.reduce(m.reshape(-1, CARRIED // 8), 0).tobytes() for m in maps]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, pa.binary())], names=["rep", "w"])
+
+    filled = F.array_repeat(F.lit((1 << 63) - 1).cast("long"), LOWEST)
+    low = members.groupBy("rep").agg(F.concat(F.slice(F.array_sort(F.collect_set("tile")), 1, LOWEST), filled).alias("low"))
+    short = low.join(wide.select("rep", "wide").mapInArrow(fold, "rep long, w binary"), "rep", "left")
+    out = members.join(short, "rep")
+    carried = F.when(F.array_contains(F.slice("low", 1, LOWEST), F.col("tile")), F.col("w"))
+    return out.select(*members.columns, *[F.col("low")[i].alias(f"low{i}") for i in range(LOWEST)], carried.alias("wide"))
+
+
 def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
                     text_col: str = "text", threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by
@@ -369,14 +441,26 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = 3, id_c
     links = _verify(spark, fits(best), wide, docs, sets, shingle, threshold)
     first = materialize(spark, connected_components(spark, links), "jaccard-first")
 
-    # round 2: what lies in tiles with several components, against the other components
-    placed = cells.join(first.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn(
-        "component", F.coalesce("component", "rep"))
-    several = placed.groupBy("tile").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    open_ = placed.join(several.select("tile"), "tile", "left_semi").join(
-        _prefixed(maps, "").withColumnRenamed("id", "rep"), "rep").select(
-        "tile", "rep", "component", "n", *[f"m{i}" for i in range(WORDS)])
-    more = materialize(spark, open_pairs(materialize(spark, open_, "jaccard-open"), threshold), "jaccard-more").distinct()
+    def open_members(placed: DataFrame) -> DataFrame:
+        """What lies in tiles with several components of ``placed(id, component)``."""
+        at = cells.join(placed.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn(
+            "component", F.coalesce("component", "rep"))
+        several = at.groupBy("tile").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+        at = materialize(spark, at.join(several.select("tile"), "tile", "left_semi"), "jaccard-several")
+        return materialize(spark, with_lowest(at, wide).join(_prefixed(maps, "").withColumnRenamed("id", "rep"), "rep"), "jaccard-open")
+
+    # round 2: nearest members of other components, while that joins any
+    open_ = open_members(first)
+    for _ in range(ROUNDS):
+        near = materialize(spark, open_pairs(open_, threshold, NEAREST), "jaccard-near").distinct()
+        found = _verify(spark, near, wide, docs, sets, shingle, threshold)
+        if found.isEmpty():
+            break
+        links = links.union(found)
+        open_ = open_members(materialize(spark, connected_components(spark, links), "jaccard-joined"))
+
+    # round 3: what lies in tiles with several components, against the other components
+    more = materialize(spark, open_pairs(open_, threshold), "jaccard-more").distinct()
     links = links.union(_verify(spark, more, wide, docs, sets, shingle, threshold))
 
     # sets of one doc_id are linked; classes are named by their smallest doc_id

@@ -624,6 +624,36 @@ def test_open_pairs_are_those_within_the_bound(spark, monkeypatch):
     assert got == sorted(want) and 20 < len(want) < 600
 
 
+def test_pairs_of_near_copies_come_once_and_grow_with_the_group(spark, monkeypatch):
+    """One group in which a third of all pairs are links: no pair of two components for each."""
+    def rows_made(size):
+        rng = random.Random(23)
+        base = ["w%d" % rng.randrange(5000) for _ in range(150)]
+        texts = []
+        for _ in range(size):
+            words = list(base)
+            for _ in range(rng.choice((2, 2, 3))):
+                words[rng.randrange(len(words))] = "v%d" % rng.randrange(10 ** 6)
+            texts.append(" ".join(words))
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        made, first = [], jaccard_tiles.open_pairs
+        with monkeypatch.context() as m:
+            m.setattr(jaccard_tiles, "open_pairs", lambda *a: made.append(first(*a)) or made[-1])
+            got = {r.doc_id: r.component_id for r in jaccard_tiles.jaccard_classes(spark, df).collect()}
+        sets = [{tuple(t.split()[i:i + 3]) for i in range(148)} for t in texts]
+        root = list(range(size))
+        for i in range(size):
+            for j in range(i):
+                x, y = sets[i], sets[j]
+                if 100 * len(x & y) >= 90 * len(x | y) and root[i] != root[j]:
+                    old, new = max(root[i], root[j]), min(root[i], root[j])
+                    root = [new if r == old else r for r in root]
+        assert got == dict(enumerate(root))
+        return sum(d.count() for d in made)
+
+    assert rows_made(160) < 20 * 160     # 12,720 pairs, each in several tiles
+
+
 def test_documents_that_share_a_passage_make_no_pairs(spark, monkeypatch):
     """The rows that round 2 makes don't grow with the square of the documents of a passage."""
     rng = random.Random(22)
