@@ -70,10 +70,38 @@ def windows(codes: np.ndarray, order: int, salt: int, held: list[np.ndarray]):
     return at, keys
 
 
-def _merged(keys: list, counts: list):
-    keys, counts = np.concatenate(keys), np.concatenate(counts)
-    u, back = np.unique(keys, return_inverse=True)
-    return u, np.bincount(back, counts, len(u)).astype(np.int64)
+def merged_counts(found, limit: int = 1 << 22):
+    """(keys, counts) of the uint64 arrays ``found`` of keys below 2 ** 40, merged ``limit`` at a
+    time: a key and its count share a word of one buffer, which is sorted in place, so a task holds
+    little more than that buffer."""
+    held, size, low = np.empty(limit, np.uint64), 0, np.uint64(24)
+
+    def out():
+        part = held[:size]
+        part.sort()
+        keys = part >> low
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        part &= np.uint64((1 << 24) - 1)
+        return keys[first].view(np.int64), np.add.reduceat(part, first).view(np.int64)
+
+    for keys in found:
+        u, c = np.unique(keys, return_counts=True)
+        if len(u) and u[-1] >> np.uint64(40):
+            raise ValueError("a key of more than 40 bits")
+        many = c >= 1 << 24  # doesn't fit beside its key
+        if many.any():
+            yield u[many].view(np.int64), c[many]
+            u, c = u[~many], c[~many]
+        words = (u << low) | c.astype(np.uint64)
+        while len(words):
+            taken = min(limit - size, len(words))
+            held[size: size + taken] = words[:taken]
+            size, words = size + taken, words[taken:]
+            if size == limit:
+                yield out()
+                size = 0
+    if size:
+        yield out()
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -145,25 +173,11 @@ def count_hashes(coded: DataFrame, order: int, held, width: int = 40) -> DataFra
     mask = np.uint64((1 << width) - 1)
 
     def run(batches):
-        keys, counts, size = [], [], 0
         maps = [m and m.value for m in held]
-
-        def out():
-            u, c = _merged(keys, counts)
-            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(c)], names=["h", "c"])
-
-        for batch in batches:
-            for lang, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = windows(np.frombuffer(raw.as_buffer(), np.uint32), order, _salt(lang), maps)[1]
-                u, c = np.unique(found & mask, return_counts=True)
-                keys.append(u)
-                counts.append(c)
-                size += len(u)
-                if size > 4_000_000:
-                    yield out()
-                    keys, counts, size = [], [], 0
-        if keys:
-            yield out()
+        found = (windows(np.frombuffer(raw.as_buffer(), np.uint32), order, _salt(lang), maps)[1] & mask
+                 for batch in batches for lang, raw in zip(batch.column(0).to_pylist(), batch.column(1)))
+        for keys, counts in merged_counts(found):
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["h", "c"])
 
     return coded.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 

@@ -237,3 +237,25 @@ def test_collocations_of_a_long_text(spark):
     rows = [(1, "one two three " * 40_000, "en", 1, "x", 2, 3), (2, "one two", "en", 1, "x", 2, 3)]
     got = {r.phrase: r for r in collocations.collocations(spark, spark.createDataFrame(rows, DDL)).collect()}
     assert got["one two three one two"].a == 39_999 and "two three" not in got and "three one" not in got
+
+
+def test_hash_counts_are_merged_in_little_memory():
+    import tracemalloc
+    rng = np.random.default_rng(24)
+    keys = [rng.integers(0, 1 << 40, 20_000, np.uint64) >> np.uint64(rng.integers(0, 30)) for _ in range(60)]
+    want = dict(zip(*(x.tolist() for x in np.unique(np.concatenate(keys), return_counts=True))))
+    for limit in (1 << 18, 999):
+        got = {}
+        for u, c in collocations.merged_counts(iter(keys), limit):
+            for k, n in zip(u.tolist(), c.tolist()):
+                got[k] = got.get(k, 0) + n
+        assert got == want
+    many = np.full((1 << 24) + 3, 7, np.uint64)
+    assert [(u.tolist(), c.tolist()) for u, c in collocations.merged_counts(iter([many]), 10)] == [([7], [len(many)])]
+    rows = (rng.integers(0, 1 << 40, 1 << 14, np.uint64) for _ in range(64))
+    tracemalloc.start()
+    for _ in collocations.merged_counts(rows, 1 << 20):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6 * 8 << 20, peak      # lists of keys and counts, merged by inverse: 11 words a key
