@@ -20,12 +20,12 @@ Inside the tiles the links that components need are found in rounds:
 
 All pairs left out lie within one component, so no component is missed and no pairs of a
 large group of copies are expanded; a group of near copies meets as one component in round 3. Before the exact intersection of the sorted arrays
-every pair passes the bound: sizes a, b with bitmaps that differ in x bits share at most
+every pair passes the bound: sizes a, b with bitmaps (of parities) that differ in x bits share at most
 (a + b - x) / 2 elements. In rounds 2 and 3 the bound is computed on blocks of at most ``BLOCK`` members
 of a tile against each other, as whole matrices, and only pairs that pass it become rows.
 Near copies share many tiles; a member brings its ``LOWEST`` smallest ones along, and a pair
 that shares a smaller tile than the present one is left to that one, so hardly any pair comes twice.
-The tiles carry bitmaps of 512 bits, which sets of many more elements fill. Pairs that
+The tiles carry bitmaps of 512 bits, too few for differences of more than some hundred elements. Pairs that
 pass them meet the bound again on bitmaps as wide as the sets, of 2 to 4 bits an element (the wider
 one folded to the other's width): in the tile where both members carry theirs (folded to ``CARRIED``
 bytes, in their smallest tiles), then as distinct rows. Only texts of pairs that pass those too are read.
@@ -133,19 +133,19 @@ def signatures(s: np.ndarray, threshold: tuple[int, int] = THRESHOLD) -> np.ndar
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    bits = np.zeros(64 * WORDS, np.uint8)
-    bits[(s & np.uint64(64 * WORDS - 1)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").view(np.int64)
+    """Whether a cell holds an odd number of the elements. Shared elements cancel where two of these
+    differ, so every such bit stands for an element that only one of the sets has."""
+    held = np.bincount((s & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS)
+    return np.packbits((held & 1).astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def wide_bitmap(s: np.ndarray) -> bytes | None:
-    """A bitmap of the power of two of bits from 2 an element on; none for sets that ``bitmap`` serves."""
+    """Such a bitmap of the power of two of bits from 2 an element on; none for sets that ``bitmap`` serves."""
     if 2 * len(s) <= 64 * WORDS:
         return None
     cells = 1 << (2 * len(s) - 1).bit_length()
-    bits = np.zeros(cells, np.uint8)
-    bits[(s & np.uint64(cells - 1)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").tobytes()
+    held = np.bincount((s & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.packbits((held & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
 def bits_apart(x: bytes, y: bytes) -> int:
@@ -153,7 +153,7 @@ def bits_apart(x: bytes, y: bytes) -> int:
     x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
     if len(x) < len(y):
         x, y = y, x
-    return int(np.bitwise_count(np.bitwise_or.reduce(x.reshape(-1, len(y)), 0) ^ y).sum())
+    return int(np.bitwise_count(np.bitwise_xor.reduce(x.reshape(-1, len(y)), 0) ^ y).sum())
 
 
 def describe(docs: DataFrame, shingle: int = 3, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
@@ -396,7 +396,7 @@ def with_lowest(members: DataFrame, wide: DataFrame) -> DataFrame:
     def fold(batches):
         for batch in batches:
             maps = [np.frombuffer(w.as_buffer(), np.uint64) for w in batch.column(1)]
-            short = [m.tobytes() if m.nbytes <= CARRIED else np.bitwise_or.reduce(m.reshape(-1, CARRIED // 8), 0).tobytes() for m in maps]
+            short = [m.tobytes() if m.nbytes <= CARRIED else np.bitwise_xor.reduce(m.reshape(-1, CARRIED // 8), 0).tobytes() for m in maps]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, pa.binary())], names=["rep", "w"])
 
     filled = F.array_repeat(F.lit((1 << 63) - 1).cast("long"), LOWEST)

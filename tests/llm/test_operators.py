@@ -706,3 +706,37 @@ def test_long_texts_read_only_where_the_wide_bound_allows(spark, monkeypatch):
                 exp = {k: new if v == old else v for k, v in exp.items()}
     assert got == exp and 0 < sum(exp[30 + i] == i for i in range(6)) < 6
     assert sum(out.distinct().count() for _, out in asked) <= 20 < sum(pairs.count() for pairs, _ in asked)
+
+
+def test_near_copies_that_hardly_miss_a_link_make_no_pairs(spark, monkeypatch):
+    """A group whose pairs all have a Jaccard of 0.86: bits of shared elements hide no difference."""
+    rng = random.Random(31)
+    base = ["w%d" % i for i in range(250)]
+    texts = []
+    for i in range(60):
+        words = list(base)
+        for k in range(3):
+            words[80 * k + rng.randrange(3, 77)] = f"v{i}_{k}"
+        texts.append(" ".join(words))
+    seen, first = [], jaccard_tiles.open_pairs
+    monkeypatch.setattr(jaccard_tiles, "open_pairs", lambda *a: seen.append(first(*a)) or seen[-1])
+    out = jaccard_tiles.jaccard_classes(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    sets = [{tuple(t.split()[i:i + 3]) for i in range(248)} for t in texts]
+    linked = {(i, j) for i in range(60) for j in range(i) if 10 * len(sets[i] & sets[j]) >= 9 * len(sets[i] | sets[j])}
+    names = {r.doc_id: r.component_id for r in out.collect()}
+    assert all(names[i] == names[j] for i, j in linked) and len(set(names.values())) > 40
+    assert seen[-1].distinct().count() < 90      # of 1,770 pairs
+
+
+def test_bitmaps_see_the_differences_of_long_sets():
+    rng = np.random.default_rng(9)
+    for n in (200, 600, 2000):
+        for part in (0.9, 0.8):
+            d = int(n * (1 - part) / 2)
+            pool = rng.integers(0, 1 << 63, n + d, dtype=np.uint64)
+            a, b = np.unique(pool[:n]), np.unique(pool[d:])
+            apart = int(np.bitwise_count((jaccard_tiles.bitmap(a) ^ jaccard_tiles.bitmap(b)).view(np.uint64)).sum())
+            assert apart <= 2 * d and (2 * d > 150 or apart > 0.7 * 2 * d)
+            if n > 256:
+                wide = jaccard_tiles.bits_apart(jaccard_tiles.wide_bitmap(a), jaccard_tiles.wide_bitmap(b))
+                assert 0.8 * 2 * d < wide <= 2 * d
