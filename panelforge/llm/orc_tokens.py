@@ -10,9 +10,11 @@ number per file, plus the start inside the file: no document is counted twice or
 
 Ids are those of the ``tokenizers`` library. White space never enters a token of this kind of
 vocabulary (``[^\\s...]`` in its splitting pattern, special tokens without white space), so a
-text is encoded word by word and the words' ids are kept in a bounded table. Words of plain
-Latin letters go straight to the library's model (lower case and the byte alphabet are all that
-its normaliser and splitter do to them); every other word goes through the whole tokenizer.
+text is encoded word by word and the words' ids are kept in a bounded table; each distinct word
+of some megabytes of text is looked up once. Words of plain Latin letters, and those before a run
+of marks, go straight to the library's model (lower case and the byte alphabet are all that its
+normaliser and splitter do to them); every other word and every run of marks goes through the
+whole tokenizer.
 
 Defined results: a null or empty text has the end id only; a null doc_id comes first; rows with
 one doc_id follow each other by a hash of the text; repeated rows are written each; an empty
@@ -26,6 +28,7 @@ from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,44 +39,72 @@ from .common import pick, slices
 SCHEMA = "doc_id long, n_tokens long, file int, first long, ids array<int>"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("file", pa.int32()), ("first", pa.int64()),
                     ("ids", pa.list_(pa.int32()))])
-_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\\[-`{-~]*)")  # no apostrophe, and no < of a special token
 _ENCODERS: dict = {}
 
 
 class WordEncoder:
-    """ids of a text as little-endian unsigned 32-bit bytes; at most ``limit`` words are kept."""
+    """ids of texts. About ``limit`` words are kept: when half of that have been met, they become
+    the older half, from which words that come again return."""
 
     def __init__(self, vocabulary: str, limit: int = 700_000):
         from tokenizers import Tokenizer
-        self.tokenizer, self.limit, self.known = Tokenizer.from_file(vocabulary), limit, {}
+        self.tokenizer, self.limit, self.known, self.older = Tokenizer.from_file(vocabulary), limit, {}, {}
         self.letters = _byte_letters()
 
-    def _learn(self, words: set[bytes]) -> None:
-        # a last comma or full stop after a letter is a piece of its own to the splitter
-        stopped = [w for w in words if w[-1] in b",." and w[-2:-1].isalpha()]
-        rest, words = [], words.difference(stopped)
-        words.update(b for b in [b",", b".", *(w[:-1] for w in stopped)] if b not in self.known)
+    def _learn(self, words: list[bytes]) -> None:
+        known, older, bases, ended, rest = self.known, self.older, set(), [], []
         for w in words:
-            s = w.decode("utf-8", "replace")
-            if _LATIN.fullmatch(s):
-                s = s.lower()
-                if not s.isascii():
-                    s = s.encode().decode("latin-1").translate(self.letters)
-                ids = [t.id for t in self.tokenizer.model.tokenize(s)]
-                self.known[w] = pack(f"<{len(ids)}I", *ids)
-            else:
-                rest.append((w, s))
-        for (w, _), e in zip(rest, self.tokenizer.encode_batch([s for _, s in rest], add_special_tokens=False)):
-            self.known[w] = pack(f"<{len(e.ids)}I", *e.ids)
-        for w in stopped:
-            self.known[w] = self.known[w[:-1]] + self.known[w[-1:]]
+            m = _LATIN.fullmatch(w.decode("utf-8", "replace"))
+            if m is None:
+                rest.append(w)
+                continue
+            base = m[1].lower().encode()
+            if base in older:
+                known[base] = older[base]
+            elif base not in known:
+                bases.add(base)
+            if base != w:  # marks after the letters are a piece of their own to the splitter
+                ended.append((w, base, m[2].encode()))
+        marks = {mark for _, _, mark in ended if mark}.difference(known)
+        known.update((mark, older[mark]) for mark in marks if mark in older)
+        rest += marks.difference(known, rest)
+        tokenize = self.tokenizer.model.tokenize
+        for w in bases:
+            s = w.decode("latin-1")
+            ids = [t.id for t in tokenize(s if w.isascii() else s.translate(self.letters))]
+            known[w] = pack(f"<{len(ids)}I", *ids)
+        for w in rest:  # a batch would start threads in every worker
+            ids = self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids
+            known[w] = pack(f"<{len(ids)}I", *ids)
+        for w, base, mark in ended:
+            known[w] = known[base] + known[mark] if mark else known[base]
+
+    def flat(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and their number text by text. A word is looked up once
+        a call, however often it comes."""
+        if len(self.known) > self.limit // 2:
+            self.known, self.older = {}, self.known
+        raw = pa.array(raws, pa.binary())
+        lists = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.string(), len(raw), raw.buffers()))
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        known, older = self.known, self.older
+        new = [w for w in words if w not in known]
+        known.update((w, older[w]) for w in new if w in older)
+        self._learn([w for w in new if w and w not in known])
+        ids = [known[w] if w else b"" for w in words]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        code = coded.indices.to_numpy()
+        n = sizes[code]
+        ends = np.cumsum(n)
+        at = np.arange(n.sum()) + np.repeat((np.cumsum(sizes) - sizes)[code] - ends + n, n)
+        return np.frombuffer(b"".join(ids), "<u4")[at], np.diff(np.r_[0, ends][lists.offsets.to_numpy()])
 
     def __call__(self, raws: list[bytes]) -> list[bytes]:
-        parts = [raw.split() for raw in raws]
-        if len(self.known) > self.limit:
-            self.known = {}
-        self._learn({w for ws in parts for w in ws}.difference(self.known))
-        return [b"".join(map(self.known.__getitem__, ws)) for ws in parts]
+        """ids of each text as little-endian unsigned 32-bit bytes."""
+        ids, sizes = self.flat(raws)
+        return [x.tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1])]
 
 
 def word_encoder(vocabulary: str) -> WordEncoder:
@@ -91,19 +122,19 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2, i
     d = pick(docs, doc_id=id_col, text=text_col).withColumn("tie", F.xxhash64("text"))
     by = ["doc_id", "tie"]
     d = (d.repartitionByRange(files, *by) if files else d.repartitionByRange(*by)).sortWithinPartitions(*by)
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         encode, number, first = word_encoder(vocabulary), TaskContext.get().partitionId(), 0
-        for part, raws in slices(batches, 1, limit=4 << 20, rows=1024):
-            ids = [x + end for x in encode(raws)]
-            sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        for part, raws in slices(batches, 1, limit=6 << 20, rows=8192):
+            ids, sizes = encode.flat(raws)
+            ids = np.insert(ids, np.cumsum(sizes), end_id).astype("<i4")
+            sizes = sizes + 1
             ends = np.cumsum(sizes)
             offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(sizes), pa.array(np.full(len(ids), number, np.int32)),
+                [part.column(0), pa.array(sizes), pa.array(np.full(len(sizes), number, np.int32)),
                  pa.array(first + ends - sizes),
-                 pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(ids), "<i4")))], schema=_ARROW)
+                 pa.ListArray.from_arrays(offsets, pa.array(ids))], schema=_ARROW)
             first += int(ends[-1])
 
     (d.select("doc_id", "text").mapInArrow(run, SCHEMA).write

@@ -110,6 +110,26 @@ def test_word_table_is_bounded():
         assert len(encode.known) <= 5 + 2  # and the two stops
 
 
+def test_words_with_marks_and_returning_words_are_not_encoded_anew(monkeypatch):
+    """Only words of other kinds and runs of marks go through the whole tokenizer; a word that comes
+    again stays known when others are dropped."""
+    encode, tok = orc_tokens.WordEncoder(_vocabulary(), limit=40), _tokenizer()
+    asked = []
+
+    class Counting:
+        model = encode.tokenizer.model
+
+        def __getattr__(self, name):
+            return lambda text, **kw: asked.append(text) or getattr(tok, name)(text, **kw)
+
+    encode.tokenizer = Counting()
+    texts = [f"hé{'abcdefghij'[k % 10] * (k // 10 + 1)}*** Élan!! again. x<|endoftext|>. it's" for k in range(200)]
+    for k in range(0, 200, 5):
+        for text, got in zip(texts[k:], encode([t.encode() for t in texts[k:k + 5]])):
+            assert np.frombuffer(got, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+    assert sorted(asked) == sorted(["***", "!!", ".", "x<|endoftext|>.", "it's"])
+
+
 # ------------------------------------------------------------------ 12
 VECTORS = "vec_id long, embedding array<double>, label string, Embedding int, VEC_ID string, codes int"
 
