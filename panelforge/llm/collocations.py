@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from .common import bitmap_of, in_bitmap, materialize, pick, slices
 
 _BREAKS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n ")
+KNOWN = 200_000  # words that a task keeps with their codes
 _M1, _M2, _S = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(33)
 
 
@@ -140,17 +141,23 @@ def _code(h: np.ndarray) -> np.ndarray:
     return np.clip(h >> np.uint64(32), 1, 0xFFFFFFFE)
 
 
+def without_rare(known: dict) -> dict:
+    """``known[lang][word]`` without the rare words (0), or empty if the others leave too little room."""
+    some = {lang: {w: c for w, c in of.items() if c or w == b"\n"} for lang, of in known.items()}
+    return some if sum(map(len, some.values())) <= KNOWN // 2 else {}
+
+
 def encode(docs: DataFrame, frequent) -> DataFrame:
     """(lang, codes): the texts as little-endian unsigned 32-bit word codes, many texts in a row
     with a 0 between them; 0 for words that the bitmap ``frequent`` (a broadcast) hasn't."""
     def run(batches):
         known: dict = {}
-        for part, raws in slices(batches, 1, limit=4 << 20, rows=2048):
+        for part, raws in slices(batches, 1, limit=1 << 20, rows=512):
             of: dict = {}
             for lang, raw in zip(part.column(0).to_pylist(), raws):
                 of.setdefault(lang, []).extend(tokens(raw) + [b"\n"])
-            if sum(map(len, known.values())) > 400_000:
-                known = {}
+            if sum(map(len, known.values())) > KNOWN:
+                known = without_rare(known)
             for lang, words in of.items():
                 codes = known.setdefault(lang, {b"": 0xFFFFFFFF, b"\n": 0})
                 new = list(set(words).difference(codes))
@@ -185,8 +192,8 @@ def count_hashes(coded: DataFrame, order: int, held, width: int = 40) -> DataFra
 def count_phrases(docs: DataFrame, longest: int, frequent, held) -> DataFrame:
     """(lang, phrase, f) of the phrases of 2 to ``longest`` words that the bitmaps let through."""
     def run(batches):
-        words: list = []
-        low: list = []
+        words: list = [b""]  # rare words and breaks have no number of their own, and 0 for a code
+        low: np.ndarray = np.zeros(1, np.uint32)
         known: dict = {}
         counted: dict = {}
         maps = [m and m.value for m in held]
@@ -196,27 +203,26 @@ def count_phrases(docs: DataFrame, longest: int, frequent, held) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(of), pa.string()), pa.array(list(of), pa.binary()),
                                                   pa.array(list(of.values()), pa.int64())], names=["lang", "phrase", "f"])
 
-        for part, raws in slices(batches, 1, limit=4 << 20, rows=2048):
-            if len(words) > 400_000:
-                words, low, known = [], [], {}
+        for part, raws in slices(batches, 1, limit=2 << 20, rows=1024):
+            if sum(map(len, known.values())) > KNOWN:
+                known = without_rare(known)
+                if not known:
+                    words, low = words[:1], low[:1]
             of: dict = {}
             for lang, raw in zip(part.column(0).to_pylist(), raws):
                 of.setdefault(lang, []).extend(tokens(raw) + [b"\n"])
             for lang, all_ in of.items():
-                # a word's number is exact; its code only serves the bitmaps
-                ids = known.setdefault(lang, {})
+                # a frequent word's number is exact; its code only serves the bitmaps
+                ids = known.setdefault(lang, {b"": -1, b"\n": 0})
                 new = list(set(all_).difference(ids))
                 h = np.array([_word_hash(lang, w) for w in new], np.uint64)
-                ids.update(zip(new, range(len(words), len(words) + len(new))))
-                words += new
-                low.append(np.where(in_bitmap(frequent.value, h), _code(h), 0).astype(np.uint32))
+                some = in_bitmap(frequent.value, h)
+                ids.update(zip(new, np.where(some, len(words) - 1 + np.cumsum(some), 0).tolist()))
+                words += [w for w, s in zip(new, some.tolist()) if s]
+                low = np.concatenate([low, _code(h[some]).astype(np.uint32)])
                 number = np.fromiter(map(ids.__getitem__, all_), np.int64, len(all_))
-                if b"" in ids:
-                    number = number[number != ids[b""]]
-                table = np.concatenate(low)
-                table[ids[b"\n"]] = 0
-                low = [table]
-                codes, into = table[number], counted.setdefault(lang, {})
+                number = number[number >= 0]
+                codes, into = low[number], counted.setdefault(lang, {})
                 for n in range(2, longest + 1):
                     at, keys = windows(codes, n, _salt(lang), maps)
                     ok = in_bitmap(maps[n], keys)

@@ -279,3 +279,37 @@ def test_hash_counts_are_merged_in_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 6 * 8 << 20, peak      # lists of keys and counts, merged by inverse: 11 words a key
+
+
+@pytest.mark.parametrize("known", [3, 40, 200_000])
+def test_phrase_counts_keep_few_words(spark, monkeypatch, known):
+    """Rare words are dropped when a task has met many, frequent ones stay while there is room."""
+    monkeypatch.setattr(collocations, "KNOWN", known)
+    df = spark.createDataFrame(_phrase_rows(), DDL).repartition(2)
+    got = collocations.collocations(spark, df, min_count=6)
+    assert {tuple(r) for r in got.collect()} == _phrases(_phrase_rows(), 6, 100, 2000)
+
+
+def test_a_task_of_many_words_takes_little_memory(monkeypatch):
+    import tracemalloc
+
+    class Held:
+        value = np.zeros(1 << 14, np.uint64)
+
+    class Frame:  # the function given to mapInArrow, run here
+        def mapInArrow(self, run, ddl):
+            batches = (pyarrow.RecordBatch.from_arrays([pyarrow.array(["en"] * 50), pyarrow.array(
+                [" ".join("w%d" % (k * 50_000 + i * 1000 + j) for j in range(1000)) for i in range(50)])], names=["lang", "text"])
+                for k in range(9))
+            tracemalloc.start()
+            for _ in run(batches):
+                pass
+            self.peak = tracemalloc.get_traced_memory()[1]
+            tracemalloc.stop()
+            raise StopIteration
+
+    for step in (lambda f: collocations.count_phrases(f, 5, Held, [None, None] + [Held] * 4), lambda f: collocations.encode(f, Held)):
+        frame = Frame()
+        with pytest.raises(StopIteration):
+            step(frame)
+        assert frame.peak < 45 << 20, frame.peak >> 20
