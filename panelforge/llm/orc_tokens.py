@@ -47,7 +47,7 @@ class WordEncoder:
     """ids of texts. About ``limit`` words are kept: when half of that have been met, they become
     the older half, from which words that come again return."""
 
-    def __init__(self, vocabulary: str, limit: int = 700_000):
+    def __init__(self, vocabulary: str, limit: int = 1_000_000):
         from tokenizers import Tokenizer
         self.tokenizer, self.limit, self.known, self.older = Tokenizer.from_file(vocabulary), limit, {}, {}
         self.letters = _byte_letters()
