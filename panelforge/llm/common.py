@@ -62,13 +62,18 @@ def number_within(df: DataFrame, group: str, order: list[str], out: str, buckets
 def bitmap_of(df: DataFrame, column: str, bits: int = 27):
     """A numpy bitmap of ``1 << bits`` cells with those of the low bits of the long ``column``
     set: what a task may look up to skip rows early. Its size is bounded whatever ``df``
-    holds; a false hit only lets a row through to the exact step behind it."""
+    holds; a false hit only lets a row through to the exact step behind it. A bitmap of few set
+    cells is folded (to 256 a set cell or more), as every executor keeps a copy on its disk."""
     import numpy as np
     cell = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
     words = df.select(F.shiftright(cell, 6).alias("word"), cell.bitwiseAND(F.lit(63)).cast("int").alias("bit")).groupBy(
         "word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("set")).toArrow()
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[words.column("word").to_numpy()] = words.column("set").to_numpy().view(np.uint64)
+    held = int(np.bitwise_count(out).sum())
+    while len(out) > 1 << 10 and 512 * held <= 64 * len(out):
+        half = len(out) // 2
+        out = out[:half] | out[half:]
     return out
 
 

@@ -14,8 +14,9 @@ Inside the tiles the links that components need are found in rounds:
 1. every member is compared with one leader, the smallest member of the tiles it shares
    most often, and the links give first components;
 2. in tiles whose members are in different components, every member is compared with the few
-   nearest of other components in its block and the next one, and the links join components
-   (``ROUNDS`` times, or until there is none);
+   nearest of other components in its block and the next one, and with a few drawn by a hash
+   (over all its tiles, not in each), and the links join components (``ROUNDS`` times, or until
+   there is none);
 3. tiles whose members are still in different components compare all members of different ones.
 
 All pairs left out lie within one component, so no component is missed and no pairs of a
@@ -47,7 +48,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import bitmap_of, in_bitmap, materialize, pick, raw_texts, slices
@@ -56,7 +57,7 @@ from .components import connected_components
 THRESHOLD = (9, 10)  # op10's contract, as a fraction
 WORDS = 8  # 64-bit words of a bitmap
 BLOCK = 512  # members of a tile that a task compares at a time
-ROUNDS, NEAREST = 2, 4  # of round 2, and members that a member is compared with there
+ROUNDS, NEAREST, DRAWN = 2, 4, 2  # of round 2, and members that a member is compared with there
 LOWEST = 8  # tiles of a member by which a pair is left to one of the tiles it shares
 CARRIED = 512  # bytes of a wide bitmap that goes into a member's smallest tiles
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -299,7 +300,8 @@ def open_pairs(members: DataFrame, threshold: tuple[int, int], nearest: int | No
     rep, component, n, m0..)``. A tile is cut into blocks of about ``BLOCK`` members and every
     two blocks meet in a group of their own. With the columns of ``with_lowest`` a pair is given by
     one of its tiles (by several only if they share none of their smallest ones). With ``nearest`` a
-    block meets itself and the next only, and gives each member's ``nearest`` pairs of least bits apart."""
+    block meets itself and the next only, and gives each member's ``nearest`` pairs of least bits ``apart``
+    and its ``DRAWN`` pairs of the least hash ``draw``."""
     (p, q), names = threshold, [f"m{i}" for i in range(WORDS)]
     lows = [c for c in (f"low{i}" for i in range(LOWEST)) if c in members.columns]
     more = lows + ["wide"] if lows else []
@@ -329,14 +331,14 @@ def open_pairs(members: DataFrame, threshold: tuple[int, int], nearest: int | No
         return np.array([v is None or w is None or (s - bits_apart(v, w)) * (q + p) >= s * 2 * p
                          for s, v, w in zip(size, wide[left], wide[right])], bool)
 
-    def closest(apart, left, right):
-        """Pairs that are among the ``nearest`` of one of their members."""
+    def first_of(value, many, left, right):
+        """Pairs that are among the ``many`` of least value of one of their members."""
         out = np.zeros(len(left), bool)
         for member in (left, right):
-            order = np.lexsort((apart, member))
+            order = np.lexsort((value, member))
             starts = np.flatnonzero(np.r_[True, np.diff(member[order]) != 0][:len(order)])
             place = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
-            out[order[place < nearest]] = True
+            out[order[place < many]] = True
         return out
 
     def pairs(key, block, rep, component, n, maps, low=None, wide=None):
@@ -358,10 +360,12 @@ def open_pairs(members: DataFrame, threshold: tuple[int, int], nearest: int | No
             x, y, apart = x[here], y[here], apart[here]
             here = near(n, wide, x, y)
             x, y, apart = x[here], y[here], apart[here]
-        if nearest is not None:
-            here = closest(apart, x, y)
-            x, y = x[here], y[here]
-        return np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y])
+        a, b = np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y])
+        if nearest is None:
+            return a, b
+        draw = _mix(_mix(a.view(np.uint64)) + b.view(np.uint64)).view(np.int64)  # the same in every tile
+        here = first_of(apart, nearest, x, y) | first_of(draw, DRAWN, x, y)
+        return a[here], b[here], apart[here], draw[here]
 
     def run(batches):
         held = None  # the rows of the last group may go on in the next batch
@@ -384,9 +388,22 @@ def open_pairs(members: DataFrame, threshold: tuple[int, int], nearest: int | No
             also = () if low is None else (low[a:b], table.column("wide").slice(a, b - a).to_numpy())
             out.append(pairs(keys[a], part[0], part[1], part[2], part[3], [m.view(np.uint64) for m in part[4:]], *also))
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[k] for o in out])) for k in (0, 1)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(of)) for of in zip(*out)], names=given)
 
-    return dealt.mapInArrow(run, "a long, b long")
+    given = ["a", "b"] if nearest is None else ["a", "b", "apart", "draw"]
+    return dealt.mapInArrow(run, ", ".join(f"{c} long" for c in given))
+
+
+def nearest_pairs(pairs: DataFrame, nearest: int) -> DataFrame:
+    """Distinct (a, b) of ``pairs(a, b, apart, draw)`` that are among the ``nearest`` of least apart
+    or the ``DRAWN`` of least draw of one of their members, over all tiles: as many pairs as members
+    allow, however many tiles near copies share. The drawn ones join groups whose nearest are all alike."""
+    def place(value: str) -> Column:
+        return F.row_number().over(Window.partitionBy("member").orderBy(value, "a", "b"))
+
+    both = pairs.distinct().withColumn("member", F.explode(F.array("a", "b")))
+    both = both.withColumn("near", place("apart")).withColumn("drawn", place("draw"))
+    return both.where((F.col("near") <= nearest) | (F.col("drawn") <= DRAWN)).select("a", "b").distinct()
 
 
 def with_lowest(members: DataFrame, wide: DataFrame) -> DataFrame:
@@ -452,7 +469,7 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = 3, id_c
     # round 2: nearest members of other components, while that joins any
     open_ = open_members(first)
     for _ in range(ROUNDS):
-        near = materialize(spark, open_pairs(open_, threshold, NEAREST), "jaccard-near").distinct()
+        near = nearest_pairs(materialize(spark, open_pairs(open_, threshold, NEAREST), "jaccard-near"), NEAREST)
         found = _verify(spark, near, wide, docs, sets, shingle, threshold)
         if found.isEmpty():
             break

@@ -728,6 +728,35 @@ def test_near_copies_that_hardly_miss_a_link_make_no_pairs(spark, monkeypatch):
     assert seen[-1].distinct().count() < 90      # of 1,770 pairs
 
 
+def test_a_member_is_compared_with_few_whatever_tiles_it_shares(spark, monkeypatch):
+    """Near copies that all link, but not with their leader: the pairs to verify are a few a member."""
+    rng = random.Random(37)
+    base = ["w%d" % i for i in range(150)]
+    texts = []
+    for i in range(160):
+        words = list(base)
+        for k in ([12, 50, 90, 130] if i == 0 else [rng.randrange(5, 145)]):
+            words[k] = f"v{i}_{k}"
+        texts.append(" ".join(words))
+    asked, first = [], jaccard_tiles.screened
+    monkeypatch.setattr(jaccard_tiles, "screened", lambda pairs, *a: asked.append(pairs) or first(pairs, *a))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_tiles.jaccard_classes(spark, df, shingle=5, threshold=(8, 10)).collect()}
+    sets = [{tuple(t.split()[i:i + 5]) for i in range(146)} for t in texts]
+    linked = {(i, j) for i in range(160) for j in range(i) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])}
+    assert len(linked) > 12_000 and all(got[i] == got[j] for i, j in linked) and sum(i == 0 or j == 0 for i, j in linked) < 20
+    assert sum(pairs.count() for pairs in asked) <= (1 + jaccard_tiles.NEAREST + jaccard_tiles.DRAWN) * 160
+
+
+def test_sparse_bitmaps_are_folded(spark):
+    from panelforge.llm.common import bitmap_of, in_bitmap
+    values = np.random.default_rng(3).integers(-1 << 63, 1 << 63, 3000)
+    held = bitmap_of(spark.createDataFrame([(int(v),) for v in values], "h long"), "h")
+    assert 1 << 10 <= len(held) <= 512 * 3000 // 64 and in_bitmap(held, values.view(np.uint64)).all()
+    others = np.random.default_rng(4).integers(0, 1 << 63, 100_000, np.uint64)
+    assert in_bitmap(held, others).mean() < 0.01
+
+
 def test_bitmaps_see_the_differences_of_long_sets():
     rng = np.random.default_rng(9)
     for n in (200, 600, 2000):
