@@ -1,11 +1,12 @@
 """Phrase collocations from count streams in prefix and suffix order.
 
 **Counting.** Words are counted per language. The texts are then written once as streams of
-32-bit word codes, with 0 for breaks and for words below ``min_count``. A phrase as frequent as
-``min_count`` has only such parts, so order after order (2, 3, ... words) counts the hashes of
-those windows whose two shorter windows are held by the bitmap of the order before, and leaves
-a bitmap of its frequent hashes. Hashes and bitmaps only rule phrases out: a last pass counts the
-words themselves of all windows that the bitmaps let through, and its counts are exact.
+32-bit word codes, with 0 for breaks and for words below ``min_count``; no two frequent words share
+a code, of whatever language (``given_codes``). A phrase as frequent as ``min_count`` has only such
+parts, so order after order (2, 3, ... words) counts the windows of codes whose two shorter windows
+are held by the bitmap of the order before, and leaves a bitmap of its frequent ones. Bitmaps only
+rule windows out. Windows are told apart by their codes, not by hashes, so the counts are exact; the
+codes of frequent windows alone are turned into words, by joins. The texts are read twice in all.
 
 **Streams.** The frequent phrases are kept as one stream in suffix order (last word first) and
 one in prefix order, cut into ranges by sampled splitters, each range sorted. Reading a range, a
@@ -38,6 +39,7 @@ from .common import bitmap_of, in_bitmap, materialize, pick, slices
 
 _BREAKS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n ")
 KNOWN = 200_000  # words that a task keeps with their codes
+GIVEN = 1 << 24  # codes below this one are given out one by one
 _M1, _M2, _S = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(33)
 
 
@@ -137,8 +139,9 @@ def _word_hash(lang: str, word: bytes) -> int:
 
 
 def _code(h: np.ndarray) -> np.ndarray:
-    """32-bit code of a word's hash; 0 and the greatest are kept for breaks and for nothing."""
-    return np.clip(h >> np.uint64(32), 1, 0xFFFFFFFE)
+    """32-bit code of a word's hash; 0 and the greatest are kept for breaks and for nothing, those
+    below ``GIVEN`` for words that would share one."""
+    return ((h >> np.uint64(32)) * np.uint64(0xFFFFFFFF - GIVEN) >> np.uint64(32)) + np.uint64(GIVEN)
 
 
 def without_rare(known: dict) -> dict:
@@ -147,9 +150,41 @@ def without_rare(known: dict) -> dict:
     return some if sum(map(len, some.values())) <= KNOWN // 2 else {}
 
 
-def encode(docs: DataFrame, frequent) -> DataFrame:
+def word_codes(words: DataFrame, frequent, given=None) -> DataFrame:
+    """(lang, word, c, code) of the words of ``words(lang, word, c)`` that the bitmap ``frequent`` has."""
+    def run(batches):
+        for batch in batches:
+            langs, raw = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()
+            h = np.array([_word_hash(lang, w) for lang, w in zip(langs, raw)], np.uint64)
+            code, some = _code(h).view(np.int64), in_bitmap(frequent.value, h)
+            if given is not None:
+                for i in np.flatnonzero(some).tolist():
+                    code[i] = given.value.get(langs[i], {}).get(raw[i], code[i])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(code)], names=["lang", "word", "c", "code"]).filter(pa.array(some))
+
+    return words.select("lang", "word", "c").mapInArrow(run, "lang string, word string, c long, code long")
+
+
+def given_codes(words: DataFrame, frequent, min_count: int) -> dict:
+    """code by lang and word (bytes) for the few words that would share a frequent word's code: a
+    number of its own for a frequent one, 0 for another that the bitmap lets through."""
+    coded = word_codes(words, frequent)
+    shared = coded.groupBy("code").agg(F.count(F.lit(1)).alias("words"), F.max("c").alias("most"))
+    shared = shared.where((F.col("words") > 1) & (F.col("most") >= min_count)).select("code")
+    out: dict = {}
+    number = 0
+    for r in sorted(coded.join(shared, "code").select("lang", "word", "c").collect()):
+        number += r.c >= min_count
+        out.setdefault(r.lang, {})[r.word.encode("utf-8", "surrogatepass")] = number if r.c >= min_count else 0
+    if number >= GIVEN:
+        raise ValueError("more frequent words than codes")
+    return out
+
+
+def encode(docs: DataFrame, frequent, given=None) -> DataFrame:
     """(lang, codes): the texts as little-endian unsigned 32-bit word codes, many texts in a row
-    with a 0 between them; 0 for words that the bitmap ``frequent`` (a broadcast) hasn't."""
+    with a 0 between them; 0 for words that the bitmap ``frequent`` (a broadcast) hasn't. ``given``
+    (a broadcast) holds the result of ``given_codes``."""
     def run(batches):
         known: dict = {}
         for part, raws in slices(batches, 1, limit=1 << 20, rows=512):
@@ -165,6 +200,8 @@ def encode(docs: DataFrame, frequent) -> DataFrame:
                     h = np.array([_word_hash(lang, w) for w in new], np.uint64)
                     low = _code(h)
                     codes.update(zip(new, np.where(in_bitmap(frequent.value, h), low, 0).tolist()))
+                    other = given.value.get(lang, {}) if given is not None else {}
+                    codes.update((w, other[w]) for w in other.keys() & new)
                 out = np.fromiter(map(codes.__getitem__, words), np.uint32, len(words))
                 yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()),
                                                   pa.array([out[out != 0xFFFFFFFF].tobytes()], pa.binary())],
@@ -173,24 +210,88 @@ def encode(docs: DataFrame, frequent) -> DataFrame:
     return docs.mapInArrow(run, "lang string, codes binary")
 
 
-def count_hashes(coded: DataFrame, order: int, held, width: int = 40) -> DataFrame:
-    """(h, c): counts of the hashes of the windows of ``order`` words that ``held`` lets through.
-    Hashes are cut to ``width`` bits, which shortens the rows to shuffle; phrases that share one
-    are counted together, so none that is frequent gets lost."""
-    mask = np.uint64((1 << width) - 1)
+def packed(codes: np.ndarray, at: np.ndarray, order: int) -> list[np.ndarray]:
+    """The windows of ``order`` codes at ``at`` as uint64 columns of two codes each."""
+    wide, out = codes.astype(np.uint64), []
+    for j in range(0, order, 2):
+        out.append(wide[at + j] << np.uint64(32))
+        if j + 1 < order:
+            out[-1] |= wide[at + j + 1]
+    return out
+
+
+def packed_keys(columns: list[np.ndarray], order: int) -> np.ndarray:
+    """The hashes that ``windows`` gives the windows of these columns (with a salt of 0)."""
+    keys = _mix(columns[0] >> np.uint64(32))
+    for j in range(1, order):
+        code = columns[j // 2] & np.uint64(0xFFFFFFFF) if j % 2 else columns[j // 2] >> np.uint64(32)
+        keys = _mix(keys + code * _M1)
+    return keys
+
+
+def merged_windows(found, limit: int = 1 << 22):
+    """(columns, counts) of the windows in ``found`` (lists of uint64 columns), merged when ``limit``
+    rows are held and handed on when those are mostly different."""
+    def merged(parts):
+        columns = [np.concatenate(of) for of in zip(*[p[0] for p in parts])]
+        counts = np.concatenate([p[1] for p in parts])
+        order = np.argsort(columns[0]) if len(columns) == 1 else np.lexsort(columns[::-1])
+        columns, counts = [c[order] for c in columns], counts[order]
+        new = np.ones(len(counts), bool)
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+        first = np.flatnonzero(new)
+        return [c[first] for c in columns], np.add.reduceat(counts, first)
+
+    held, size = [], 0
+    for columns in found:
+        if not len(columns[0]):
+            continue
+        held.append((columns, np.ones(len(columns[0]), np.int64)))
+        size += len(columns[0])
+        if size >= limit:
+            held = [merged(held)]
+            size = len(held[0][1])
+            if 2 * size > limit:
+                yield held[0]
+                held, size = [], 0
+    if held:
+        yield merged(held)
+
 
+def count_windows(coded: DataFrame, order: int, held) -> DataFrame:
+    """(a, b, c, f): counts of the windows of ``order`` codes that ``held`` lets through, two codes
+    in a column, as in ``packed`` (0 in those not needed)."""
     def run(batches):
         maps = [m and m.value for m in held]
-        found = (windows(np.frombuffer(raw.as_buffer(), np.uint32), order, _salt(lang), maps)[1] & mask
-                 for batch in batches for lang, raw in zip(batch.column(0).to_pylist(), batch.column(1)))
-        for keys, counts in merged_counts(found):
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["h", "c"])
 
-    return coded.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+        def found():
+            for batch in batches:
+                for raw in batch.column(0):
+                    codes = np.frombuffer(raw.as_buffer(), np.uint32)
+                    yield packed(codes, windows(codes, order, 0, maps)[0], order)
+
+        for columns, counts in merged_windows(found()):
+            for at in range(0, len(counts), 1 << 16):
+                part = [c[at: at + (1 << 16)].view(np.int64) for c in columns]
+                part += [np.zeros(len(part[0]), np.int64)] * (3 - len(part))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*part, counts[at: at + (1 << 16)])], names=["a", "b", "c", "f"])
+
+    found = coded.select("codes").mapInArrow(run, "a long, b long, c long, f long")
+    return found.groupBy("a", "b", "c").agg(F.sum("f").alias("f"))
+
+
+def in_words(counted: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """(lang, phrase, f) of the windows ``counted(a, b, c, f)`` by ``dictionary(code, lang, word)``."""
+    codes = F.array(*[x for col in ("a", "b", "c") for x in (F.shiftrightunsigned(col, 32), F.col(col).bitwiseAND(F.lit(0xFFFFFFFF)))])
+    each = counted.select("a", "b", "c", "f", F.posexplode(F.filter(codes, lambda x: x != 0)).alias("at", "code"))
+    words = each.join(dictionary, "code").groupBy("a", "b", "c", "f").agg(
+        F.first("lang").alias("lang"), F.array_sort(F.collect_list(F.struct("at", "word"))).alias("words"))
+    return words.select("lang", F.array_join(F.col("words.word"), " ").alias("phrase"), "f")
 
 
 def count_phrases(docs: DataFrame, longest: int, frequent, held) -> DataFrame:
-    """(lang, phrase, f) of the phrases of 2 to ``longest`` words that the bitmaps let through."""
+    """(lang, phrase, f) of the phrases of 2 to ``longest`` words that the bitmaps let through, counted
+    in the texts: the plain way, to compare ``count_windows`` with. Every task gives every phrase it meets."""
     def run(batches):
         words: list = [b""]  # rare words and breaks have no number of their own, and 0 for a code
         low: np.ndarray = np.zeros(1, np.uint32)
@@ -246,6 +347,15 @@ def count_phrases(docs: DataFrame, longest: int, frequent, held) -> DataFrame:
     return found.withColumn("phrase", F.col("phrase").cast("string")).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
+def _hashed(counted: DataFrame, order: int) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            columns = [batch.column(i).to_numpy().view(np.uint64) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([pa.array(packed_keys(columns, order).view(np.int64))], names=["h"])
+
+    return counted.select("a", "b", "c").mapInArrow(run, "h long")
+
+
 def frequent_phrases(spark: SparkSession, docs: DataFrame, longest: int = 5, min_count: int = 100,
                      bits: int = 27) -> DataFrame:
     """(lang, phrase, f, n): all phrases of 1 to ``longest`` words that occur ``min_count`` times
@@ -261,12 +371,16 @@ def frequent_phrases(spark: SparkSession, docs: DataFrame, longest: int = 5, min
 
     of_words = some.select("lang", F.col("word").cast("binary")).mapInArrow(hashed, "h long")
     frequent = spark.sparkContext.broadcast(bitmap_of(of_words, "h", bits))
-    coded = materialize(spark, encode(docs, frequent), "phrase-codes")
+    given = spark.sparkContext.broadcast(given_codes(words, frequent, min_count))
+    coded = materialize(spark, encode(docs, frequent, given), "phrase-codes")
     maps: list = [None, None]
+    longer = None
     for order in range(2, longest + 1):
-        counted = count_hashes(coded, order, list(maps)).where(F.col("c") >= min_count)
-        maps.append(spark.sparkContext.broadcast(bitmap_of(counted, "h", bits)))
-    longer = count_phrases(docs, longest, frequent, maps).where(F.col("f") >= min_count)
+        counted = materialize(spark, count_windows(coded, order, list(maps)).where(F.col("f") >= min_count), "phrase-windows")
+        longer = counted if longer is None else longer.union(counted)
+        if order < longest:
+            maps.append(spark.sparkContext.broadcast(bitmap_of(_hashed(counted, order), "h", bits)))
+    longer = in_words(longer, word_codes(some, frequent, given).select("code", "lang", "word"))
     all_ = some.select("lang", F.col("word").alias("phrase"), F.col("c").alias("f")).union(longer)
     return materialize(spark, all_.join(totals, "lang"), "phrase-counts")
 

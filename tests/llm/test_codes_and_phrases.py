@@ -313,3 +313,47 @@ def test_a_task_of_many_words_takes_little_memory(monkeypatch):
         with pytest.raises(StopIteration):
             step(frame)
         assert frame.peak < 45 << 20, frame.peak >> 20
+
+
+def test_frequent_phrases_are_not_sent_by_every_task(spark, monkeypatch):
+    """The texts aren't read again for the phrases: one row of codes for each comes to the words."""
+    asked, first = [], getattr(collocations, "in_words", None)
+
+    def plain(*a):
+        raise AssertionError("a row for each phrase and task")
+
+    monkeypatch.setattr(collocations, "count_phrases", plain)
+    monkeypatch.setattr(collocations, "in_words", lambda counted, *a: asked.append(counted) or first(counted, *a), raising=False)
+    rows = _phrase_rows()
+    df = spark.createDataFrame([(r[2] or "und", r[1]) for r in rows], "lang string, text string").repartition(7)
+    got = collocations.frequent_phrases(spark, df, 5, 6)
+    phrases = {(r.lang, r.phrase): r.f for r in got.collect() if " " in r.phrase}
+    assert len(phrases) > 30 and asked[0].count() == len(phrases)
+    for lang, _, phrase, a, *_ in _phrases(rows, 6, 100, 2000):
+        assert phrases[lang, phrase] == a
+
+
+def test_words_of_one_code_are_told_apart(spark, monkeypatch):
+    """Four codes for all words: frequent ones get codes of their own, others none."""
+    monkeypatch.setattr(collocations, "_code", lambda h: (h >> np.uint64(62)) + np.uint64(1 << 24))
+    for bits in (27, 8):
+        got = collocations.collocations(spark, spark.createDataFrame(_phrase_rows(), DDL).repartition(3), min_count=6, bits=bits)
+        assert {tuple(r) for r in got.collect()} == _phrases(_phrase_rows(), 6, 100, 2000)
+
+
+@pytest.mark.parametrize("order", [2, 3, 5])
+def test_merged_windows_count_each_window(order):
+    rng = np.random.default_rng(order)
+    parts = [rng.integers(1, 5, rng.integers(order, 300)).astype(np.uint32) for _ in range(30)]
+    want = Counter(tuple(p[i:i + order].tolist()) for p in parts for i in range(len(p) - order + 1))
+    for limit in (1 << 22, 100):
+        got = Counter()
+        for columns, counts in collocations.merged_windows(
+                (collocations.packed(p, np.arange(len(p) - order + 1), order) for p in parts), limit):
+            codes = np.stack([x for c in columns for x in (c >> np.uint64(32), c & np.uint64(0xFFFFFFFF))], 1)[:, :order]
+            for w, n in zip(codes.tolist(), counts.tolist()):
+                got[tuple(w)] += n
+        assert got == want
+    everything = [None, None] + [np.full(1 << 10, (1 << 64) - 1, np.uint64)] * order
+    at, keys = collocations.windows(parts[0], order, 0, everything)
+    assert (collocations.packed_keys(collocations.packed(parts[0], at, order), order) == keys).all() and len(at)
