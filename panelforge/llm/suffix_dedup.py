@@ -31,8 +31,9 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import bitmap_of, in_bitmap, materialize, pick, slices
@@ -41,6 +42,7 @@ WINDOW, GRAM = 200, 100
 BLOCK = 1 << 20          # window starts looked at together
 RUN_BYTES = 48 << 20     # unit text of a sorted run
 PAIRWISE = 256           # different units of an anchor gram that are compared directly
+FEW = 8                  # of these as bytes, two by two; more as matrices
 _SEED = np.random.default_rng(5).integers(0, 1 << 64, 256, dtype=np.uint64)
 _R = 0x9E3779B97F4A7C15
 _M = np.uint64(0xFF51AFD7ED558CCD)
@@ -211,6 +213,15 @@ def merged(runs: list[bytes]):
 def stretches(texts: list[bytes], offsets: list[int]) -> list[list[tuple[int, int]]]:
     """For units of one anchor gram: the parts of each that it shares with another one."""
     g = len(texts)
+    if g <= FEW:
+        parts, pairs = [(t[:o][::-1], t[o:]) for t, o in zip(texts, offsets)], [set() for _ in texts]
+        for i in range(g):
+            for j in range(i):
+                left, right = shared_prefix(parts[i][0], parts[j][0]), shared_prefix(parts[i][1], parts[j][1])
+                if left + right >= WINDOW:
+                    pairs[i].add((offsets[i] - left, offsets[i] + right))
+                    pairs[j].add((offsets[j] - left, offsets[j] + right))
+        return [union(p) for p in pairs]
     sides = []
     for side in (0, 1):
         parts = [t[:o][::-1] if side == 0 else t[o:] for t, o in zip(texts, offsets)]
@@ -350,14 +361,13 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, buckets: int | None = N
     rows = pa.schema([("u1", pa.int64()), ("u2", pa.int64()), ("a", pa.int32()), ("b", pa.int32()),
                       ("bucket", pa.int32()), ("windows", pa.binary())])
 
-    def compare(key: tuple, table: pa.Table) -> pa.Table:
+    def compared(block: list[tuple]) -> list[tuple]:
         """Stretches (a, b) shared inside the block. For gram hashes of several blocks also the
         windows, packed by bucket: those known to be repeated once each, the others all."""
-        texts, twice = table.column("unit").to_pylist(), table.column("twice").to_pylist()
-        names, known, out = list(zip(table.column("u1").to_pylist(), table.column("u2").to_pylist())), set(), []
-        shared = stretches(texts, table.column("off").to_pylist())
-        several, by = table.column("g")[0].as_py() > pairwise, {}
-        for (u1, u2), unit, all_, spans in zip(names, texts, twice, shared):
+        known, out, by = set(), [], {}
+        shared = stretches([r[3] for r in block], [r[1] for r in block])
+        several = block[0][6] > pairwise
+        for (_, _, all_, unit, u1, u2, _), spans in zip(block, shared):
             if not all_:
                 out += [(u1, u2, a, b, None, None) for a, b in spans]
             if several:
@@ -370,10 +380,26 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, buckets: int | None = N
                         by.setdefault(w[0] % buckets, []).append((*w, u1, u2, i, int(found)))
                     if found:
                         known.add(w)
-        out += [(None, None, None, None, b, zlib.compress(np.array(v, "<i8").tobytes(), 1)) for b, v in by.items()]
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 6, rows)], schema=rows)
+        return out + [(None, None, None, None, b, zlib.compress(np.array(v, "<i8").tobytes(), 1)) for b, v in by.items()]
 
-    near = materialize(spark, mixed.groupBy("h", "block").applyInArrow(
+    def compare(batches):
+        """Most gram hashes have few units: a batch holds many blocks, each from its row of place 1 on."""
+        block, out = [], []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[0] == 1 and block:
+                    out += compared(block)
+                    block = []
+                    if len(out) >= 1 << 12:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), rows)], schema=rows)
+                        out = []
+                block.append(row)
+        out += compared(block) if block else []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), rows)], schema=rows)
+
+    place = F.row_number().over(Window.partitionBy("h", "block").orderBy("u1", "u2"))
+    near = materialize(spark, mixed.select(place.alias("place"), "off", "twice", "unit", "u1", "u2", "g").mapInArrow(
         compare, "u1 long, u2 long, a int, b int, bucket int, windows binary"), "suffix-near")
     hits = pa.schema([(c, pa.int64()) for c in ("u1", "u2")] + [(c, pa.int32()) for c in ("a", "b")])
 
@@ -406,25 +432,34 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, buckets: int | None = N
 
     refs = cand.where("raw is not null").select("row", "raw", "units").mapInArrow(
         references, "row long, first long, u1 long, u2 long")
-    per = refs.join(result, ["u1", "u2"]).groupBy("row").agg(F.collect_list(F.struct("first", "spans")).alias("found"))
+    placed = F.transform("spans", lambda s: F.struct((F.col("first") + s["a"]).alias("a"), (F.col("first") + s["b"]).alias("b")))
+    per = refs.join(result, ["u1", "u2"]).groupBy("row").agg(F.flatten(F.collect_list(placed)).alias("found"))
     todo = cand.where("raw is not null").select("row", "doc_id", "n_bytes", "raw").join(per, "row", "left")
 
     def cut(batches):
         out = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct(
             [("start", pa.int64()), ("stop", pa.int64())]))), ("kept", pa.binary()), ("kept_sha256", pa.string())])
         for batch in batches:
-            rows = []
-            for doc, n, raw, hit in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_bytes", "raw", "found"))):
-                spans = union((x["first"] + s["a"], x["first"] + s["b"]) for x in hit or [] for s in x["spans"])
-                kept, at = [], 0
-                for a, b in spans:
-                    kept.append(raw[at:a])
-                    at = b
+            found = batch.column(3)
+            a, b = (found.flatten().field(c).to_numpy(zero_copy_only=False) for c in ("a", "b"))
+            ends = np.cumsum(pc.list_value_length(found).fill_null(0).to_numpy()).tolist()
+            starts, stops, upto, texts, shas, last = [], [], [0], [], [], 0
+            for raw, end in zip(batch.column(2).to_pylist(), ends):
+                spans = union(zip(a[last:end].tolist(), b[last:end].tolist()))
+                last, kept, at = end, [], 0
+                for x, y in spans:
+                    starts.append(x)
+                    stops.append(y)
+                    kept.append(raw[at:x])
+                    at = y
                 kept = b"".join(kept) + raw[at:]
-                rows.append((doc, n, [{"start": a, "stop": b} for a, b in spans], kept if spans else None,
-                             hashlib.sha256(kept).hexdigest()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 5, out)],
-                                             schema=out)
+                upto.append(len(starts))
+                texts.append(kept if spans else None)
+                shas.append(hashlib.sha256(kept).hexdigest())
+            spans = pa.StructArray.from_arrays([pa.array(starts, pa.int64()), pa.array(stops, pa.int64())], ["start", "stop"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(upto, pa.int32()), spans),
+                 pa.array(texts, pa.binary()), pa.array(shas, pa.string())], schema=out)
 
     ddl = "doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary, kept_sha256 string"
     done = todo.select("doc_id", "n_bytes", "raw", "found").mapInArrow(cut, ddl)

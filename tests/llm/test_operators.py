@@ -507,6 +507,42 @@ def test_suffix(spark, docs, empty, pairwise):
         assert suffix_dedup.remove_repeats(spark, empty).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_few_texts_share_the_stretches_of_many(monkeypatch, seed):
+    rng = random.Random(seed)
+    gram = bytes(rng.choices(b"abcdef", k=100))
+    sides = [[bytes(rng.choices(b"xyz", k=120)) for _ in range(2)] for _ in range(2)]
+    texts, offsets = [], []
+    for _ in range(6):
+        left, right = (rng.choice(s)[:rng.randint(40, 120)] for s in sides)
+        texts.append(left[::-1] + gram + right)
+        offsets.append(len(left))
+    assert len(texts) <= suffix_dedup.FEW
+    few = suffix_dedup.stretches(texts, offsets)
+    monkeypatch.setattr(suffix_dedup, "FEW", 0)
+    assert few == suffix_dedup.stretches(texts, offsets) and any(few)
+
+
+def test_units_of_a_gram_make_no_call_of_their_own(spark, monkeypatch):
+    """Two hundred passages, each in two texts with other words around it: Python gets the units in
+    batches, not gram by gram; the passages go, the words around them stay."""
+    rng = random.Random(9)
+    word = lambda k: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=k))
+    passages = [word(230) for _ in range(200)]
+    rows = [(i, f"{word(150)}#{passages[i % 200]}#{word(150)}") for i in range(400)]
+    plans, plain = {}, suffix_dedup.materialize
+
+    def seen(spark, df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return plain(spark, df, name)
+
+    monkeypatch.setattr(suffix_dedup, "materialize", seen)
+    out = suffix_dedup.remove_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert "FlatMapGroupsInArrow" in plans["suffix-units"] and "FlatMapGroupsInArrow" not in plans["suffix-near"]
+    assert len(out) == 400 and all(
+        sum(s.stop - s.start for s in r.spans) >= 230 and r.n_bytes == 532 and len(r.kept) <= 302 for r in out)
+
+
 def test_loser_tree_merges_front_coded_runs():
     rng = random.Random(3)
     runs = [sorted({bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 12))) for _ in range(rng.randint(1, 40))}) for _ in range(7)]
